@@ -1,0 +1,18 @@
+"""Broadcast behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+MAX_BROADCAST_ROWS = 10_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast when it has at most ``max_rows`` rows, else ``df`` as it is.
+
+    Evaluates ``df``; when it is small the rows read for the check are the table from then on.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -1,0 +1,64 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from kindred.session import shuffle_partitions
+
+ROWS_PER_SLICE = 1_000_000
+MAX_HOT_KEYS = 10_000
+_SLICE = "__slice"
+_SLICES = "__slices"
+
+
+def hot_keys(
+    df: DataFrame, keys: list[str], rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame | None:
+    """Keys with more than ``rows_per_slice`` rows, with their row count; None when there are none.
+
+    Only the ``MAX_HOT_KEYS`` largest are listed, which bounds the list that is broadcast later. A
+    key left off holds less than 1/MAX_HOT_KEYS of all rows and needs no splitting.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    top = counts.filter(F.col("__rows") > rows_per_slice).orderBy(F.desc("__rows"), *keys)
+    rows = top.limit(MAX_HOT_KEYS).collect()
+    return df.sparkSession.createDataFrame(rows, counts.schema) if rows else None
+
+
+def slice_number(cols: list[str], slices):
+    """Slice of a row. Equal rows read by different tasks get different slices, and a task that is
+    run again gives every row the same slice as before."""
+    return F.pmod(F.xxhash64(*cols, F.spark_partition_id()), slices).cast("int")
+
+
+def salted_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    keys: list[str],
+    how: str = "inner",
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """Join many-rows-per-key ``fact`` with ``dim`` (inner, left, left_semi or left_anti).
+
+    The rows of each hot key are cut into slices and the matching ``dim`` rows copied once per
+    slice; all other keys join as usual. The result is that of ``fact.join(dim, keys, how)``.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"rows of dim are copied, so {how!r} joins cannot be salted")
+    hot = hot_keys(fact, keys, rows_per_slice)
+    if hot is None:
+        return fact.join(dim, keys, how)
+    slices = F.broadcast(
+        hot.select(*keys, F.ceil(F.col("__rows") / rows_per_slice).alias(_SLICES))
+    )
+    n = F.coalesce(F.col(_SLICES), F.lit(1))
+    # Rows without a key match nothing; spread them so that an outer or anti join can pass them on.
+    keyless = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+    spread = F.when(keyless, shuffle_partitions(fact.sparkSession)).otherwise(n)
+    cut = fact.join(slices, keys, "left").withColumn(_SLICE, slice_number(fact.columns, spread))
+    copies = dim.join(slices, keys, "left").withColumn(
+        _SLICE, F.explode(F.sequence(F.lit(0), (n - 1).cast("int")))
+    )
+    joined = cut.drop(_SLICES).join(copies.drop(_SLICES), [*keys, _SLICE], how)
+    return joined.drop(_SLICE)
