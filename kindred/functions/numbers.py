@@ -15,4 +15,5 @@ def page_count(total: Column, per_page: int = 100) -> Column:
 
 
 def two_decimals(c: Column) -> Column:
-    return F.format_string("%.2f", c)
+    """``0.125`` as ``0.12``: halves go to the even digit, without grouping."""
+    return F.call_function("format_number", c.cast("double"), F.lit("0.00"))
