@@ -23,8 +23,9 @@ def build_nodes(
     if link_users:
         users = users.select(plain_user("user_id").alias("user_id"), F.lit(None).cast("string").alias("type"))
     return {
-        "content": content.select("content_id", "type", "title", "description")
-        .dropDuplicates(["content_id", "type"]),
+        "content": content.groupBy("content_id", "type")
+        .agg(F.max(F.struct("title", "description")).alias("c"))
+        .select("content_id", "type", "c.title", "c.description"),
         "users": users.select("user_id", "type").distinct(),
         "keyword": keywords.filter(F.col(keyword).isNotNull())
         .select(F.col(keyword).alias("keywords")).distinct(),

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from kindred.functions.numbers import rating_bucket
-from kindred.operators.skew import ROWS_PER_SLICE, salted_join
+from kindred.operators.skew import ROWS, ROWS_PER_SLICE, salted_join
+from kindred.session import checkpoint
 
 
 def normalise_playtime(
@@ -21,7 +22,12 @@ def normalise_playtime(
     one task.
     """
     played = df.filter(F.col(value) > 0)
-    best = played.groupBy(key).agg(F.max(value).alias("__best"))
-    joined = salted_join(played, best, [key], rows_per_slice=rows_per_slice)
+    # One row per user, kept: the join and the search for hot users both need it.
+    users = checkpoint(
+        played.groupBy(key).agg(F.max(value).alias("__best"), F.count(F.lit(1)).alias(ROWS))
+    )
+    joined = salted_join(
+        played, users.drop(ROWS), [key], rows_per_slice=rows_per_slice, counts=users
+    )
     rated = joined.withColumn("rating", rating_bucket(F.col(value), F.col("__best")))
     return rated.select(*[c for c in df.columns if c != value], "rating")

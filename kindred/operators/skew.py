@@ -8,22 +8,27 @@ from kindred.session import shuffle_partitions
 
 ROWS_PER_SLICE = 1_000_000
 MAX_HOT_KEYS = 10_000
+ROWS = "__rows"
 _SLICE = "__slice"
 _SLICES = "__slices"
 
 
+def row_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS))
+
+
 def hot_keys(
-    df: DataFrame, keys: list[str], rows_per_slice: int = ROWS_PER_SLICE
+    counts: DataFrame, keys: list[str], rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame | None:
-    """Keys with more than ``rows_per_slice`` rows, with their row count; None when there are none.
+    """Keys with more than ``rows_per_slice`` rows, from a table of row counts per key; None when
+    there are none.
 
     Only the ``MAX_HOT_KEYS`` largest are listed, which bounds the list that is broadcast later. A
     key left off holds less than 1/MAX_HOT_KEYS of all rows and needs no splitting.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    top = counts.filter(F.col("__rows") > rows_per_slice).orderBy(F.desc("__rows"), *keys)
-    rows = top.limit(MAX_HOT_KEYS).collect()
-    return df.sparkSession.createDataFrame(rows, counts.schema) if rows else None
+    large = counts.filter(F.col(ROWS) > rows_per_slice).select(*keys, ROWS)
+    rows = large.orderBy(F.desc(ROWS), *keys).limit(MAX_HOT_KEYS).collect()
+    return counts.sparkSession.createDataFrame(rows, large.schema) if rows else None
 
 
 def slice_number(cols: list[str], slices):
@@ -38,19 +43,22 @@ def salted_join(
     keys: list[str],
     how: str = "inner",
     rows_per_slice: int = ROWS_PER_SLICE,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join many-rows-per-key ``fact`` with ``dim`` (inner, left, left_semi or left_anti).
 
     The rows of each hot key are cut into slices and the matching ``dim`` rows copied once per
     slice; all other keys join as usual. The result is that of ``fact.join(dim, keys, how)``.
+    ``counts`` spares counting ``fact`` when its rows per key are known.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"rows of dim are copied, so {how!r} joins cannot be salted")
-    hot = hot_keys(fact, keys, rows_per_slice)
+    counts = row_counts(fact, keys) if counts is None else counts
+    hot = hot_keys(counts, keys, rows_per_slice)
     if hot is None:
         return fact.join(dim, keys, how)
     slices = F.broadcast(
-        hot.select(*keys, F.ceil(F.col("__rows") / rows_per_slice).alias(_SLICES))
+        hot.select(*keys, F.ceil(F.col(ROWS) / rows_per_slice).alias(_SLICES))
     )
     n = F.coalesce(F.col(_SLICES), F.lit(1))
     # Rows without a key match nothing; spread them so that an outer or anti join can pass them on.

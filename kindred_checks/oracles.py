@@ -235,7 +235,7 @@ oracle(
                 CASE WHEN max(l_quantity) < 50 THEN CAST(max(l_quantity) AS INTEGER) END AS p_size
          FROM lineitem GROUP BY l_partkey) n ON p.p_partkey = n.p_partkey""",
 )
-oracle("frontier", "SELECT c_custkey FROM customer ANTI JOIN orders ON c_custkey = o_custkey")
+oracle("frontier", "SELECT DISTINCT doc_id FROM documents ANTI JOIN labels USING (doc_id)")
 oracle("high_water_mark", "SELECT max(o_orderkey) AS o_orderkey FROM orders")
 oracle("distinct_raters", "SELECT DISTINCT content_id, user_id FROM plays", PLAYS)
 oracle(

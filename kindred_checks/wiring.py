@@ -423,9 +423,8 @@ def upsert_nodes(spark, sf):
 
 @query
 def frontier(spark, sf):
-    wanted = table(spark, sf, "customer").select("c_custkey")
-    have = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return incremental.frontier(wanted, have, "c_custkey")
+    """Documents not labelled yet."""
+    return incremental.frontier(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id")
 
 
 @query
