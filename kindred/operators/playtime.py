@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from kindred.functions.numbers import rating_bucket
-from kindred.operators.skew import ROWS, ROWS_PER_SLICE, salted_join
-from kindred.session import checkpoint
+from kindred.operators.skew import ROWS_PER_SLICE, hot_keys, row_counts, salted_join
 
 
 def normalise_playtime(
@@ -18,16 +17,16 @@ def normalise_playtime(
     """Replace ``value`` by ``rating``: its share of the user's largest value, 1..10; rows without
     playing time are left out.
 
-    The maximum is pre-aggregated and joined back: a window would bring all rows of a user into
-    one task.
+    One shuffle by user when no user has more than ``rows_per_slice`` rows. Otherwise the maxima
+    are aggregated first and joined back in slices, so that no task gets all rows of such a user.
     """
     played = df.filter(F.col(value) > 0)
-    # One row per user, kept: the join and the search for hot users both need it.
-    users = checkpoint(
-        played.groupBy(key).agg(F.max(value).alias("__best"), F.count(F.lit(1)).alias(ROWS))
-    )
-    joined = salted_join(
-        played, users.drop(ROWS), [key], rows_per_slice=rows_per_slice, counts=users
-    )
-    rated = joined.withColumn("rating", rating_bucket(F.col(value), F.col("__best")))
+    counts = row_counts(played, [key])
+    if hot_keys(counts, [key], rows_per_slice) is None:
+        best = F.max(value).over(Window.partitionBy(key))
+        rated = played.filter(F.col(key).isNotNull()).withColumn("__best", best)
+    else:
+        users = played.groupBy(key).agg(F.max(value).alias("__best"))
+        rated = salted_join(played, users, [key], rows_per_slice=rows_per_slice, counts=counts)
+    rated = rated.withColumn("rating", rating_bucket(F.col(value), F.col("__best")))
     return rated.select(*[c for c in df.columns if c != value], "rating")

@@ -82,6 +82,13 @@ def ratings(spark, sf) -> DataFrame:
     return S.conform(playtime.normalise_playtime(plays(spark, sf)), S.RATINGS)
 
 
+def stored(spark, df, name) -> DataFrame:
+    """Written once and read back, as the build does between its stages."""
+    path = scratch_path(spark, name)
+    write_zone(df, path)
+    return spark.read.parquet(path)
+
+
 def event_ratings(spark, sf) -> DataFrame:
     return table(spark, sf, "events").select(
         F.concat(F.lit(" User-"), text("user_id")).alias("user_id"),
@@ -103,7 +110,8 @@ def title_keywords(spark, sf) -> DataFrame:
 
 
 def rating_edge_table(spark, sf) -> DataFrame:
-    return edges.edges_by_rating(edges.user_content(ratings(spark, sf), content(spark, sf)))
+    rated = stored(spark, ratings(spark, sf), "ratings")
+    return edges.edges_by_rating(edges.user_content(rated, content(spark, sf)))
 
 
 def keyword_edge_table(spark, sf) -> DataFrame:
@@ -113,9 +121,7 @@ def keyword_edge_table(spark, sf) -> DataFrame:
 def graph(spark, sf) -> DataFrame:
     """The undirected graph, written once: the iterative jobs read it several times."""
     both = rating_edge_table(spark, sf).unionByName(keyword_edge_table(spark, sf))
-    path = scratch_path(spark, "graph")
-    write_zone(edges.project_undirected(both), path)
-    return spark.read.parquet(path)
+    return stored(spark, edges.project_undirected(both), "graph")
 
 
 def vectors(spark, sf) -> DataFrame:
