@@ -17,6 +17,7 @@ from kindred.sources.json_docs import (
     read_keyed_json,
     read_keyed_json_list,
     read_review_json,
+    reviewers,
 )
 from kindred.sources.xml import (
     catalogue_content,
@@ -25,6 +26,7 @@ from kindred.sources.xml import (
     read_collections_xml,
     read_review_pages_xml,
     read_review_totals_xml,
+    review_comments,
 )
 
 __all__ = [
@@ -33,5 +35,5 @@ __all__ = [
     "read_catalogue_xml", "read_collections_xml", "read_id_export", "read_json_multiline",
     "read_keyed_json", "read_keyed_json_list", "read_latest_snapshot", "read_parquet_dir",
     "read_parquet_many", "read_review_json", "read_review_pages_xml", "read_review_totals_xml",
-    "with_file_key",
+    "review_comments", "reviewers", "with_file_key",
 ]

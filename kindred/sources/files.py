@@ -36,15 +36,14 @@ def consolidate_documents(spark: SparkSession, path: str, glob: str = "*.json")
 
 
 def read_latest_snapshot(spark: SparkSession, path: str, prefix: str = "raw_movies_") -> DataFrame:
-    """Rows of the newest of the dated Parquet files ``<prefix>yyyy-MM-dd.parquet``.
+    """Rows of the newest of the dated Parquet tables ``<prefix>yyyy-MM-dd.parquet``.
 
-    Only the file names are looked at to find the date; older files are not read.
+    Only file names are looked at to find the date; older tables are not read.
     """
     root = path.rstrip("/")
-    names = (
-        spark.read.format("binaryFile").load(f"{root}/{prefix}*.parquet")
-        .select(F.regexp_extract(decoded(F.col("path")), rf"/{prefix}(\d{{4}}-\d{{2}}-\d{{2}})\.parquet$", 1).alias("day"))
-    )
+    dated = rf"/{prefix}(\d{{4}}-\d{{2}}-\d{{2}})\.parquet(?:/|$)"
+    files = spark.read.format("binaryFile").load(f"{root}/{prefix}*.parquet")
+    names = files.select(F.regexp_extract(decoded(F.col("path")), dated, 1).alias("day"))
     newest = names.filter("day <> ''").agg(F.max("day").alias("day")).first()["day"]
     if newest is None:
         raise FileNotFoundError(f"no {prefix}<date>.parquet in {path}")

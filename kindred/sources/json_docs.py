@@ -73,6 +73,11 @@ def read_review_json(spark: SparkSession, path: str) -> DataFrame:
     docs = with_file_key(
         read_json_multiline(spark, path, S.ANIME_REVIEWS), r"/([^/]+)\.json$", "anime_id"
     )
+    return reviewers(docs)
+
+
+def reviewers(docs: DataFrame) -> DataFrame:
+    """One row per review of parsed review documents."""
     return docs.select("anime_id", F.explode("data.user.username").alias("username"))
 
 

@@ -72,8 +72,13 @@ def read_review_pages_xml(spark: SparkSession, path: str, root_tag: str = "items
     """Review pages, one folder per game, to (``game_id``, ``username``, ``rating``)."""
     roots = _read_roots(spark, f"{path.rstrip('/')}/*", S.REVIEW_PAGE, root_tag, "*.xml")
     games = with_file_key(roots, r"/([^/]+)/[^/]+\.xml$", "game_id")
-    comments = games.select("game_id", F.explode("item").alias("i")).select(
-        "game_id", F.explode("i.comments.comment").alias("c")
+    return review_comments(games.select("game_id", F.explode("item").alias("item")))
+
+
+def review_comments(items: DataFrame, game_id: str = "game_id", item: str = "item") -> DataFrame:
+    """One row per comment of parsed review items."""
+    comments = items.select(
+        F.col(game_id).alias("game_id"), F.explode(F.col(item)["comments"]["comment"]).alias("c")
     )
     return comments.select(
         "game_id",

@@ -200,6 +200,16 @@ oracle(
        FROM part""",
 )
 
+oracle(
+    "boardgame_reviews",
+    """SELECT content_id AS game_id, user_id AS username, CASE WHEN playtime <= 40 THEN playtime END AS rating
+       FROM plays""",
+    PLAYS,
+)
+oracle("anime_reviews", "SELECT content_id AS anime_id, user_id AS username FROM plays", PLAYS)
+oracle("id_export", "SELECT p_partkey AS id FROM part")
+oracle("latest_snapshot", "SELECT p_partkey AS id FROM part")
+
 # --- edges and nodes -----------------------------------------------------------------------------
 
 oracle(

@@ -15,7 +15,10 @@ from kindred.operators import (
 from kindred.plans import anime, movie, videogame
 from kindred.session import scratch_path
 from kindred.sinks.zones import publish, write_zone
-from kindred.sources import catalogue_content, collection_ratings, keyed_entries, keyed_list_entries
+from kindred.sources import (
+    catalogue_content, collection_ratings, keyed_entries, keyed_list_entries, read_id_export,
+    read_latest_snapshot, review_comments, reviewers,
+)
 from kindred.streaming.ingest import ingest_new_files, read_ingested
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -374,6 +377,48 @@ def boardgame_content(spark, sf):
     return catalogue_content(items)
 
 
+@query
+def boardgame_reviews(spark, sf):
+    """Review pages as XML text, one comment each."""
+    doc = F.concat(
+        F.lit("<items><item><comments totalitems=\"1\"><comment username=\""), "user_id",
+        F.lit("\" rating=\""), F.when(F.col("playtime") > 40, "N/A").otherwise(text("playtime")),
+        F.lit("\"/></comments></item></items>"),
+    )
+    parsed = F.from_xml(doc, S.REVIEW_PAGE, {"rowTag": "items"})
+    items = plays(spark, sf).select(
+        F.col("content_id").alias("game_id"), F.explode(parsed["item"]).alias("item")
+    )
+    return review_comments(items)
+
+
+@query
+def anime_reviews(spark, sf):
+    review = F.struct(F.array(F.struct(F.struct(F.col("user_id").alias("username")).alias("user"))).alias("data"))
+    docs = plays(spark, sf).select(
+        F.col("content_id").alias("anime_id"), F.from_json(F.to_json(review), S.ANIME_REVIEWS).alias("r")
+    )
+    return reviewers(docs.select("anime_id", "r.data"))
+
+
+@query
+def id_export(spark, sf):
+    """Part ids written as gzip JSON Lines and read back."""
+    path = scratch_path(spark, "export")
+    ids = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), "p_name")
+    ids.write.option("compression", "gzip").json(path)
+    return read_id_export(spark, path)
+
+
+@query
+def latest_snapshot(spark, sf):
+    """Two dated tables of which the newer one counts."""
+    base = scratch_path(spark, "snapshots")
+    write_zone(table(spark, sf, "customer").select(F.col("c_custkey").alias("id")), f"{base}/raw_movies_2023-12-31.parquet")
+    write_zone(table(spark, sf, "part").select(F.col("p_partkey").alias("id")), f"{base}/raw_movies_2024-01-02.parquet")
+    return read_latest_snapshot(spark, base)
+
+
 # --- edges and nodes -----------------------------------------------------------------------------
 
 @query
