@@ -113,7 +113,7 @@ class Index:
     seen: np.ndarray
 
 
-def split_words(column: pa.Array, low_offsets=None) -> list[np.ndarray]:
+def split_words(column: pa.Array) -> list[np.ndarray]:
     data, offsets = utf8(column)
     starts, ends = spans(data, offsets, WORD_BYTE)
     return np.split(hashes(data, starts, ends) | np.uint64(1), per_row(starts, offsets)[1:-1])
@@ -180,12 +180,15 @@ def _verified(index: Index, words: np.ndarray, begins: np.ndarray, places, items
     rows = np.searchsorted(begins, places, "right") - 1
     diagonal = places - within
     found: dict[tuple[int, int], tuple] = {}
-    spread = np.array([m for m in index.most])
+    if not len(places):
+        return found
+    spread = np.array(index.most)
     order = np.lexsort((diagonal, items, rows))
     rows, items, diagonal = rows[order], items[order], diagonal[order]
     new = np.ones(len(rows), bool)
     new[1:] = (rows[1:] != rows[:-1]) | (items[1:] != items[:-1]) | (diagonal[1:] - diagonal[:-1] > spread[items[1:]] + 1)
-    for a, b in zip(np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(rows)), strict=True):
+    firsts = np.flatnonzero(new)
+    for a, b in zip(firsts, np.append(firsts[1:], len(rows)), strict=True):
         row, k = int(rows[a]), int(items[a])
         if found.get((row, k), (1,))[0] == 0:
             continue
