@@ -57,5 +57,7 @@ def _unescape(texts: pd.Series) -> pd.Series:
 
 
 def unescape_html(c: Column | str) -> Column:
-    """Decode every HTML entity, in Arrow batches: Spark has no such built-in."""
-    return _unescape(_col(c))
+    """Decode every HTML entity; Spark has no such built-in. Only texts with an ``&`` are sent to
+    Python, in Arrow batches."""
+    c = _col(c)
+    return F.coalesce(_unescape(F.when(F.contains(c, F.lit("&")), c)), c)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from kindred.operators.bounded import broadcast_if_small
 from kindred.operators.topk import top_per_group
 
 
@@ -32,6 +31,7 @@ def top_by_pagerank(nodes: DataFrame, k: int = 5, digits: int = 6) -> DataFrame:
 
 
 def top_by_popularity(edges: DataFrame, content: DataFrame, k: int = 5) -> DataFrame:
-    """The ``k`` most liked contents of each domain. Titles are looked up for the winners only."""
+    """The ``k`` most liked contents of each domain. Titles are looked up for the winners only;
+    the few winners are broadcast if they turn out as small as they should."""
     top = top_per_group(likers(edges), ["type"], [F.desc("total_users"), "content_id"], k)
-    return content.join(broadcast_if_small(top), ["content_id", "type"], "inner")
+    return content.join(top, ["content_id", "type"])

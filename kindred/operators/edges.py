@@ -7,26 +7,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from kindred.operators.skew import ROWS_PER_SLICE, salted_join
 
 EDGE_COLUMNS = ["src_id", "src_type", "rel", "dst_id", "dst_type"]
 _KEY = ["type", "content_id"]
 
 
-def user_content(
-    ratings: DataFrame,
-    content: DataFrame,
-    how: str = "inner",
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
+def user_content(ratings: DataFrame, content: DataFrame, how: str = "inner") -> DataFrame:
     """Ratings of known content. ``how='right'`` adds an all-null row per content row without
-    ratings."""
+    ratings. Ratings are the left side of a plain join, where Spark splits the partition of a
+    content with very many of them."""
     if how not in ("inner", "right"):
         raise ValueError(how)
     columns = ["user_id", "type", "content_id", "rating"]
     keys = content.select(*_KEY)
-    rated = salted_join(ratings.select(*columns), keys, _KEY, rows_per_slice=rows_per_slice)
-    rated = rated.select(*columns)
+    rated = ratings.select(*columns).join(keys, _KEY).select(*columns)
     if how == "inner":
         return rated
     unrated = keys.join(ratings.select(*_KEY).distinct(), _KEY, "left_anti")
@@ -55,9 +49,11 @@ def edges_by_rating(rated: DataFrame, like: float = 8.0, dislike: float = 1.0) -
 
 
 def edges_has_keyword(keywords: DataFrame, keyword: str = "keyword") -> DataFrame:
-    """``has_keyword`` edges content → keyword, each once."""
+    """``has_keyword`` edges content → keyword, each once. Rows without an id, type or keyword give
+    no edge."""
+    complete = F.col(keyword).isNotNull() & F.col("content_id").isNotNull() & F.col("type").isNotNull()
     return (
-        keywords.filter(F.col(keyword).isNotNull())
+        keywords.filter(complete)
         .select(
             F.col("content_id").alias("src_id"),
             F.col("type").alias("src_type"),
@@ -70,12 +66,14 @@ def edges_has_keyword(keywords: DataFrame, keyword: str = "keyword") -> DataFram
 
 
 def node_id(label, key, kind=None):
-    """One text per node: label, domain (empty for keywords) and key."""
-    return F.concat_ws("|", label, F.coalesce(kind, F.lit("")) if kind is not None else F.lit(""), key)
+    """One text per node: label, domain (empty for keywords) and key; null without a key."""
+    kind = F.lit("") if kind is None else F.coalesce(kind, F.lit(""))
+    return F.concat(label, F.lit("|"), kind, F.lit("|"), key)
 
 
 def project_undirected(edges: DataFrame, rels: tuple[str, ...] = ("like", "has_keyword")) -> DataFrame:
-    """The graph that scores and embeddings run on: (``src``, ``dst``) in both directions."""
+    """The graph that scores and embeddings run on: (``src``, ``dst``) in both directions. Edges
+    without an id at either end are left out."""
     label = F.when(F.col("rel") == "has_keyword", "keyword").otherwise("users")
     content = node_id(F.lit("content"), F.col("src_id"), F.col("src_type"))
     other = node_id(label, F.col("dst_id"), F.col("dst_type"))
@@ -84,4 +82,5 @@ def project_undirected(edges: DataFrame, rels: tuple[str, ...] = ("like", "has_k
         F.struct(content.alias("src"), other.alias("dst")),
         F.struct(other.alias("src"), content.alias("dst")),
     )
-    return edges.filter(F.col("rel").isin(*rels)).select(F.inline(both))
+    whole = F.col("rel").isin(*rels) & F.col("src_id").isNotNull() & F.col("dst_id").isNotNull()
+    return edges.filter(whole).select(F.inline(both))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from kindred.functions.text import normalise_user
+from kindred.operators.nodes import one_row_per_key
 from kindred.schema import CONTENT, RATINGS, conform
 
 
@@ -28,10 +29,13 @@ def first_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def merge_content(*dfs: DataFrame, cap_per_type: int | None = None) -> DataFrame:
-    """Union of content tables. ``cap_per_type`` keeps the first rows by ``content_id`` of each
-    input; each cap is a distributed top-n on that input alone."""
-    tables = [conform(df, CONTENT) for df in dfs]
-    if cap_per_type is not None:
-        tables = [first_rows(t, ["content_id", "title"], cap_per_type) for t in tables]
-    return _union(tables)
+def merge_content(*dfs: DataFrame) -> DataFrame:
+    """Union of content tables."""
+    return _union(conform(df, CONTENT) for df in dfs)
+
+
+def unique_content(content: DataFrame) -> DataFrame:
+    """One row per (``content_id``, ``type``), the last by its other columns; rows without an id or
+    a type are left out."""
+    known = content.filter(F.col("content_id").isNotNull() & F.col("type").isNotNull())
+    return one_row_per_key(known, ["content_id", "type"])

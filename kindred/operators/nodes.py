@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from kindred.functions.text import plain_user
+from kindred.operators.edges import node_id
 
 
 def build_nodes(
@@ -32,21 +33,41 @@ def build_nodes(
     }
 
 
-def upsert_nodes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+def node_list(tables: dict[str, DataFrame]) -> DataFrame:
+    """The ids (``node``) of all nodes of ``build_nodes``, linked or not."""
+    content, users, words = tables["content"], tables["users"], tables["keyword"]
+    ids = (
+        content.select(node_id(F.lit("content"), F.col("content_id"), F.col("type")).alias("node")),
+        users.select(node_id(F.lit("users"), F.col("user_id"), F.col("type")).alias("node")),
+        words.select(node_id(F.lit("keyword"), F.col("keywords")).alias("node")),
+    )
+    return ids[0].unionByName(ids[1]).unionByName(ids[2]).filter("node IS NOT NULL").distinct()
+
+
+def one_row_per_key(df: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """The last row of each key by ``order``; equals, or all without it, by their other columns."""
+    rest = [c for c in df.columns if c not in keys and c != order]
+    row = F.max(F.struct(*([order] if order else []), *rest)).alias("__row")
+    chosen = df.groupBy(*keys).agg(row)
+    return chosen.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
+
+
+def upsert_nodes(old: DataFrame, new: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
     """Merge by key: a property of ``new`` replaces that of ``old`` unless it is null.
 
-    One grouped aggregate over the union instead of a full join: rows combine before the shuffle,
-    and repeated keys on either side are harmless (the largest value is taken).
+    Where a side has several rows for a key, one of them counts as a whole: the last by ``order``, as
+    in ``one_row_per_key``. Grouped aggregates over the union stand for a full join, so rows combine
+    before they are moved. Null keys are one key.
     """
     columns = [*old.columns, *[c for c in new.columns if c not in old.columns]]
-    both = old.withColumn("__new", F.lit(0)).unionByName(
-        new.withColumn("__new", F.lit(1)), allowMissingColumns=True
-    )
+    sides = [df.withColumn("__new", F.lit(i)) for i, df in enumerate((old, new))]
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    single = one_row_per_key(both, [*keys, "__new"], order)
 
     def latest(c: str):
         return F.max(F.when(F.col(c).isNotNull(), F.struct("__new", c)))[c].alias(c)
 
-    merged = both.groupBy(*keys).agg(*[latest(c) for c in columns if c not in keys])
+    merged = single.groupBy(*keys).agg(*[latest(c) for c in columns if c not in keys])
     return merged.select(*columns)
 
 
@@ -60,12 +81,13 @@ def attach_node_property(
 
 
 def split_node_id(df: DataFrame, node: str = "node") -> DataFrame:
-    """``node`` back to ``label``, ``type`` and ``key``; the key may itself contain the separator."""
+    """``node`` back to ``label``, ``type`` and ``key``; the key may itself contain the separator.
+    All three are null for a null node."""
     parts = F.split(F.col(node), r"\|", 3)
     return df.select(
-        parts[0].alias("label"),
-        F.nullif(parts[1], F.lit("")).alias("type"),
-        parts[2].alias("key"),
+        F.get(parts, F.lit(0)).alias("label"),
+        F.nullif(F.get(parts, F.lit(1)), F.lit("")).alias("type"),
+        F.get(parts, F.lit(2)).alias("key"),
         *[c for c in df.columns if c != node],
     )
 

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from kindred.functions.dates import last_year
 from kindred.functions.text import json_default
 from kindred.operators.playtime import normalise_playtime
-from kindred.operators.skew import ROWS_PER_SLICE, salted_join
 from kindred.schema import CONTENT, RATINGS, conform
 
 
@@ -15,9 +14,9 @@ def player_names(profiles: DataFrame) -> DataFrame:
     """(``key``, ``user_id``): the display name in the first profile listed for each account.
 
     Accounts whose first profile is empty are left out. ``profiles`` comes from
-    ``read_keyed_json_list``; without ``position`` any one profile is taken as the first.
+    ``read_keyed_json_list``, whose ``position`` tells the order; equal positions go by the text.
     """
-    position = F.col("position") if "position" in profiles.columns else F.lit(0)
+    position = F.col("position")
     first = profiles.groupBy("key").agg(
         F.min_by(F.struct(F.map_entries("value").alias("entries")), F.struct(position, F.to_json("value"))).alias("p")
     )
@@ -32,7 +31,6 @@ def videogame_ratings(
     profiles: DataFrame,
     key: str = "user_id",
     type_label: str = "videogame",
-    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Playing times to ratings 1..10 relative to each user's most played game.
 
@@ -43,11 +41,8 @@ def videogame_ratings(
         F.col("g.appid").cast("string").alias("content_id"),
         F.col("g.playtime_forever").alias("playtime"),
     )
-    played = salted_join(
-        owned.filter(F.col("playtime") > 0), player_names(profiles), ["key"],
-        rows_per_slice=rows_per_slice,
-    ).withColumnRenamed("key", "account")
-    rated = normalise_playtime(played, key=key, rows_per_slice=rows_per_slice)
+    played = owned.filter(F.col("playtime") > 0).join(player_names(profiles), "key")
+    rated = normalise_playtime(played.withColumnRenamed("key", "account"), key=key)
     return conform(rated.withColumn("type", F.lit(type_label)), RATINGS)
 
 

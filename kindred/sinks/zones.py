@@ -23,7 +23,8 @@ def write_zone(
 
 
 def publish(df: DataFrame, zone: str, prefix: str, partition_by: tuple[str, ...] = ("type",)) -> DataFrame:
-    """Write under a prefix of a zone, by domain, and return the table as read back."""
+    """Write under a prefix of a zone, by domain, and return the table as read back: with the types
+    it was written with, in the order of its columns."""
     path = f"{zone.rstrip('/')}/{prefix}"
     write_zone(df, path, partition_by=list(partition_by))
-    return df.sparkSession.read.parquet(path).select(*df.columns)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

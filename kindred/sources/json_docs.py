@@ -16,8 +16,14 @@ def read_json_multiline(
 
 
 def _documents(spark: SparkSession, path: str, lines: bool) -> DataFrame:
-    """One row per document: per line (splittable) or per file."""
-    return spark.read.text(path, wholetext=not lines)
+    """One row per document, per line (splittable) or per file, and its ``place``: the file, where the
+    part that a task read of it begins, and the row's number, which grows within a part."""
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return spark.read.text(path, wholetext=not lines).select("value", place.alias("place"))
 
 
 def keyed_entries(docs: DataFrame, text: str, value_schema: str) -> DataFrame:
@@ -36,43 +42,45 @@ def keyed_list_entries(docs: DataFrame, text: str, value_schema: str) -> DataFra
 
 
 def read_keyed_json(
-    spark: SparkSession, path: str, value_schema: str, lines: bool = False
+    spark: SparkSession, path: str, value_schema: str, lines: bool = True
 ) -> DataFrame:
-    """Files that hold one object keyed by id.
-
-    A file of one object is read by one task. With ``lines=True`` every line is such an object, and
-    files split as usual; large collections should come that way.
-    """
+    """Objects keyed by id, one per line, so that files split as usual. With ``lines=False`` a file is
+    one object, which one task reads."""
     return keyed_entries(_documents(spark, path, lines), "value", value_schema)
 
 
 def read_keyed_json_list(
-    spark: SparkSession, path: str, value_schema: str, lines: bool = False
+    spark: SparkSession, path: str, value_schema: str, lines: bool = True
 ) -> DataFrame:
-    """Files that hold a list of single-key objects; ``lines=True`` as in ``read_keyed_json``
-    (each line then one object)."""
+    """Single-key objects, one per line, or with ``lines=False`` files that hold a list of them.
+
+    ``position`` orders the entries alike in both forms: by file name, and within a file as listed.
+    """
     docs = _documents(spark, path, lines)
-    if lines:
-        docs = docs.select(F.concat(F.lit("["), "value", F.lit("]")).alias("value"))
-    return keyed_list_entries(docs, "value", value_schema)
+    text = F.concat(F.lit("["), "value", F.lit("]")) if lines else F.col("value")
+    parsed = F.from_json(text, f"array<map<string,{value_schema}>>")
+    objects = docs.select("place", F.posexplode(parsed).alias("index", "entry"))
+    return objects.select("place", "index", F.explode("entry").alias("key", "value")).select(
+        "key", "value", F.struct("place", "index").alias("position")
+    )
 
 
-def read_anime_lists(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON array per user; ``user_id`` is the file stem."""
-    return with_file_key(
-        read_json_multiline(spark, path, S.ANIME_LIST), r"/([^/]+)\.json$", "user_id"
-    )
+def read_anime_lists(
+    spark: SparkSession, path: str, glob: str = "*.json", key: str = r"/([^/]+)\.json$"
+) -> DataFrame:
+    """One JSON array per user; ``user_id`` is what ``key`` finds in the path, the file stem by default."""
+    return with_file_key(read_json_multiline(spark, path, S.ANIME_LIST, glob=glob), key, "user_id")
 
 
-def read_anime_info(spark: SparkSession, path: str) -> DataFrame:
-    return read_json_multiline(spark, path, S.ANIME_INFO)
+def read_anime_info(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+    return read_json_multiline(spark, path, S.ANIME_INFO, glob=glob)
 
 
-def read_review_json(spark: SparkSession, path: str) -> DataFrame:
+def read_review_json(
+    spark: SparkSession, path: str, glob: str = "*.json", key: str = r"/([^/]+)\.json$"
+) -> DataFrame:
     """(``anime_id``, ``username``) of every review; one file per anime."""
-    docs = with_file_key(
-        read_json_multiline(spark, path, S.ANIME_REVIEWS), r"/([^/]+)\.json$", "anime_id"
-    )
+    docs = with_file_key(read_json_multiline(spark, path, S.ANIME_REVIEWS, glob=glob), key, "anime_id")
     return reviewers(docs)
 
 

@@ -52,26 +52,33 @@ def catalogue_content(items: DataFrame, content_id: str = "content_id", item: st
     )
 
 
-def read_collections_xml(spark: SparkSession, path: str, root_tag: str = "items") -> DataFrame:
-    """One file per user, one ``item`` per owned game, to ratings."""
-    roots = _read_roots(spark, path, f"item array<{S.COLLECTION_ITEM}>", root_tag, "*.xml")
-    users = with_file_key(roots, r"/([^/]+)\.xml$", "user_id")
+def read_collections_xml(
+    spark: SparkSession, path: str, root_tag: str = "items", glob: str = "*.xml", key: str = r"/([^/]+)\.xml$"
+) -> DataFrame:
+    """One file per user, one ``item`` per owned game, to ratings. Here and below ``glob`` chooses the
+    files by name, and ``key`` finds the id in their path."""
+    roots = _read_roots(spark, path, f"item array<{S.COLLECTION_ITEM}>", root_tag, glob)
+    users = with_file_key(roots, key, "user_id")
     return collection_ratings(users.select("user_id", F.explode("item").alias("item")))
 
 
-def read_catalogue_xml(spark: SparkSession, path: str, root_tag: str = "items") -> DataFrame:
+def read_catalogue_xml(
+    spark: SparkSession, path: str, root_tag: str = "items", glob: str = "1.xml", key: str = r"/([^/]+)/1\.xml$"
+) -> DataFrame:
     """One folder per game of which only ``1.xml`` is read, to content."""
     roots = _read_roots(
-        spark, f"{path.rstrip('/')}/*", f"item array<{S.CATALOGUE_ITEM}>", root_tag, "1.xml"
+        spark, f"{path.rstrip('/')}/*", f"item array<{S.CATALOGUE_ITEM}>", root_tag, glob
     )
-    games = with_file_key(roots, r"/([^/]+)/1\.xml$", "content_id")
+    games = with_file_key(roots, key, "content_id")
     return catalogue_content(games.select("content_id", F.explode("item").alias("item")))
 
 
-def read_review_pages_xml(spark: SparkSession, path: str, root_tag: str = "items") -> DataFrame:
+def read_review_pages_xml(
+    spark: SparkSession, path: str, root_tag: str = "items", glob: str = "*.xml", key: str = r"/([^/]+)/[^/]+\.xml$"
+) -> DataFrame:
     """Review pages, one folder per game, to (``game_id``, ``username``, ``rating``)."""
-    roots = _read_roots(spark, f"{path.rstrip('/')}/*", S.REVIEW_PAGE, root_tag, "*.xml")
-    games = with_file_key(roots, r"/([^/]+)/[^/]+\.xml$", "game_id")
+    roots = _read_roots(spark, f"{path.rstrip('/')}/*", S.REVIEW_PAGE, root_tag, glob)
+    games = with_file_key(roots, key, "game_id")
     return review_comments(games.select("game_id", F.explode("item").alias("item")))
 
 

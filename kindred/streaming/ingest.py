@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from kindred.operators.nodes import one_row_per_key
 from kindred.sinks.zones import write_zone
 
 
@@ -38,8 +39,9 @@ def ingest_new_files(
 
 
 def read_ingested(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
-    """The ingested table: per key, the properties of the latest batch that set them."""
-    rows = spark.read.parquet(target)
+    """The ingested table: per key, the properties of the latest batch that set them. Of several rows
+    for a key in one batch, one counts as a whole (``one_row_per_key``)."""
+    rows = one_row_per_key(spark.read.parquet(target), [*keys, "batch"])
     columns = [c for c in rows.columns if c not in (*keys, "batch")]
 
     def latest(c: str):

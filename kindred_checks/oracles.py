@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
 from kindred.functions.stop_words import ENGLISH
-from kindred.operators.keywords import SENTENCE_END, TOKEN, WORD
 from kindred_checks.wiring import CONTENT_ID, KIND, KINDS, TEXT, USER
 
 ORACLES: dict[str, str] = {}
@@ -60,6 +61,11 @@ GRAPH = """graph AS MATERIALIZED (
 VECTORS = """vectors AS (
     SELECT content.*, CAST(embedding AS DOUBLE[]) AS embedding
     FROM content JOIN embeddings ON content_id = CAST(vec_id AS VARCHAR))"""
+NODES = """nodes AS MATERIALIZED (
+    SELECT 'content|' || type || '|' || content_id AS node FROM content
+    UNION SELECT 'users|' || r.type || '|' || user_id FROM ratings r JOIN content c
+      ON r.content_id = c.content_id AND r.type = c.type
+    UNION SELECT 'keyword||' || dst_id FROM keyword_edges)"""
 LIKERS = """likers AS (
     SELECT src_id AS content_id, src_type AS type, count(DISTINCT dst_id) AS total_users
     FROM rating_edges WHERE rel = 'like' GROUP BY ALL)"""
@@ -77,12 +83,13 @@ oracle("merged_ratings", "SELECT * FROM merged", *ALL_RATINGS)
 oracle("merged_content", "SELECT * FROM merged_content", CONTENT, DOCS, MERGED_CONTENT)
 oracle(
     "merged_content_capped",
-    """SELECT content_id, description, release_year, type, title FROM (
-         SELECT *, row_number() OVER (PARTITION BY src ORDER BY content_id, title) AS n
-         FROM (SELECT 1 AS src, * FROM content UNION ALL SELECT 2, * FROM docs))
-       WHERE n <= 5000""",
-    CONTENT, DOCS,
+    """SELECT * FROM (
+         SELECT *, CAST(row_number() OVER (PARTITION BY type ORDER BY content_id, title) AS INTEGER) AS rank
+         FROM merged_content)
+       WHERE rank <= 5""",
+    CONTENT, DOCS, MERGED_CONTENT,
 )
+oracle("unique_content", "SELECT * FROM content", CONTENT)
 oracle("count_ratings_by_type", counted("merged", "type"), *ALL_RATINGS)
 oracle("count_content_by_type", counted("merged_content", "type"), CONTENT, DOCS, MERGED_CONTENT)
 oracle("count_by_user", counted("merged", "user_id"), *ALL_RATINGS)
@@ -96,10 +103,15 @@ oracle(
 oracle("user_by_type", counted(f"(SELECT * FROM merged WHERE user_id = '{USER}')", "type"), *ALL_RATINGS)
 oracle(
     "titles_in_order",
-    f"SELECT content_id, title FROM content WHERE type = '{KIND}' ORDER BY title, content_id LIMIT 500",
+    f"""SELECT content_id, title, CAST(row_number() OVER (ORDER BY title, content_id) AS INTEGER) AS place
+        FROM content WHERE type = '{KIND}' ORDER BY title, content_id LIMIT 20""",
     CONTENT,
 )
-oracle("first_ids", "SELECT p_partkey FROM part ORDER BY p_partkey LIMIT 9000")
+oracle("first_ids", "SELECT p_partkey FROM part ORDER BY p_partkey LIMIT 150")
+oracle(
+    "sample_rows",
+    "SELECT l_orderkey, l_linenumber FROM lineitem WHERE left(md5(l_orderkey || ':' || l_linenumber), 2) = '07'",
+)
 
 # --- scalar functions ----------------------------------------------------------------------------
 
@@ -228,6 +240,16 @@ oracle(
 )
 oracle("rating_edges", "SELECT * FROM rating_edges", *EDGES)
 oracle("keyword_edges", "SELECT * FROM keyword_edges", CONTENT, KEYWORD_EDGES)
+oracle(
+    "keyword_edges_of_incomplete_rows",
+    """SELECT 'content' AS label, type, content_id AS key, 'keyword||' || keyword AS dst FROM links
+       UNION ALL SELECT 'keyword', NULL, keyword, 'content|' || type || '|' || content_id FROM links""",
+    CONTENT,
+    """links AS (
+        SELECT DISTINCT content_id, type, keyword
+        FROM (SELECT content_id, type, unnest(string_split(title, ' ')) AS keyword FROM content)
+        WHERE content_id::INT % 5 <> 0 AND content_id::INT % 7 <> 0 AND length(keyword) > 4)""",
+)
 oracle("undirected_graph", "SELECT src, dst FROM graph", *EDGES, PAIRS, GRAPH)
 oracle(
     "node_tables",
@@ -245,6 +267,16 @@ oracle(
                 CASE WHEN max(l_quantity) < 50 THEN CAST(max(l_quantity) AS INTEGER) END AS p_size
          FROM lineitem GROUP BY l_partkey) n ON p.p_partkey = n.p_partkey""",
 )
+oracle(
+    "upsert_last_row",
+    """SELECT p.p_partkey, coalesce(n.p_size, p.p_size) AS p_size, p_retailprice, coalesce(n.sale, 0) AS sale, discount
+       FROM part p LEFT JOIN (
+         SELECT l_partkey, l_orderkey * 10 + l_linenumber AS sale, l_discount AS discount,
+                CASE WHEN l_quantity < 30 THEN CAST(l_quantity AS INTEGER) END AS p_size
+         FROM lineitem
+         QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey * 10 + l_linenumber DESC) = 1) n
+       ON p.p_partkey = n.l_partkey""",
+)
 oracle("frontier", "SELECT DISTINCT doc_id FROM documents ANTI JOIN labels USING (doc_id)")
 oracle("high_water_mark", "SELECT max(o_orderkey) AS o_orderkey FROM orders")
 oracle("distinct_raters", "SELECT DISTINCT content_id, user_id FROM plays", PLAYS)
@@ -298,7 +330,10 @@ KEYWORD_LIST = """keyword_list AS (
              lambda k: upper(left(k, 1)) || lower(substr(k, 2))), ', ') AS keywords
     FROM keyword_edges GROUP BY ALL)"""
 oracle("similar_content", "SELECT * FROM matches", CONTENT, VECTORS, ORIGIN, similar("origin", "vectors", 8))
-oracle("similar_content_batch", "SELECT * FROM matches", CONTENT, VECTORS, similar("vectors", "vectors", 2))
+oracle(
+    "similar_content_batch", "SELECT * FROM matches", CONTENT, VECTORS,
+    similar("(SELECT * FROM vectors WHERE content_id::BIGINT % 50 = 0)", "vectors", 2),
+)
 _WITH_KEYWORDS = (
     CONTENT, VECTORS, KEYWORD_EDGES, KEYWORD_LIST, ORIGIN,
     "tagged AS (SELECT vectors.* FROM vectors SEMI JOIN keyword_list USING (content_id, type))",
@@ -336,6 +371,10 @@ def singular(w: str) -> str:
     return f"CASE WHEN length({w}) > 3 AND {w} LIKE '%s' THEN left({w}, length({w}) - 1) ELSE {w} END"
 
 
+# As the texts are cut: sentences, tokens, words.
+SENTENCE_END = '[.!?\\n]+'
+TOKEN = "[\\p{L}\\p{N}]+(?:['’-][\\p{L}\\p{N}]+)*|[^\\p{L}\\p{N}\\s]+"
+WORD = '[\\p{L}\\p{N}]'
 _STOP = ", ".join(map(quoted, ENGLISH))
 _SENTENCES = SENTENCE_END.replace("\\n", "\n")
 KEYWORDS = (
@@ -441,22 +480,30 @@ def rank_rounds(extra: str, rounds: int = 20) -> tuple[str, ...]:
     """One CTE per round; r0 holds the start value."""
     ctes = [
         "degree AS MATERIALIZED (SELECT src AS node, count(*) AS deg FROM graph GROUP BY src)",
-        "average AS MATERIALIZED (SELECT avg(deg) AS avg_deg FROM degree)",
+        "average AS MATERIALIZED (SELECT (SELECT count(*) FROM graph) / (SELECT count(*) FROM nodes) AS avg_deg)",
         f"""hops AS MATERIALIZED (
             SELECT src, dst, 0.85 / (deg + {extra}) AS share FROM graph
             JOIN degree ON src = node CROSS JOIN average)""",
-        "r0 AS MATERIALIZED (SELECT node, CAST(0.15 AS DOUBLE) AS score FROM degree)",
+        "r0 AS MATERIALIZED (SELECT node, CAST(0.15 AS DOUBLE) AS score FROM nodes)",
     ]
     ctes += [
         f"""r{i} AS MATERIALIZED (
-            SELECT dst AS node, 0.15 + sum(CAST(share AS DOUBLE) * score) AS score
-            FROM hops JOIN r{i - 1} ON src = node GROUP BY dst)"""
+            SELECT n.node, 0.15 + coalesce(got, 0) AS score
+            FROM nodes n LEFT JOIN (
+              SELECT dst, sum(CAST(share AS DOUBLE) * score) AS got
+              FROM hops JOIN r{i - 1} ON src = node GROUP BY dst) ON dst = n.node)"""
         for i in range(1, rounds + 1)
     ]
     return tuple(ctes)
 
 
-PAGE_RANK = (*EDGES, PAIRS, GRAPH, *rank_rounds("0"))
+def article_rounds() -> tuple[str, ...]:
+    """The rounds of ArticleRank beside those of PageRank."""
+    tables = rank_rounds("avg_deg")[2:]
+    return tuple(re.sub(r"\br(\d+)\b", r"a\1", t).replace("hops", "article_hops") for t in tables)
+
+
+PAGE_RANK = (*EDGES, PAIRS, GRAPH, NODES, *rank_rounds("0"))
 RANKED = """ranked AS (
     SELECT c.content_id, c.type, c.title, round(score, 6) AS pagerank
     FROM content c LEFT JOIN r20 ON node = 'content|' || c.type || '|' || c.content_id)"""
@@ -464,7 +511,12 @@ oracle("page_rank", "SELECT node, round(score, 6) AS pagerank FROM r20", *PAGE_R
 oracle(
     "article_rank",
     "SELECT node, round(score, 6) AS centrality FROM r20",
-    *EDGES, PAIRS, GRAPH, *rank_rounds("avg_deg"),
+    *EDGES, PAIRS, GRAPH, NODES, *rank_rounds("avg_deg"),
+)
+oracle(
+    "both_ranks",
+    "SELECT node, round(r.score, 6) AS pagerank, round(a20.score, 6) AS centrality FROM r20 r JOIN a20 USING (node)",
+    *PAGE_RANK, *article_rounds(),
 )
 oracle("node_property", "SELECT content_id, type, pagerank FROM ranked", *PAGE_RANK, RANKED)
 oracle(
@@ -489,21 +541,36 @@ def rp_round(i: int) -> tuple[str, ...]:
     )
 
 
+def random_projection(dim: int) -> tuple[str, ...]:
+    return (
+        f"digest AS (SELECT DISTINCT src AS node, b FROM graph CROSS JOIN range({dim // 8}) t(b))",
+        """hashed AS (SELECT node, b, md5('7474:' || node || ':' || b) AS h FROM digest)""",
+        """sides AS (
+            SELECT node, b * 8 + i AS d,
+                   CAST('0x' || substr(h, CAST(i * 4 + 1 AS INTEGER), 4) AS INTEGER) % 6 AS side
+            FROM hashed CROSS JOIN range(8) t(i))""",
+        """v0 AS MATERIALIZED (
+            SELECT node, d, CASE side WHEN 0 THEN CAST(1 AS DOUBLE) WHEN 1 THEN -1 ELSE 0 END AS v
+            FROM sides)""",
+        *rp_round(1), *rp_round(2), *rp_round(3),
+    )
+
+
 oracle(
     "fast_rp",
-    """SELECT node, string_agg(CAST(CAST(round((a.v + b.v) * 1e6) AS BIGINT) AS VARCHAR), ' ' ORDER BY d)
-                AS embedding
-       FROM v2 a JOIN v3 b USING (node, d) GROUP BY node""",
-    *EDGES, PAIRS, GRAPH,
-    "digest AS (SELECT DISTINCT src AS node, b FROM graph CROSS JOIN range(32) t(b))",
-    """hashed AS (SELECT node, b, md5('7474:' || node || ':' || b) AS h FROM digest)""",
-    """sides AS (
-        SELECT node, b * 8 + i AS d, CAST('0x' || substr(h, CAST(i * 4 + 1 AS INTEGER), 4) AS INTEGER) % 6 AS side
-        FROM hashed CROSS JOIN range(8) t(i))""",
-    """v0 AS MATERIALIZED (
-        SELECT node, d, CASE side WHEN 0 THEN CAST(1 AS DOUBLE) WHEN 1 THEN -1 ELSE 0 END AS v
-        FROM sides)""",
-    *rp_round(1), *rp_round(2), *rp_round(3),
+    f"""SELECT node, coalesce(embedding, {quoted(" ".join(["0"] * 256))}) AS embedding
+       FROM nodes LEFT JOIN (
+         SELECT node, string_agg(CAST(CAST(round((a.v + b.v) * 1e6) AS BIGINT) AS VARCHAR), ' ' ORDER BY d) AS embedding
+         FROM v2 a JOIN v3 b USING (node, d) GROUP BY node) USING (node)""",
+    *EDGES, PAIRS, GRAPH, NODES, *random_projection(256),
+)
+oracle(
+    "users_with_embedding",
+    """SELECT DISTINCT r.user_id, r.type, 8 AS width, CAST(r.user_id || '|' || r.type NOT IN (
+         SELECT dst_id || '|' || dst_type FROM rating_edges WHERE rel = 'like') AS INTEGER) AS zero
+       FROM ratings r JOIN content c ON r.content_id = c.content_id AND r.type = c.type
+       UNION ALL SELECT content_id, 'none', NULL, NULL FROM content""",
+    *EDGES,
 )
 
 # --- sinks and streaming -------------------------------------------------------------------------
@@ -513,3 +580,103 @@ oracle(
     "ingest_events",
     "SELECT user_id, max(event_id) AS event_id, count(*) AS events FROM events GROUP BY user_id",
 )
+oracle(
+    "ingest_two_batches",
+    """SELECT user_id, coalesce(b.event_id, a.event_id) AS event_id, coalesce(b.value, a.value) AS value
+       FROM (SELECT * FROM halves WHERE half = 0) a FULL JOIN (SELECT * FROM halves WHERE half = 1) b USING (user_id)""",
+    """halves AS (
+        SELECT user_id, event_id % 2 AS half, event_id, CASE WHEN event_id % 5 <> 0 THEN value END AS value
+        FROM events WHERE event_id % 2 = 0 OR user_id % 3 <> 0
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_id % 2 ORDER BY event_id DESC) = 1)""",
+)
+oracle(
+    "zone_variants",
+    """SELECT CASE p_partkey % 2 WHEN 0 THEN 'a' ELSE 'b' END AS folder, count(*) AS n,
+              CAST(sum(p_partkey) AS BIGINT) AS keys, true AS one_file, true AS refused
+       FROM part GROUP BY folder""",
+)
+
+# --- files of other systems ----------------------------------------------------------------------
+
+oracle(
+    "collections_files",
+    """SELECT 'nr +%' || l_suppkey AS user_id, 'boardgame' AS type, CAST(l_partkey AS VARCHAR) AS content_id,
+              CASE WHEN l_quantity <= 40 THEN l_quantity END AS rating, TIMESTAMP '2020-01-02 03:04:05' AS rating_date
+       FROM lineitem WHERE l_suppkey <> 1""",
+)
+oracle(
+    "catalogue_files",
+    """SELECT 'nr +%' || p_brand AS content_id, p_brand || ' & more' AS description, p_size AS release_year,
+              'boardgame' AS type, p_name AS title
+       FROM part""",
+)
+oracle(
+    "review_page_files",
+    """SELECT CAST(l_suppkey AS VARCHAR) AS game_id, CAST(l_orderkey AS VARCHAR) AS username,
+              CASE WHEN l_quantity <= 40 THEN l_quantity END AS rating
+       FROM lineitem""",
+)
+oracle(
+    "review_json_files",
+    "SELECT CAST(l_suppkey AS VARCHAR) AS anime_id, CAST(l_orderkey AS VARCHAR) AS username FROM lineitem",
+)
+oracle(
+    "anime_list_files",
+    """SELECT CAST(user_id AS VARCHAR) AS user_id, 'anime' AS type, CAST(event_id AS VARCHAR) AS content_id,
+              CAST(floor(value) AS DOUBLE) AS rating, date_trunc('second', ts) AS rating_date
+       FROM events WHERE user_id <> 1""",
+)
+oracle(
+    "anime_info_files",
+    """SELECT CAST(p_partkey AS VARCHAR) AS content_id, p_brand AS description,
+              CAST(p_size + 1970 AS INTEGER) AS release_year, 'anime' AS type, p_name AS title
+       FROM part""",
+)
+FIRST_PROFILES = """SELECT CAST(c_custkey AS VARCHAR) AS key, CASE WHEN c_nationkey < 10 THEN 'Unknown' ELSE c_name END AS user_id
+       FROM customer WHERE c_nationkey >= 5"""
+oracle("first_profiles", FIRST_PROFILES)
+oracle("first_profiles_of_an_array", FIRST_PROFILES)
+oracle(
+    "keyed_json_lines",
+    """SELECT CAST(p_partkey AS VARCHAR) AS content_id, p_brand AS description, CAST(1999 AS INTEGER) AS release_year,
+              'videogame' AS type, p_name AS title
+       FROM part""",
+)
+oracle(
+    "consolidated_documents",
+    """SELECT '{"brand":"' || p_brand || '","n":' || count(*) || '}' AS json, true AS named FROM part GROUP BY p_brand""",
+)
+oracle(
+    "videogame_variants",
+    """SELECT CASE WHEN c_nationkey < 10 THEN 'Unknown' ELSE c_name END AS user_id, CAST(l_partkey AS VARCHAR) AS content_id,
+              CAST(ceil(playtime / max(playtime) OVER (PARTITION BY o_custkey) * 10) AS DOUBLE) AS rating
+       FROM (SELECT c_nationkey, c_name, o_custkey, l_partkey, CAST(l_quantity AS BIGINT) - 1 AS playtime
+             FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+             WHERE c_nationkey >= 5)
+       WHERE playtime > 0""",
+)
+
+# --- the whole build -----------------------------------------------------------------------------
+
+_BUILD_EDGES = """keyword_edges AS (
+    SELECT DISTINCT split_part(doc_id, '|', 1) AS src_id, split_part(doc_id, '|', 2) AS src_type, 'has_keyword' AS rel,
+           keyword AS dst_id, CAST(NULL AS VARCHAR) AS dst_type
+    FROM distinct_keywords)"""
+_BUILD_VECTORS = """vectors AS (
+    SELECT c.content_id, c.type, c.title, embedding
+    FROM content c JOIN (
+      SELECT node, list(a.v + b.v ORDER BY d) AS embedding FROM v2 a JOIN v3 b USING (node, d) GROUP BY node)
+    ON node = 'content|' || c.type || '|' || c.content_id)"""
+oracle(
+    "recommendations_end_to_end",
+    f"""SELECT CAST(list_position([{KIND_LIST}], type) AS INTEGER) AS kind_rank, rank, content_id, type, title, similarity,
+               keywords, round(r20.score, 6) AS pagerank, round(a20.score, 6) AS centrality
+        FROM matches JOIN keyword_list USING (content_id, type)
+        JOIN r20 ON r20.node = 'content|' || type || '|' || content_id
+        JOIN a20 ON a20.node = r20.node""",
+    CONTENT, "documents AS (SELECT content_id || '|' || type AS doc_id, description AS text FROM content)",
+    *DISTINCT_KEYWORDS, PLAYS, RATINGS, RATING_EDGES, _BUILD_EDGES, PAIRS, GRAPH, NODES, KEYWORD_LIST,
+    *random_projection(16), _BUILD_VECTORS,
+    ORIGIN, "tagged AS (SELECT vectors.* FROM vectors SEMI JOIN keyword_list USING (content_id, type))",
+    similar("origin", "tagged", 2), *rank_rounds("0"), *article_rounds(),
+)

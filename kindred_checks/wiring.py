@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from kindred import functions as fn
 from kindred import schema as S
@@ -12,12 +13,17 @@ from kindred.operators import (
     centrality, charts, edges, embedding, incremental, keywords, merge, nodes, playtime, profile,
     recommend,
 )
+from kindred.operators.graph import Adjacency
+from kindred.operators.topk import top_per_group
 from kindred.plans import anime, movie, videogame
+from kindred.plans.catalogue import build_catalogue
 from kindred.session import scratch_path
 from kindred.sinks.zones import publish, write_zone
 from kindred.sources import (
-    catalogue_content, collection_ratings, keyed_entries, keyed_list_entries, read_id_export,
-    read_latest_snapshot, review_comments, reviewers,
+    catalogue_content, collection_ratings, consolidate_documents, keyed_entries, keyed_list_entries,
+    read_anime_info, read_anime_lists, read_catalogue_xml, read_collections_xml, read_id_export,
+    read_keyed_json, read_keyed_json_list, read_latest_snapshot, read_parquet_many,
+    read_review_json, read_review_pages_xml, review_comments, reviewers,
 )
 from kindred.streaming.ingest import ingest_new_files, read_ingested
 
@@ -113,18 +119,19 @@ def title_keywords(spark, sf) -> DataFrame:
 
 
 def rating_edge_table(spark, sf) -> DataFrame:
-    rated = stored(spark, ratings(spark, sf), "ratings")
-    return edges.edges_by_rating(edges.user_content(rated, content(spark, sf)))
+    return edges.edges_by_rating(edges.user_content(ratings(spark, sf), content(spark, sf)))
 
 
 def keyword_edge_table(spark, sf) -> DataFrame:
     return edges.edges_has_keyword(title_keywords(spark, sf))
 
 
-def graph(spark, sf) -> DataFrame:
-    """The undirected graph, written once: the iterative jobs read it several times."""
+def graph(spark, sf) -> Adjacency:
+    """The undirected graph over all nodes, its edges written once: the jobs read them several times."""
+    rated = edges.user_content(ratings(spark, sf), content(spark, sf))
+    tables = nodes.build_nodes(content(spark, sf), rated, title_keywords(spark, sf))
     both = rating_edge_table(spark, sf).unionByName(keyword_edge_table(spark, sf))
-    return stored(spark, edges.project_undirected(both), "graph")
+    return Adjacency(nodes.node_list(tables), stored(spark, edges.project_undirected(both), "graph"))
 
 
 def vectors(spark, sf) -> DataFrame:
@@ -158,7 +165,19 @@ def merged_content(spark, sf):
 
 @query
 def merged_content_capped(spark, sf):
-    return merge.merge_content(content(spark, sf), documents(spark, sf), cap_per_type=5000)
+    """A listing: the first five contents of each type by id and title."""
+    both = merge.merge_content(content(spark, sf), documents(spark, sf))
+    return top_per_group(both, ["type"], ["content_id", "title"], 5)
+
+
+@query
+def unique_content(spark, sf):
+    """Parts listed twice, some without an id, to one row per id and type."""
+    parts = content(spark, sf)
+    number = F.col("content_id").cast("int")
+    again = parts.withColumns({"title": F.concat(F.lit("about "), "title"), "description": F.lit(None).cast("string")})
+    none = parts.filter(number % 7 == 0).withColumn("content_id", F.lit(None).cast("string"))
+    return merge.unique_content(parts.unionByName(again.filter(number % 3 == 0)).unionByName(none))
 
 
 @query
@@ -188,17 +207,22 @@ def user_by_type(spark, sf):
 
 @query
 def titles_in_order(spark, sf):
-    return profile.titles_in_order(content(spark, sf), KIND).select("content_id", "title")
+    """The order is the result, so each title has its place."""
+    first = profile.titles_in_order(content(spark, sf), KIND, 20)
+    place = F.row_number().over(Window.partitionBy("type").orderBy("title", "content_id"))
+    return first.select("content_id", "title", place.alias("place"))
 
 
 @query
 def first_ids(spark, sf):
-    return merge.first_rows(table(spark, sf, "part").select("p_partkey"), ["p_partkey"], 9000)
+    return merge.first_rows(table(spark, sf, "part").select("p_partkey"), ["p_partkey"], 150)
 
 
 @query
 def sample_rows(spark, sf):
-    return plays(spark, sf).sample(fraction=0.001, seed=7)
+    """About one row in 256, drawn by a hash of its key, so that every run draws the same."""
+    key = F.concat_ws(":", "l_orderkey", "l_linenumber")
+    return table(spark, sf, "lineitem").filter(F.left(F.md5(key), F.lit(2)) == "07").select("l_orderkey", "l_linenumber")
 
 
 # --- scalar functions ----------------------------------------------------------------------------
@@ -443,6 +467,22 @@ def keyword_edges(spark, sf):
     return keyword_edge_table(spark, sf)
 
 
+@query
+def keyword_edges_of_incomplete_rows(spark, sf):
+    """Rows without an id, a type or a keyword give no edge, and no node further on."""
+    number = F.col("content_id").cast("int")
+    some = title_keywords(spark, sf).select(
+        F.when(number % 5 != 0, F.col("content_id")).alias("content_id"),
+        F.when(number % 7 != 0, F.col("type")).alias("type"),
+        F.when(F.length("keyword") > 4, F.col("keyword")).alias("keyword"),
+    )
+    linked = edges.project_undirected(edges.edges_has_keyword(some).unionByName(some.select(
+        F.col("content_id").alias("src_id"), F.col("type").alias("src_type"), F.lit("has_keyword").alias("rel"),
+        F.lit(None).cast("string").alias("dst_id"), F.lit(None).cast("string").alias("dst_type"),
+    )))
+    return nodes.split_node_id(linked.withColumnRenamed("src", "node")).select("label", "type", "key", "dst")
+
+
 @query
 def undirected_graph(spark, sf):
     both = rating_edge_table(spark, sf).unionByName(keyword_edge_table(spark, sf))
@@ -472,6 +512,19 @@ def upsert_nodes(spark, sf):
     return nodes.upsert_nodes(old, new, ["p_partkey"])
 
 
+@query
+def upsert_last_row(spark, sf):
+    """Every sale as a new row of its part: the last one counts, as a whole."""
+    old = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
+    sold = table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("p_partkey"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sale"),
+        F.when(F.col("l_quantity") < 30, F.col("l_quantity").cast("int")).alias("p_size"),
+        F.col("l_discount").alias("discount"),
+    )
+    return nodes.upsert_nodes(old.withColumn("sale", F.lit(0).cast("bigint")), sold, ["p_partkey"], "sale")
+
+
 @query
 def frontier(spark, sf):
     """Documents not labelled yet."""
@@ -528,9 +581,9 @@ def similar_content(spark, sf):
 
 @query
 def similar_content_batch(spark, sf):
-    """Every content as origin: more origins than one broadcast takes, so block by block."""
+    """Every content whose id is divisible by 50 as origin, against all."""
     v = vectors(spark, sf)
-    return recommend.similar_content(v, v, KINDS, k=2, max_broadcast_origins=100)
+    return recommend.similar_content(v, v.filter(F.col("content_id").cast("bigint") % 50 == 0), KINDS, k=2)
 
 
 @query
@@ -579,19 +632,40 @@ def keyword_columns(spark, sf):
 
 @query
 def page_rank(spark, sf):
-    return centrality.page_rank(graph(spark, sf)).select("node", rounded("pagerank"))
+    with graph(spark, sf) as g:
+        return centrality.page_rank(g).select("node", rounded("pagerank"))
 
 
 @query
 def article_rank(spark, sf):
-    return centrality.article_rank(graph(spark, sf)).select("node", rounded("centrality"))
+    with graph(spark, sf) as g:
+        return centrality.article_rank(g).select("node", rounded("centrality"))
+
+
+@query
+def both_ranks(spark, sf):
+    """In the same rounds."""
+    with graph(spark, sf) as g:
+        return centrality.ranks(g).select("node", rounded("pagerank"), rounded("centrality"))
 
 
 def scored(spark, sf) -> DataFrame:
-    ranks = nodes.content_property(centrality.page_rank(graph(spark, sf)), "pagerank")
+    with graph(spark, sf) as g:
+        ranks = nodes.content_property(centrality.page_rank(g), "pagerank")
     return nodes.attach_node_property(content(spark, sf), ranks, ["content_id", "type"])
 
 
+@query
+def users_with_embedding(spark, sf):
+    """Written back to user nodes only, linked or not."""
+    with graph(spark, sf) as g:
+        found = nodes.split_node_id(embedding.fast_rp(g, dim=8)).withColumnRenamed("key", "user_id")
+    rated = edges.user_content(ratings(spark, sf), content(spark, sf)).select("user_id", "type").distinct()
+    both = rated.unionByName(content(spark, sf).select(F.col("content_id").alias("user_id"), F.lit("none").alias("type")))
+    kept = nodes.attach_node_property(both, found, ["user_id", "type"], labels=("users",))
+    return kept.select("user_id", "type", F.size("embedding").alias("width"), (fn.vector_sum(F.col("embedding")) == 0).cast("int").alias("zero"))
+
+
 @query
 def node_property(spark, sf):
     return scored(spark, sf).select("content_id", "type", rounded("pagerank"))
@@ -606,7 +680,8 @@ def top_by_pagerank(spark, sf):
 
 @query
 def fast_rp(spark, sf):
-    found = embedding.fast_rp(graph(spark, sf))
+    with graph(spark, sf) as g:
+        found = embedding.fast_rp(g)
     millionths = F.transform("embedding", lambda x: F.round(x * 1e6).cast("bigint").cast("string"))
     return found.select("node", F.array_join(millionths, " ").alias("embedding"))
 
@@ -634,3 +709,225 @@ def ingest_events(spark, sf):
         table(spark, sf, "events").schema, pathGlobFilter="events.parquet",
     )
     return read_ingested(spark, f"{base}/rows", ["user_id"])
+
+
+@query
+def ingest_two_batches(spark, sf):
+    """Two files, read in two runs. A user has many rows in each, some without a value; the last one
+    counts, and what it lacks comes from the batch before."""
+    base = scratch_path(spark, "batches")
+    rows = table(spark, sf, "events").select(
+        "user_id", "event_id", F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("value")
+    )
+    for half in (0, 1):
+        mine = rows.filter((F.col("event_id") % 2 == half) & ((F.col("user_id") % 3 != 0) | F.lit(half == 0)))
+        write_zone(mine, f"{base}/in/half={half}")
+        ingest_new_files(
+            spark, f"{base}/in/half=*", f"{base}/checkpoint", lambda batch: batch, f"{base}/rows", rows.schema
+        )
+    return read_ingested(spark, f"{base}/rows", ["user_id"])
+
+
+@query
+def zone_variants(spark, sf):
+    """Two folders, one written as a single file, read in one scan; a third write is refused."""
+    base = scratch_path(spark, "variants")
+    parts = table(spark, sf, "part").select("p_partkey", "p_name")
+    write_zone(parts.filter("p_partkey % 2 = 0").repartition(4), f"{base}/a", files=1)
+    write_zone(parts.filter("p_partkey % 2 = 1"), f"{base}/b", mode="errorifexists")
+    try:
+        write_zone(parts, f"{base}/b", mode="errorifexists")
+        refused = False
+    except AnalysisException:
+        refused = True
+    file = F.input_file_name()
+    both = read_parquet_many(spark, [f"{base}/a", f"{base}/b"]).select(
+        "p_partkey", F.regexp_extract(file, "/([ab])/[^/]+$", 1).alias("folder"), file.alias("file")
+    )
+    return both.groupBy("folder").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("p_partkey").alias("keys"),
+        (F.count_distinct(F.when(F.col("folder") == "a", F.col("file"))) <= 1).alias("one_file"),
+    ).withColumn("refused", F.lit(refused))
+
+
+# --- files of other systems ----------------------------------------------------------------------
+
+def files_by(spark, name: str, docs: DataFrame, key: str = "key") -> str:
+    """One text file per key, in a folder named by it; Spark encodes odd characters in the path."""
+    path = scratch_path(spark, name)
+    docs.repartition(key).write.partitionBy(key).text(path)
+    return path
+
+
+def odd(name: str):
+    """An id with characters that paths encode."""
+    return F.concat(F.lit("nr +%"), text(name))
+
+
+IN_FOLDER = r"/key=([^/]+)/[^/]+$"
+
+
+def once_decoded(c: str):
+    """Folder names are encoded twice: by the writer of partitions, then as part of a URI."""
+    return F.url_decode(F.replace(F.col(c), F.lit("+"), F.lit("%2B"))).alias(c)
+
+
+@query
+def collections_files(spark, sf):
+    """A collection per supplier; one file is broken."""
+    item = F.concat(
+        F.lit("<item objectid=\""), text("l_partkey"), F.lit("\"><name>x</name><stats><rating value=\""),
+        F.when(F.col("l_quantity") > 40, F.lit("N/A")).otherwise(text("l_quantity")),
+        F.lit("\"/></stats><status lastmodified=\"2020-01-02 03:04:05\"/></item>"),
+    )
+    docs = table(spark, sf, "lineitem").groupBy(odd("l_suppkey").alias("key")).agg(
+        F.concat(F.lit("<items>"), F.array_join(F.collect_list(item), ""), F.lit("</items>")).alias("doc")
+    )
+    broken = F.when(F.col("key") == "nr +%1", F.substr("doc", F.lit(1), F.length("doc") - 3)).otherwise(F.col("doc"))
+    path = files_by(spark, "collections", docs.select("key", broken.alias("doc")))
+    found = read_collections_xml(spark, path, glob="*.txt", key=IN_FOLDER)
+    return found.withColumn("user_id", once_decoded("user_id"))
+
+
+@query
+def catalogue_files(spark, sf):
+    item = F.concat(
+        F.lit("<item><name type=\"primary\" value=\""), "p_name", F.lit("\"/><description>"), "p_brand",
+        F.lit(" &amp;amp; more</description><yearpublished value=\""), text("p_size"), F.lit("\"/></item>"),
+    )
+    docs = table(spark, sf, "part").groupBy(odd("p_brand").alias("key")).agg(
+        F.concat(F.lit("<items>"), F.array_join(F.collect_list(item), ""), F.lit("</items>")).alias("doc")
+    )
+    found = read_catalogue_xml(spark, files_by(spark, "catalogue", docs), glob="*.txt", key=IN_FOLDER)
+    return found.withColumn("content_id", once_decoded("content_id"))
+
+
+@query
+def review_page_files(spark, sf):
+    comment = F.concat(
+        F.lit("<comment username=\""), text("l_orderkey"), F.lit("\" rating=\""),
+        F.when(F.col("l_quantity") > 40, F.lit("N/A")).otherwise(text("l_quantity")), F.lit("\"/>"),
+    )
+    docs = table(spark, sf, "lineitem").groupBy(text("l_suppkey").alias("key")).agg(F.concat(
+        F.lit("<items><item><comments totalitems=\"1\">"), F.array_join(F.collect_list(comment), ""),
+        F.lit("</comments></item></items>"),
+    ).alias("doc"))
+    return read_review_pages_xml(spark, files_by(spark, "reviews", docs), glob="*.txt", key=IN_FOLDER)
+
+
+@query
+def review_json_files(spark, sf):
+    review = F.struct(F.struct(text("l_orderkey").alias("username")).alias("user"))
+    docs = table(spark, sf, "lineitem").groupBy(text("l_suppkey").alias("key")).agg(
+        F.replace(F.to_json(F.struct(F.collect_list(review).alias("data"))), F.lit("},{"), F.lit("},\n{")).alias("doc")
+    )
+    return read_review_json(spark, files_by(spark, "json", docs), glob="*.txt", key=IN_FOLDER)
+
+
+@query
+def anime_list_files(spark, sf):
+    """A list per user as one JSON array over several lines; the first user's file is broken."""
+    entry = F.struct(
+        F.col("event_id").alias("anime_id"), F.floor("value").alias("score"),
+        F.unix_seconds(F.col("ts").cast("timestamp")).alias("updated_at"),
+    )
+    docs = table(spark, sf, "events").groupBy(text("user_id").alias("key")).agg(
+        F.replace(F.to_json(F.collect_list(entry)), F.lit("},{"), F.lit("},\n {")).alias("doc")
+    )
+    broken = F.when(F.col("key") == "1", F.concat(F.lit("]"), "doc")).otherwise(F.col("doc"))
+    path = files_by(spark, "lists", docs.select("key", broken.alias("doc")))
+    return anime.anime_ratings(read_anime_lists(spark, path, glob="*.txt", key=IN_FOLDER))
+
+
+@query
+def anime_info_files(spark, sf):
+    record = F.struct(F.struct(
+        F.col("p_partkey").alias("mal_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("synopsis"),
+        F.struct(F.struct(F.struct((F.col("p_size") + 1970).alias("year")).alias("from")).alias("prop")).alias("aired"),
+    ).alias("data"))
+    docs = table(spark, sf, "part").groupBy((F.col("p_partkey") % 50).alias("key")).agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list(F.to_json(record)), ",\n"), F.lit("\n]")).alias("doc")
+    )
+    return anime.anime_content(read_anime_info(spark, files_by(spark, "info", docs), glob="*.txt"))
+
+
+def profile_lines(spark, sf) -> DataFrame:
+    """Every account's profile, listed twice: the first one counts. Some first ones are empty, others
+    lack a name."""
+    first = F.when(F.col("c_nationkey") < 5, F.lit("{}")).when(
+        F.col("c_nationkey") < 10, F.lit("{\"id\":1}")
+    ).otherwise(F.concat(F.lit("{\"personaname\":\""), "c_name", F.lit("\"}")))
+    people = table(spark, sf, "customer").select("c_custkey", first.alias("first"))
+    line = lambda profile: F.concat(F.lit("{\""), text("c_custkey"), F.lit("\":"), profile, F.lit("}"))
+    listed = people.select(F.lit(0).alias("turn"), "c_custkey", line(F.col("first")).alias("value")).unionByName(
+        people.select(F.lit(1).alias("turn"), "c_custkey", line(F.lit("{\"personaname\":\"Aaa\"}")).alias("value"))
+    )
+    return listed.repartitionByRange(4, "turn", F.desc("c_custkey")).sortWithinPartitions("turn", F.desc("c_custkey"))
+
+
+@query
+def first_profiles(spark, sf):
+    """From JSON Lines, over several files."""
+    path = scratch_path(spark, "profiles")
+    profile_lines(spark, sf).select("value").write.text(path)
+    return videogame.player_names(read_keyed_json_list(spark, path, S.PROFILE))
+
+
+@query
+def first_profiles_of_an_array(spark, sf):
+    """The same from files that hold a list each."""
+    path = scratch_path(spark, "profiles")
+    bucket = F.when(F.col("turn") == 0, F.lit("a")).otherwise(F.lit("b"))
+    docs = profile_lines(spark, sf).groupBy(bucket.alias("key")).agg(
+        F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("value")), ","), F.lit("]")).alias("doc")
+    )
+    docs.repartition("key").write.partitionBy("key").text(path)
+    return videogame.player_names(read_keyed_json_list(spark, path, S.PROFILE, lines=False))
+
+
+@query
+def keyed_json_lines(spark, sf):
+    path = scratch_path(spark, "games")
+    record = F.to_json(F.struct(F.col("p_name").alias("name"), F.lit("Oct 21, 1999").alias("release_date"), F.col("p_brand").alias("detailed_description")))
+    table(spark, sf, "part").select(
+        F.concat(F.lit("{\""), text("p_partkey"), F.lit("\":"), record, F.lit("}")).alias("value")
+    ).write.text(path)
+    return videogame.videogame_content(read_keyed_json(spark, path, S.GAME_INFO))
+
+
+@query
+def consolidated_documents(spark, sf):
+    """Small documents to one table."""
+    docs = table(spark, sf, "part").groupBy("p_brand").agg(
+        F.to_json(F.struct(F.col("p_brand").alias("brand"), F.count(F.lit(1)).alias("n"))).alias("doc")
+    )
+    path = files_by(spark, "documents", docs.withColumnRenamed("p_brand", "key"))
+    found = consolidate_documents(spark, f"{path}/*", glob="*.txt")
+    return found.select(F.trim(F.rtrim(F.col("json"), F.lit("\n"))).alias("json"), F.col("id").endswith(".txt").alias("named"))
+
+
+@query
+def videogame_variants(spark, sf):
+    """Ratings by account instead of display name, and content under another title column."""
+    games = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    owned = games.groupBy(text("o_custkey").alias("key")).agg(F.collect_list(F.struct(
+        F.col("l_partkey").alias("appid"), (F.col("l_quantity").cast("bigint") - 1).alias("playtime_forever")
+    )).alias("value"))
+    path = scratch_path(spark, "profiles")
+    profile_lines(spark, sf).select("value").write.text(path)
+    rated = videogame.videogame_ratings(owned, read_keyed_json_list(spark, path, S.PROFILE), key="account")
+    return rated.select("user_id", "content_id", "rating")
+
+
+# --- the whole build -----------------------------------------------------------------------------
+
+@query
+def recommendations_end_to_end(spark, sf):
+    """From plays and descriptions to keywords, edges, our own embedding, ranks and recommendations."""
+    tables = build_catalogue(spark, ratings(spark, sf), content(spark, sf), scratch_path(spark, "build"), dim=16)
+    found = recommend.recommend(tables["nodes_content"], tables["edges"], TEXT, KIND, KINDS)
+    ranked = tables["nodes_content"].select("content_id", "type", rounded("pagerank"), rounded("centrality"))
+    return found.join(ranked, ["content_id", "type"]).select(
+        "kind_rank", "rank", "content_id", "type", "title", "similarity", fn.keyword_line("keywords").alias("keywords"),
+        "pagerank", "centrality",
+    )

@@ -3,12 +3,11 @@ import math
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from kindred import functions as fn
 from kindred import schema as S
-from kindred.operators import charts, edges, incremental, merge, nodes, playtime, profile, skew
-from kindred.operators.bounded import broadcast_if_small
+from kindred.operators import charts, edges, incremental, merge, nodes, playtime, profile
 from kindred.operators.topk import top_per_group
 from kindred.sinks.zones import publish, write_zone
 
@@ -55,9 +54,10 @@ def test_merge(spark):
         ("ann", "movie", "1", 8.0, dt.datetime(2020, 1, 1)), ("bob", None, "x1", None, None)]
     c = spark.createDataFrame([(str(i), "d", "movie", f"t{i}") for i in range(5)],
                               "content_id string, description string, type string, title string")
-    capped = merge.merge_content(c, c.withColumn("release_year", F.lit("19x")), cap_per_type=2)
-    assert [r[0] for r in rows(capped, "content_id")] == ["0", "0", "1", "1"]
-    assert capped.schema == S.CONTENT
+    both = merge.merge_content(c, c.withColumn("release_year", F.lit("19x")))
+    assert both.count() == 10 and both.schema == S.CONTENT
+    bad = c.limit(2).withColumn("content_id", F.lit(None).cast("string"))
+    assert [r["content_id"] for r in merge.unique_content(both.unionByName(bad, True)).orderBy("content_id").collect()] == list("01234")
 
 
 def test_profile(spark):
@@ -76,41 +76,25 @@ def test_playtime_golden_example(spark):
     assert rows(got, "user_id", "content_id") == [("u", "1", 4), ("u", "2", 7), ("u", "3", 10), ("v", "1", 10)]
 
 
-def skewed(spark):
-    """Key 'hot' has most rows, many of them equal; some rows have no key."""
-    key = F.when(F.col("id") % 10 < 6, "hot").when(F.col("id") % 10 < 9, F.concat(F.lit("k"), F.col("id") % 50))
-    return spark.range(2000).select(key.alias("k"), (F.col("id") % 3).alias("v"))
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_join(spark, how):
-    fact = skewed(spark)
-    dim = spark.createDataFrame([("hot", 1), ("hot", 2), ("k7", 3), (None, 4), ("none", 5)], "k string, w int")
-    cut = skew.salted_join(fact, dim, ["k"], how, rows_per_slice=100)
-    plain = fact.join(dim, ["k"], how)
-    assert cut.columns == plain.columns
-    order = plain.columns
-    assert rows(cut, *order) == rows(plain, *order)
-    with pytest.raises(ValueError):
-        skew.salted_join(fact, dim, ["k"], "right")
-
-
-def test_hot_key_rows_are_spread(spark):
-    fact = skewed(spark)
-    hot = skew.hot_keys(skew.row_counts(fact, ["k"]), ["k"], 100)
-    assert rows(hot) == [("hot", 1200), (None, 200)]
-    parts = fact.filter("k = 'hot'").withColumn("s", skew.slice_number(["k", "v"], F.lit(12)))
-    assert parts.select("s").distinct().count() >= 8
-
-
 def test_playtime_with_a_hot_user(spark):
     df = spark.range(1, 1001).select(
         F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("user_id"),
-        F.col("id").alias("playtime"))
-    a = playtime.normalise_playtime(df, rows_per_slice=50)
-    b = playtime.normalise_playtime(df)
-    assert rows(a, "user_id", "rating") == rows(b, "user_id", "rating")
-    assert a.agg(F.min("rating"), F.max("rating")).first() == (1, 10)
+        F.col("id").alias("playtime"), F.lit(None).cast("string").alias("note"))
+    df = df.unionByName(df.limit(10)).unionByName(df.limit(5).withColumn("user_id", F.lit(None).cast("string")))
+    got = rows(playtime.normalise_playtime(df), "user_id", "rating")
+    best = F.max("playtime").over(Window.partitionBy("user_id"))
+    plain = df.filter("user_id IS NOT NULL").select("user_id", "note", F.ceil(F.col("playtime") / best * 10).alias("rating"))
+    assert got == rows(plain, "user_id", "rating")
+
+
+def test_playtime_reads_and_moves_its_input_once(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select(
+        F.col("l_suppkey").alias("user_id"), F.col("l_partkey").alias("content_id"), F.col("l_quantity").alias("playtime"))
+    rated = playtime.normalise_playtime(df)
+    rated.collect()
+    plan = rated._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")]
+    assert final.count("Scan parquet") == 1 and final.count("ReusedExchange") == 1
 
 
 def sample_ratings(spark):
@@ -129,8 +113,6 @@ def test_user_content_and_rating_edges(spark):
     assert inner.count() == plain.count()
     assert right.filter("user_id is null and type is null and content_id is null").count() == 1
     assert right.count() == 10
-    salted = edges.user_content(sample_ratings(spark), content, rows_per_slice=2)
-    assert rows(salted.fillna(-1.0), "user_id", "rating") == rows(inner.fillna(-1.0), "user_id", "rating")
     got = edges.edges_by_rating(right)
     assert got.columns == edges.EDGE_COLUMNS
     assert rows(got.select("rel", "dst_id"), "dst_id") == [("like", "a"), ("dislike", "b"), ("dislike", "c")]
@@ -165,6 +147,10 @@ def test_upsert_and_attach(spark):
     new = spark.createDataFrame([(2, None, "y", 5), (3, "c", None, 6)], "id int, p string, q string, r int")
     got = nodes.upsert_nodes(old, new, ["id"])
     assert rows(got, "id") == [(1, "a", "x", None), (2, "b", "y", 5), (3, "c", None, 6)]
+    # Rows of a key are never mixed: the last by the order given counts, or else by the columns.
+    twice = spark.createDataFrame([(1, "a1", "b9", 2), (1, "a5", "b2", 1), (4, None, "z", 1)], "id int, p string, q string, r int")
+    assert rows(nodes.upsert_nodes(old, twice, ["id"], "r"), "id")[0] == (1, "a1", "b9", 2)
+    assert rows(nodes.upsert_nodes(old, twice, ["id"]), "id")[0] == (1, "a5", "b2", 1)
     values = spark.createDataFrame([("n", "content", 1.0), ("m", "users", 2.0)], "node string, label string, v double")
     base = spark.createDataFrame([("n",), ("m",)], "node string")
     got = nodes.attach_node_property(base, values, ["node"], labels=("content",))
@@ -202,12 +188,6 @@ def test_top_per_group_prunes_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_broadcast_only_when_small(spark):
-    df = spark.range(10)
-    assert broadcast_if_small(df, 9) is df
-    assert broadcast_if_small(df, 10).count() == 10
-
-
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("1", "m"), ("2", "g")], "content_id string, type string")
     back = publish(df, str(tmp_path), "merged")

@@ -138,15 +138,14 @@ def test_videogames(spark, tmp_path, lines):
 
     g = src.read_keyed_json_list(spark, dump("g.json", games), S.GAMES_PLAYED, lines)
     p = src.read_keyed_json_list(spark, dump("p.json", people), S.PROFILE, lines)
-    if not lines:  # list positions decide which profile is the first
-        assert rows(player_names(p), "key") == [("1", "Ann"), ("3", "Unknown"), ("4", "Ann")]
-        got = videogame_ratings(g, p).select("user_id", "content_id", "rating")
-        assert rows(got, "user_id", "content_id", "rating") == [
-            ("Ann", "10", 1.0), ("Ann", "10", 4.0), ("Ann", "11", 7.0), ("Ann", "12", 10.0),
-            ("Unknown", "10", 10.0)]
-        got = videogame_ratings(g, p, key="account", type_label="Steam")
-        assert rows(got.filter("user_id = 'Ann'").select("type", "rating"), "rating") == [
-            ("Steam", 4.0), ("Steam", 7.0), ("Steam", 10.0), ("Steam", 10.0)]
+    assert rows(player_names(p), "key") == [("1", "Ann"), ("3", "Unknown"), ("4", "Ann")]
+    got = videogame_ratings(g, p).select("user_id", "content_id", "rating")
+    assert rows(got, "user_id", "content_id", "rating") == [
+        ("Ann", "10", 1.0), ("Ann", "10", 4.0), ("Ann", "11", 7.0), ("Ann", "12", 10.0),
+        ("Unknown", "10", 10.0)]
+    got = videogame_ratings(g, p, key="account", type_label="Steam")
+    assert rows(got.filter("user_id = 'Ann'").select("type", "rating"), "rating") == [
+        ("Steam", 4.0), ("Steam", 7.0), ("Steam", 10.0), ("Steam", 10.0)]
     assert g.count() == 5 and p.count() == 6
 
 
@@ -154,13 +153,13 @@ def test_game_catalogue(spark, tmp_path):
     games = {"10": {"name": "A", "release_date": "Oct 21, 2008", "detailed_description": "d", "tags": {"x": 1}},
              "11": {"name": None, "release_date": ""}, "12": {"release_date": "Coming soon"}}
     put(tmp_path / "games.json", json.dumps(games))
-    got = videogame_content(src.read_keyed_json(spark, str(tmp_path / "games.json"), S.GAME_INFO))
+    got = videogame_content(src.read_keyed_json(spark, str(tmp_path / "games.json"), S.GAME_INFO, lines=False))
     assert rows(got, "content_id") == [
         ("10", "d", 2008, "videogame", "A"),
         ("11", "", None, "videogame", None),
         ("12", "", None, "videogame", "")]
     renamed = videogame_content(
-        src.read_keyed_json(spark, str(tmp_path / "games.json"), S.GAME_INFO), title_column="content_title")
+        src.read_keyed_json(spark, str(tmp_path / "games.json"), S.GAME_INFO, lines=False), title_column="content_title")
     assert "content_title" in renamed.columns
 
 
