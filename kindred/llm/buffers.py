@@ -141,7 +141,7 @@ def add_columns(
     wanted = docs.columns if keep is None else keep
     passed = [c for c in wanted if c.lower() not in new]
     value = docs[_quoted(text)] if isinstance(text, str) else text
-    source = docs.select(*[docs[_quoted(c)] for c in passed], value.cast("string").alias("__text"))
+    source = docs.select(*[docs[_quoted(c)] for c in passed], value.cast("string").alias(fresh_name(passed, "text")))
     names = passed + [f.name for f in fields]
 
     def run(batches):
@@ -153,5 +153,13 @@ def add_columns(
     return source.mapInArrow(run, schema)
 
 
+def fresh_name(taken: list[str], name: str) -> str:
+    """``name``, lengthened until no column is called so."""
+    lowered = {c.lower() for c in taken}
+    while name in lowered:
+        name += "_"
+    return name
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from kindred.llm.buffers import WORD_BYTE, add_columns, blocks, hashes, mix, per_row, spans, utf8
+from kindred.llm.buffers import WORD_BYTE, add_columns, blocks, fresh_name, hashes, mix, per_row, spans, utf8
 
 SAMPLED = 6  # embedding steps in a key
 SAMPLES = 4  # keys per window
@@ -261,7 +261,7 @@ def find_items(
     for part in range(parts):
         mine = source.filter(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part) if parts > 1 else source
         block = tuple(sorted((r["id"], r["text"]) for r in mine.collect()))
-        name = f"__matches_{part}"
+        name = fresh_name(result.columns, f"matches_{part}")
 
         def compute(column, block=block):
             return [pa.array(find_in_column(column, build_index(block, similarity)), _MATCHES)]

@@ -98,7 +98,7 @@ def learn_vocabulary(counts: DataFrame, size: int = VOCABULARY) -> Vocabulary:
     share = np.cumsum(np.sqrt(n[order])) / np.sqrt(n).sum()
     group = np.empty(len(n), np.int64)
     group[order] = np.minimum((share * CLASSES).astype(np.int64), CLASSES - 1)
-    log_share = np.log(n) - np.log(np.bincount(group, n, CLASSES))[group]
+    log_share = np.log(n) - np.log(np.bincount(group, n, CLASSES)[group])
     by_hash = np.argsort(known)
     return Vocabulary(known[by_hash], by_hash, group, log_share.astype(np.float32))
 

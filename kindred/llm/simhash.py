@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, MapType, StructField, VariantType
 
-from kindred.llm.buffers import add_columns, utf8
+from kindred.llm.buffers import add_columns, fresh_name, utf8
 from kindred.llm.components import connected_components
 from kindred.session import checkpoint
 
@@ -165,7 +165,7 @@ def keep_first(
     rows = checkpoint(add_fingerprint(source, "text", words_per_shingle, "print", ["id", "key"]))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "key")
     first = rows.groupBy("print").agg(F.min(order).alias("one")).join(linked_classes(rows, distance), "print")
-    kept, number = _fresh(docs, "key"), _fresh(docs, "number")
+    kept, number = fresh_name(docs.columns, "key"), fresh_name(docs.columns, "number")
     chosen = first.groupBy("root").agg(F.min("one").alias("one")).select(F.col("one")["key"].alias(kept))
     others = [f"`{f.name}`" for f in docs.schema if f.name != text and not isinstance(f.dataType, (MapType, VariantType))]
     alike = Window.partitionBy(kept).orderBy(*others)
@@ -173,11 +173,3 @@ def keep_first(
         docs.withColumn(kept, key).join(chosen, kept, "left_semi")
         .withColumn(number, F.row_number().over(alike)).filter(F.col(number) == 1).drop(kept, number)
     )
-
-
-def _fresh(docs: DataFrame, name: str) -> str:
-    """A column name that ``docs`` doesn't have."""
-    taken = {c.lower() for c in docs.columns}
-    while name in taken:
-        name += "_"
-    return name

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField
 
-from kindred.llm.buffers import add_columns
+from kindred.llm.buffers import add_columns, fresh_name
 
 SEPARATOR = "\0"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -152,11 +152,12 @@ def judge_urls(
         return [pa.array(x, pa.string()) for x in (rule, glob, verdict)]
 
     fields = [StructField(n, StringType()) for n in ("rule", "glob", "verdict")]
-    kept = [c for c in (pages.columns if keep is None else keep) if c.lower() not in ("host", "path", "__canonical")]
+    kept = [c for c in (pages.columns if keep is None else keep) if c.lower() not in ("host", "path")]
+    canonical = fresh_name([*kept, "host", "path"], "canonical")
     source = pages[f"`{url}`"].cast("string")
     safe = lambda part: F.translate(part, SEPARATOR, "�")
     parts = pages.select(
         *[pages[f"`{c}`"] for c in kept], url_host(source).alias("host"), url_path(source).alias("path"),
-        F.concat(F.lit("."), safe(url_host(source)), F.lit(SEPARATOR), safe(url_path(source))).alias("__canonical"),
+        F.concat(F.lit("."), safe(url_host(source)), F.lit(SEPARATOR), safe(url_path(source))).alias(canonical),
     )
-    return add_columns(parts, "__canonical", fields, compute, [*kept, "host", "path"])
+    return add_columns(parts, canonical, fields, compute, [*kept, "host", "path"])
