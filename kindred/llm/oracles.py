@@ -65,3 +65,49 @@ SELECT doc_id, size, source_size, target,
      THEN (whole // source_size) * size + greatest(0, least(size, whole % source_size - first)) ELSE 0 END)::BIGINT AS taken
 FROM placed
 """
+
+ORACLES["op4_license_scan"] = r"""
+WITH templates(t, label, exact, words) AS (VALUES
+  (0, 'mit', true, 'mit license'), (1, 'apache', true, 'apache license'), (2, 'gpl', true, 'general public license'),
+  (3, 'mit', false, 'released under the mit license'),
+  (4, 'mit', false, 'permission is hereby granted free of charge to any person obtaining a copy of this software'),
+  (5, 'apache', false, 'licensed under the apache license version 2 0'),
+  (6, 'gpl', false, 'this work is licensed under the gnu general public license version 3'),
+  (7, 'gpl', false, 'you can redistribute it and or modify it under the terms of the gnu general public license'),
+  (8, 'mpl', false, 'subject to the terms of the mozilla public license v 2 0'),
+  (9, 'bsd', false, 'redistribution and use in source and binary forms with or without modification are permitted'),
+  (10, 'cc-by-nc', false, 'licensed under cc by nc 4 0'), (11, 'cc-by-sa', false, 'licensed under cc by sa 4 0'),
+  (12, 'cc-by', false, 'licensed under a creative commons attribution 4 0 international license')),
+cut AS (SELECT *, string_split(words, ' ') AS ws FROM templates),
+runs AS (
+  SELECT t, label, exact, len(ws) - 1 AS n_runs, unnest(range(len(ws) - 1)) AS place,
+    unnest(ws[1:len(ws) - 1]) AS a, unnest(ws[2:len(ws)]) AS b
+  FROM cut),
+docs AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+pairs AS (
+  SELECT row, unnest(range(len(ws) - 1)) AS pos, unnest(ws[1:len(ws) - 1]) AS a, unnest(ws[2:len(ws)]) AS b
+  FROM docs WHERE len(ws) > 1),
+diagonals AS (
+  SELECT row, t, label, exact, n_runs, pos - place AS d, min(pos) AS low, max(pos) AS high, list(DISTINCT place) AS met
+  FROM pairs JOIN runs USING (a, b) GROUP BY ALL),
+marked AS (
+  SELECT *, CASE WHEN exact OR lag(d) OVER w IS NULL OR d - lag(d) OVER w > 2
+      OR greatest(low, lag(low) OVER w) - least(high, lag(high) OVER w) > n_runs + 2 THEN 1 ELSE 0 END AS apart
+  FROM diagonals WINDOW w AS (PARTITION BY row, t ORDER BY d)),
+clustered AS (SELECT *, sum(apart) OVER (PARTITION BY row, t ORDER BY d) AS c FROM marked),
+merged AS (
+  SELECT row, t, label, exact, n_runs, c, min(low) AS s, max(high) + 2 AS e, len(list_distinct(flatten(list(met)))) AS m
+  FROM clustered GROUP BY ALL),
+spans AS (
+  SELECT *, m / n_runs AS share FROM merged
+  WHERE CASE WHEN exact THEN m = n_runs ELSE m / n_runs >= 0.75 AND e - s <= (n_runs + 1) * 1.5 + 2 END)
+SELECT doc_id, len(ws)::BIGINT AS n_words, count(*) FILTER (exact) AS n_base,
+  min(s) FILTER (exact)::BIGINT AS first_word, max(s) FILTER (exact)::BIGINT AS last_word,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact), '') AS base_labels,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(share), 0.0)::DOUBLE AS score
+FROM docs LEFT JOIN spans USING (row) GROUP BY row, doc_id, ws
+"""

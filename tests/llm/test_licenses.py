@@ -1,0 +1,68 @@
+import random
+import re
+
+from kindred.llm import queries
+from kindred.llm.licenses import BASE_PHRASES, NOTICES, scan_licenses
+
+WORD = re.compile("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
+
+
+def words_of(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def base_places(text):
+    words, found = words_of(text), []
+    for phrase in BASE_PHRASES:
+        want = phrase.words.split()
+        found += [(i, phrase.label) for i in range(len(words)) if words[i : i + len(want)] == want]
+    return sorted(found)
+
+
+def test_base_places(spark, tmp_path):
+    draw = random.Random(6)
+    pool = ["MIT", "mit", "License", "license", "apache", "general", "Public", "the", "é", "GNU", "under", "released", ",", "-", "4"]
+    texts = [" ".join(draw.choice(pool) for _ in range(draw.randint(0, 60))) for _ in range(600)]
+    texts += [None, "", "mit license " * 300, "mit-license", "mitlicense", "MIT\nLICENSE", "general public license general public license", "ſ mit license"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    rows += [rows[0], rows[-2], rows[-2], (None, "mit license"), (None, "mit license")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(
+        ((r["doc_id"] is None, r["doc_id"]), r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"])
+        for r in queries.op4_license_scan(spark, str(tmp_path)).collect()
+    )
+    want = []
+    for i, text in rows:
+        places = base_places(text)
+        at = [p for p, _ in places]
+        want.append(((i is None, i), len(words_of(text)), len(places), min(at, default=None), max(at, default=None), ",".join(sorted({k for _, k in places}))))
+    assert got == sorted(want)
+
+
+def spans(spark, text):
+    row = scan_licenses(spark.createDataFrame([(1, text)], "doc_id int, text string")).first()
+    return [(s["label"], s["start"], s["end"], s["share"]) for s in row["spans"] if not s["exact"]]
+
+
+def test_a_notice_is_met_whole_edited_and_not_when_scattered(spark):
+    notice = next(t.words for t in NOTICES if t.words.startswith("permission"))
+    assert spans(spark, f"a b {notice} c") == [("mit", 2, 2 + len(notice.split()), 1.0)]
+    edited = notice.replace("free of charge", "free and of charge").replace("software", "thing")
+    (one,) = spans(spark, f"a b {edited}")
+    assert one[0] == "mit" and one[1] == 2 and 0.75 <= one[3] < 1
+    half = " ".join(notice.split()[:8])
+    assert spans(spark, half) == []
+    scattered = " x x x x x x x x x x x x x x x x x x x x x ".join(" ".join(notice.split()[i : i + 2]) for i in range(15))
+    assert spans(spark, scattered) == []
+
+
+def test_two_copies_are_two_spans(spark):
+    notice = "licensed under cc by nc 4 0"
+    assert [s[1] for s in spans(spark, f"{notice}. {notice}!")] == [0, 7]
+
+
+def test_scan_has_no_python_and_one_exchange(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id int, text string")
+    plan = scan_licenses(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1

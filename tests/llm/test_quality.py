@@ -1,0 +1,74 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+from plain import plain_statistics
+
+from kindred.llm.quality import SHARES, Forest, fit_quality, grow_forest, judge_quality, measure
+
+
+def test_statistics_against_a_plain_version():
+    draw = random.Random(8)
+    texts = ["".join(draw.choice("ab é\n\t #*|\x0b\x85") for _ in range(draw.randint(0, 80))) for _ in range(3000)]
+    texts += [None, "", "a b c " * 5000, "x\n" * 400, " \n \n", "a b", "a b c a b c"]
+    counts, shares = measure(pa.array(texts))
+    assert counts.tolist() == [plain_statistics(t) for t in texts]
+    assert shares.shape == (len(texts), len(SHARES)) and shares.min() >= 0 and shares.max() <= 1
+
+
+def path_length(forest: Forest, tree: int, point) -> float:
+    node = 0
+    while forest.feature[tree, node] >= 0:
+        f = forest.feature[tree, node]
+        node = forest.child[tree, node] + (point[f] >= forest.threshold[tree, node])
+    return forest.path[tree, node]
+
+
+def test_scores_are_mean_path_lengths_and_outliers_score_high():
+    rng = np.random.default_rng(1)
+    points = np.vstack([rng.normal(0, 1, (300, 3)), [[9, 9, 9]]])
+    forest = grow_forest(points, 60, 128, 5)
+    want = [2 ** (-np.mean([path_length(forest, t, p) for t in range(60)]) / forest.usual) for p in points]
+    got = forest.score(points)
+    np.testing.assert_allclose(got, want)
+    assert got.argmax() == 300
+    same = grow_forest(points, 60, 128, 5)
+    assert (same.threshold == forest.threshold).all()
+    assert len(set(grow_forest(np.ones((5, 2)), 3, 4, 1).score(np.ones((4, 2))))) == 1
+
+
+def clean(draw, n=80):
+    return " ".join("".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 8))) for _ in range(n))
+
+
+def test_junk_goes_and_clean_texts_stay(spark):
+    draw = random.Random(9)
+    rows, labels = [], []
+    for i in range(400):
+        junk = i % 10 == 0
+        text = clean(draw)
+        if junk:
+            text = text.upper() if i % 20 else " ".join(w + "###" for w in text.split())
+        rows.append((i, text))
+        if i % 2 == 0:
+            labels.append((i, 0 if junk else 1))
+    rows += [(1000, "too short"), (1001, None), (1002, "a b c d " * 40), (None, clean(draw)), rows[1], rows[1]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels + [(None, 0), (5000, None), labels[0]], "doc_id long, quality int")
+    model = fit_quality(docs, marks)
+    kept = {r["doc_id"]: (r["kept"], r["base_failed"]) for r in judge_quality(docs, model).collect()}
+    for i in range(400):
+        assert kept[i] == (i % 10 != 0, False)
+    assert kept[1000] == kept[1001] == kept[1002] == (False, True) and kept[None] == (True, False)
+    assert judge_quality(docs, model).count() == len(rows)
+
+
+def test_without_labels_only_the_base_rules_reject(spark):
+    draw = random.Random(10)
+    docs = spark.createDataFrame([(1, clean(draw).upper()), (2, "short")], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    good = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    for labels in (none, good):
+        got = {r["doc_id"]: r["kept"] for r in judge_quality(docs, fit_quality(docs, labels)).collect()}
+        assert got == {1: True, 2: False}
+    assert judge_quality(docs.limit(0), fit_quality(docs.limit(0), good)).collect() == []

@@ -1,0 +1,38 @@
+import random
+
+from kindred.llm.token_counts import WORD_MARK, automaton, count_tokens, read_pieces
+
+
+def greedy(text, pieces, mark):
+    longest, n = max(map(len, pieces), default=1), 0
+    for word in (text or "").encode().split():
+        word, i = mark + word, 0
+        while i < len(word):
+            i = next((j for j in range(min(len(word), i + longest), i, -1) if word[i:j] in pieces), i + 1)
+            n += 1
+    return n
+
+
+def test_counts_are_those_of_greedy_longest_match(spark):
+    pieces = read_pieces("/opt/tokenizers/piece_bpe_32k.model")
+    draw = random.Random(2)
+    texts = ["".join(draw.choice("aeé日▁ \n xthingtionst") for _ in range(draw.randint(0, 90))) for _ in range(600)]
+    texts += ["", None, "a" * 3000, "\n \t", "internationalization " * 50]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    got = {r["id"]: (r["n_words"], r["n_tokens"]) for r in count_tokens(docs, pieces).collect()}
+    have = set(pieces)
+    assert got == {i: (len((t or "").encode().split()), greedy(t, have, WORD_MARK.encode())) for i, t in enumerate(texts)}
+
+
+def test_failure_links_on_overlapping_pieces():
+    import numpy as np
+
+    draw = random.Random(3)
+    for _ in range(60):
+        pieces = {"".join(draw.choice("ab") for _ in range(draw.randint(1, 6))).encode() for _ in range(draw.randint(1, 12))}
+        ready = automaton(tuple(sorted(pieces)), b"")
+        for _ in range(30):
+            word = "".join(draw.choice("abc") for _ in range(draw.randint(1, 40))).encode()
+            data = np.frombuffer(word, np.uint8)
+            got = ready.lengths(data, np.array([0]), np.array([len(word)]))
+            assert got.tolist() == [greedy(word.decode(), pieces, b"")]
