@@ -12,6 +12,7 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -53,10 +54,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, for tables written and read back by one job."""
+    """A fresh path below the shared folder, for tables written and read back by one job. Its folder is
+    removed when the application ends."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{base}/data"
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
