@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
 BLOCK_BYTES = 1 << 20
@@ -62,7 +62,7 @@ def _power(name: str, base: int, n: int) -> np.ndarray:
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the n + 1 offsets of its rows; null reads as empty."""
-    flat = pc.fill_null(column, "").cast(pa.large_binary())
+    flat = (pc.fill_null(column, "") if column.null_count else column).cast(pa.large_binary())
     _, offsets, data = flat.buffers()
     at = np.frombuffer(offsets, np.int64)[flat.offset : flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, np.int64)
     if data is None or not at[-1] - at[0]:
@@ -134,23 +134,21 @@ def add_columns(
 ) -> DataFrame:
     """The rows of ``docs`` with the columns that ``compute`` makes of the text (a column or its name).
 
-    A column of ``docs`` that has the name of a new one (in either case) gives way to it. ``keep``
-    names the columns to keep; all, where it is None.
+    Only the texts go to Python. A column of ``docs`` that has the name of a new one (in either case)
+    gives way to it. ``keep`` names the columns to keep; all, where it is None.
     """
-    new = {f.name.lower() for f in fields}
+    new = [f.name for f in fields]
     wanted = docs.columns if keep is None else keep
-    passed = [c for c in wanted if c.lower() not in new]
+    passed = [docs[_quoted(c)] for c in wanted if c.lower() not in {n.lower() for n in new}]
     value = docs[_quoted(text)] if isinstance(text, str) else text
-    source = docs.select(*[docs[_quoted(c)] for c in passed], value.cast("string").alias(fresh_name(passed, "text")))
-    names = passed + [f.name for f in fields]
 
-    def run(batches):
-        for batch in batches:
-            made = compute(batch.column(len(passed)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(passed)], *made], names=names)
+    def run(column: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays(compute(column), names=new)
 
-    schema = StructType([*source.schema.fields[: len(passed)], *fields])
-    return source.mapInArrow(run, schema)
+    made, name = F.arrow_udf(run, StructType(fields)), fresh_name(wanted, "made")
+    whole = docs.select(*passed, made(value.cast("string")).alias(name))
+    kept = [F.col(_quoted(c)) for c in whole.columns[:-1]]
+    return whole.select(*kept, *[F.col(name)[n].alias(n) for n in new])
 
 
 def fresh_name(taken: list[str], name: str) -> str:
