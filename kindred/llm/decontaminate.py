@@ -25,7 +25,7 @@ from kindred.llm.buffers import WORD_BYTE, add_columns, blocks, fresh_name, hash
 SAMPLED = 6  # embedding steps in a key
 SAMPLES = 4  # keys per window
 WINDOWS = (4, 8, 16)  # words; an item is met by windows of about a third of it, or of 16
-SHORT = 4  # items of up to so many words are met by all their words
+SHORT = 4  # items of up to so many words are met by all their words, somewhat longer ones by halves too
 STRETCH = 1.5  # embedding steps per word of a window
 BLOCK_BYTES = 4 << 20
 SEED = 17
@@ -37,7 +37,7 @@ def _schedule():
     plan = {}
     for size in WINDOWS:
         steps = int(size * STRETCH)
-        plan[size] = [np.sort(rng.choice(steps, min(SAMPLED, steps), replace=False)) for _ in range(SAMPLES)]
+        plan[size] = [np.sort(rng.choice(steps, min(SAMPLED, steps - 2), replace=False)) for _ in range(SAMPLES)]
     return plan
 
 
@@ -140,9 +140,14 @@ def build_index(items: tuple[tuple[int, str], ...], similarity: float) -> Index:
             short.add(n)
             put(run_keys(own, n), k, np.zeros(1, np.int64))
             continue
+        if n < 2 * WINDOWS[0]:  # one edit at most: it leaves one half of the item as it is
+            for half in {n // 2, n - n // 2}:
+                short.add(half)
+                put(run_keys(own, half), k, np.array([0, n - half]))
         size = _window(n)
         sizes.add(size)
-        starts = np.arange(n - size + 1)
+        # A walk covers about three quarters of its window, so the last windows may reach past the end.
+        starts = np.arange(n - size // 2)
         for key in cgk_keys(np.append(own, np.uint64(0)), (size,)).values():
             put(key, k, starts)
     empty = np.zeros(0, np.int64)
