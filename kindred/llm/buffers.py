@@ -145,7 +145,8 @@ def add_columns(
     def run(column: pa.Array) -> pa.Array:
         return pa.StructArray.from_arrays(compute(column), names=new)
 
-    made, name = F.arrow_udf(run, StructType(fields)), fresh_name(wanted, "made")
+    # So marked, it runs once per text: no filter on its results is moved below it with a second copy.
+    made, name = F.arrow_udf(run, StructType(fields)).asNondeterministic(), fresh_name(wanted, "made")
     whole = docs.select(*passed, made(value.cast("string")).alias(name))
     kept = [F.col(_quoted(c)) for c in whole.columns[:-1]]
     return whole.select(*kept, *[F.col(name)[n].alias(n) for n in new])
