@@ -1,10 +1,13 @@
 """Masked pseudo-likelihood: a small network predicts every word from the words on both sides.
 
-The words of the whole corpus are counted; the most frequent are tokens of their own, the others
-share buckets. Tokens are put into classes of about equal weight by frequency. The network reads the
-``REACH`` tokens on either side of a masked one, the nearest ones each by itself and the others as a
-mean, and gives the probabilities of the class; within its class a token has its share of the count.
-The logarithms of these conditional probabilities, summed over a text, are its score.
+The words of the whole corpus are counted; the most frequent, the more the more words there are, are
+tokens of their own, the others share buckets. Tokens are put into classes of about equal weight by
+frequency. The network reads the ``REACH`` tokens on either side of a masked one, the nearest ones
+each by itself and the others as a mean, and gives the probabilities of the class; within its class a
+token has its share of the count. A word in a bucket has the bucket's probability times its own share
+of the bucket, for which texts are joined with the distributed counts; all unseen words of a bucket
+together have the share of one more word that was never met. The logarithms of these conditional
+probabilities, summed over a text, are its score.
 
 Training runs where the data is: every task takes a copy of the network through its documents, and
 the copies are averaged. A round trains on one part of the documents, so each is read once.
@@ -17,14 +20,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField
 
-from kindred.llm.buffers import NOT_SPACE, add_columns, blocks, hashes, mix, per_row, spans
+from kindred.llm.buffers import NOT_SPACE, add_columns, blocks, fresh_name, hashes, mix, per_row, spans
 from kindred.session import checkpoint
 
 REACH = 3
 WIDTH, HIDDEN, CLASSES = 16, 32, 64
 VOCABULARY, BUCKETS = 8192, 64
+GROWTH = 256  # one distinct word in so many is a token of its own, ``VOCABULARY`` at least
+SMOOTH = 0.5  # added to the count of every word in a bucket, and the count of the unseen ones
 BATCH, MASKED = 1024, 4  # examples per step; one word in so many is masked in training
 RATE = 0.1
 FIXED = 1 << 24  # weights are added up as integers, so that the order of adding does not matter
@@ -36,13 +41,14 @@ class Vocabulary:
     number: np.ndarray  # their token numbers
     group: np.ndarray  # token to class
     log_share: np.ndarray  # log of a token's share of its class
+    log_weight: np.ndarray  # log of a bucket's smoothed counts, added up
 
     @property
     def pad(self) -> int:
         return len(self.group)
 
     def tokens(self, words: np.ndarray) -> np.ndarray:
-        other = len(self.known) + (words % np.uint64(BUCKETS)).astype(np.int64)
+        other = len(self.known) + (words % np.uint64(self.pad - len(self.known))).astype(np.int64)
         if not len(self.known):
             return other
         at = np.minimum(np.searchsorted(self.known, words), len(self.known) - 1)
@@ -82,17 +88,23 @@ def count_words(docs: DataFrame, text: str) -> DataFrame:
     return texts.mapInArrow(counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def learn_vocabulary(counts: DataFrame, size: int = VOCABULARY) -> Vocabulary:
-    """From (``word``, ``n``); words of equal count go by their hash. Classes are cut by the running
-    sum of the square roots of the counts, from the most frequent token on."""
+def learn_vocabulary(counts: DataFrame, size: int | None = None) -> Vocabulary:
+    """From (``word``, ``n``); words of equal count go by their hash. ``size`` words are tokens of their
+    own; where it is None, their number grows with that of the distinct words. Classes are cut by the
+    running sum of the square roots of the counts, from the most frequent token on."""
     bucket = F.pmod("word", F.lit(BUCKETS)).cast("int")  # BUCKETS divides 2^64: as for the unsigned hash
+    totals, distinct = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for r in counts.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
+        totals[r["bucket"]], distinct[r["bucket"]] = r["n"], r["words"]
+    if size is None:
+        size = max(VOCABULARY, int(distinct.sum()) // GROWTH)
     rows = counts.orderBy(F.desc("n"), "word").limit(size).collect()
     known = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
-    totals = np.zeros(BUCKETS)
-    for r in counts.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n")).collect():
-        totals[r["bucket"]] = r["n"]
     own = np.array([r["n"] for r in rows], float)
-    np.subtract.at(totals, (known % np.uint64(BUCKETS)).astype(int), own)
+    home = (known % np.uint64(BUCKETS)).astype(int)
+    np.subtract.at(totals, home, own)
+    np.subtract.at(distinct, home, 1)
+    log_weight = np.log(totals + SMOOTH * (distinct + 1))
     n = np.concatenate([own, np.maximum(totals, 0)]) + 0.5
     order = np.argsort(-n, kind="stable")
     share = np.cumsum(np.sqrt(n[order])) / np.sqrt(n).sum()
@@ -100,7 +112,7 @@ def learn_vocabulary(counts: DataFrame, size: int = VOCABULARY) -> Vocabulary:
     group[order] = np.minimum((share * CLASSES).astype(np.int64), CLASSES - 1)
     log_share = np.log(n) - np.log(np.bincount(group, n, CLASSES)[group])
     by_hash = np.argsort(known)
-    return Vocabulary(known[by_hash], by_hash, group, log_share.astype(np.float32))
+    return Vocabulary(known[by_hash], by_hash, group, log_share.astype(np.float32), log_weight)
 
 
 def _contexts(embed: np.ndarray, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -119,14 +131,16 @@ def _forward(net: Network, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _laid_out(data, offsets, vocabulary: Vocabulary):
-    """Tokens of a block with ``REACH`` pads around every text, the places of words, and words per text."""
+    """Tokens of a block with ``REACH`` pads around every text, the places of words, words per text, and
+    the words' hashes."""
     starts, ends = spans(data, offsets, NOT_SPACE)
     first = per_row(starts, offsets)
     texts = len(offsets) - 1
     at = np.arange(len(starts)) + REACH * (np.repeat(np.arange(texts), np.diff(first)) + 1)
     tokens = np.full(len(starts) + REACH * (texts + 1), vocabulary.pad, np.int64)
-    tokens[at] = vocabulary.tokens(hashes(data, starts, ends))
-    return tokens, at, first
+    words = hashes(data, starts, ends)
+    tokens[at] = vocabulary.tokens(words)
+    return tokens, at, first, words
 
 
 class Trainer:
@@ -191,6 +205,7 @@ def _rebuilt(like: Network, flat: np.ndarray) -> Network:
 class Model:
     vocabulary: Vocabulary
     network: Network
+    counts: DataFrame  # of all words, checkpointed
 
 
 def train_masked_lm(docs: DataFrame, text: str = "text", rounds: int = 2, seed: int = 3) -> Model:
@@ -212,7 +227,7 @@ def train_masked_lm(docs: DataFrame, text: str = "text", rounds: int = 2, seed:
             trainer = Trainer(network)
             for batch in batches:
                 for _, _, data, offsets in blocks(batch.column(0)):
-                    tokens, at, _ = _laid_out(data, offsets, vocabulary)
+                    tokens, at, *_ = _laid_out(data, offsets, vocabulary)
                     chosen = mix(np.arange(len(at), dtype=np.uint64) + np.uint64(len(data))) % np.uint64(MASKED) == 0
                     trainer.learn(tokens, at[chosen], vocabulary.group)
             if not trainer.touched.any():
@@ -230,7 +245,7 @@ def train_masked_lm(docs: DataFrame, text: str = "text", rounds: int = 2, seed:
         for row in sums.collect():
             flat[row["slot"]] = np.array(row[2:], np.float64) / row["tasks"] / FIXED
         network = _rebuilt(network, flat.ravel())
-    return Model(vocabulary, network)
+    return Model(vocabulary, network, counts)
 
 
 def score_documents(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -239,26 +254,48 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text", keep: lis
 
     A null or empty text has no words, the sum 0 and no mean. Rows are scored one by one: repeated
     rows get the same score, an empty table stays empty, columns with the new names are replaced.
+    The kept columns are checkpointed with the words that are not tokens; these words are joined with
+    the counts, and their sums with the rows.
     """
     vocabulary, net = model.vocabulary, model.network
 
     def compute(column):
         words, total = np.zeros(len(column), np.int64), np.zeros(len(column))
+        rare, ends = [np.zeros(0, np.int64)], np.zeros(len(column) + 1, np.int64)
         for low, high, data, offsets in blocks(column):
-            tokens, at, first = _laid_out(data, offsets, vocabulary)
+            tokens, at, first, hashed = _laid_out(data, offsets, vocabulary)
+            own = tokens[at]
             sums = np.zeros(len(at) + 1)
             for a in range(0, len(at), 8192):
                 places = at[a : a + 8192]
                 _, log_p = _forward(net, _contexts(net.embed, tokens, places))
-                own = tokens[places]
-                sums[a + 1 : a + 1 + len(places)] = log_p[np.arange(len(places)), vocabulary.group[own]] + vocabulary.log_share[own]
+                mine = own[a : a + 8192]
+                sums[a + 1 : a + 1 + len(places)] = log_p[np.arange(len(places)), vocabulary.group[mine]] + vocabulary.log_share[mine]
+            bucket = own - len(vocabulary.known)
+            outside = bucket >= 0
+            sums[1:][outside] -= vocabulary.log_weight[bucket[outside]]
             sums = np.cumsum(sums)
             words[low:high] = np.diff(first)
             total[low:high] = sums[first[1:]] - sums[first[:-1]]
-        mean = pa.array(total / np.maximum(words, 1), mask=words == 0)
-        return [pa.array(words), pa.array(total), mean]
+            rare.append(hashed[outside].view(np.int64))
+            ends[low + 1 : high + 1] = ends[low] + np.append(0, np.cumsum(outside))[first[1:]]
+        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(rare)))
+        return [pa.array(words), pa.array(total), pa.nulls(len(column), pa.float64()), lists]
 
-    fields = [
+    new = [
         StructField("n_words", LongType()), StructField("log_likelihood", DoubleType()), StructField("mean_log_likelihood", DoubleType()),
     ]
-    return add_columns(docs, text, fields, compute, keep)
+    kept = docs.columns if keep is None else keep
+    rare, row, extra, word = (fresh_name(kept, c) for c in ("rare_words", "row_number", "rare_sum", "rare_word"))
+    known = add_columns(docs, text, [*new, StructField(rare, ArrayType(LongType()))], compute, keep)
+    known = checkpoint(known.withColumn(row, F.monotonically_increasing_id()))
+    # Added up as integers, so that the order of adding does not matter.
+    log_n = F.round(F.log(F.coalesce(F.col("n"), F.lit(0)) + F.lit(SMOOTH)) * F.lit(FIXED)).cast("long")
+    met = known.select(row, F.explode(F.col(rare)).alias(word)).join(model.counts, F.col(word) == F.col("word"), "left")
+    sums = met.groupBy(F.col(row).alias("of_row")).agg((F.sum(log_n) / F.lit(FIXED)).alias(extra))
+    whole = known.join(sums, F.col(row) == F.col("of_row"), "left")
+    total = F.col("log_likelihood") + F.coalesce(F.col(extra), F.lit(0.0))
+    made = {"log_likelihood": total, "mean_log_likelihood": F.when(F.col("n_words") > 0, total / F.col("n_words"))}
+    return whole.select(*[
+        made[c].alias(c) if c in made else known["`" + c.replace("`", "``") + "`"] for c in known.columns if c not in (rare, row)
+    ])

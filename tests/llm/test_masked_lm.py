@@ -85,3 +85,26 @@ def test_an_empty_table_gives_the_untrained_network(spark):
     assert score_documents(docs, model).collect() == []
     row = score_documents(spark.createDataFrame([("a b",)], "text string"), model).first()
     assert row["n_words"] == 2 and math.isfinite(row["log_likelihood"])
+
+
+def test_a_word_beyond_the_vocabulary_has_its_own_count(spark, monkeypatch):
+    monkeypatch.setattr(masked_lm, "VOCABULARY", 4)
+    monkeypatch.setattr(masked_lm, "BUCKETS", 1)
+    text = "a a a a a a b b b b b c c c c c d d d d d often often often often once"
+    docs = spark.createDataFrame([(text,), (None,)], "text string")
+    model = train_masked_lm(docs)
+    ask = spark.createDataFrame([(w, "kept") for w in ("often", "once", "never", "", "a")], "text string, word string")
+    got = {r["text"]: r for r in score_documents(ask, model).collect()}
+    assert [r.asDict().keys() for r in got.values()][0] == {"text", "word", "n_words", "log_likelihood", "mean_log_likelihood"}
+    score = {w: r["log_likelihood"] for w, r in got.items()}
+    # The bucket holds 5 words, 2 of them distinct; smoothed by a half, the unseen ones counted as one more.
+    assert math.isclose(score["often"] - score["once"], math.log(4.5 / 1.5), abs_tol=1e-6)
+    assert math.isclose(score["once"] - score["never"], math.log(1.5 / 0.5), abs_tol=1e-6)
+    assert got[""]["n_words"] == 0 and score[""] == 0 and got[""]["mean_log_likelihood"] is None
+
+
+def test_the_vocabulary_grows_with_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(masked_lm, "VOCABULARY", 4)
+    monkeypatch.setattr(masked_lm, "GROWTH", 2, raising=False)
+    counts = count_words(spark.createDataFrame([(" ".join(f"w{i}" for i in range(40)),)], "text string"), "text")
+    assert len(learn_vocabulary(counts).known) == 20
