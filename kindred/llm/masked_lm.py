@@ -1,10 +1,11 @@
 """Masked pseudo-likelihood: a small network predicts every word from the words on both sides.
 
 The words of the whole corpus are counted; the most frequent, the more the more words there are, are
-tokens of their own, the others share buckets. Tokens are put into classes of about equal weight by
-frequency. The network reads the ``REACH`` tokens on either side of a masked one, the nearest ones
-each by itself and the others as a mean, and gives the probabilities of the class; within its class a
-token has its share of the count. A word in a bucket has the bucket's probability times its own share
+tokens of their own, the others share buckets. The most frequent tokens are classes by themselves, the
+others are put into classes of about equal weight by frequency. The network reads the ``REACH`` tokens
+on either side of a masked one, the nearest ones each by itself and the others as a mean. From what it
+reads it gives the probabilities of the classes, and from the same hidden values those of the tokens
+within a class (a softmax on two levels, the second one starting from the counts). A word in a bucket has the bucket's probability times its own share
 of the bucket, for which texts are joined with the distributed counts; all unseen words of a bucket
 together have the share of one more word that was never met. The logarithms of these conditional
 probabilities, summed over a text, are its score.
@@ -16,6 +17,7 @@ the copies are averaged. A round trains on one part of the documents, so each is
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,8 @@ from kindred.llm.buffers import NOT_SPACE, add_columns, blocks, fresh_name, hash
 from kindred.session import checkpoint
 
 REACH = 3
-WIDTH, HIDDEN, CLASSES = 16, 32, 64
+WIDTH, HIDDEN = 16, 32
+HEAD = 128  # tokens that are classes by themselves
 VOCABULARY, BUCKETS = 8192, 64
 GROWTH = 256  # one distinct word in so many is a token of its own, ``VOCABULARY`` at least
 SMOOTH = 0.5  # added to the count of every word in a bucket, and the count of the unseen ones
@@ -41,12 +44,20 @@ class Vocabulary:
     number: np.ndarray  # their token numbers
     group: np.ndarray  # token to class
     log_share: np.ndarray  # log of a token's share of its class
+    order: np.ndarray  # tokens class by class
+    cuts: np.ndarray  # where each class begins in ``order``, and the end
+    log_class: np.ndarray  # log of a class's share of all words
     log_weight: np.ndarray  # log of a bucket's smoothed counts, added up
 
     @property
     def pad(self) -> int:
         return len(self.group)
 
+    @cached_property
+    def place(self) -> np.ndarray:
+        """Where each token is in ``order``."""
+        return np.argsort(self.order)
+
     def tokens(self, words: np.ndarray) -> np.ndarray:
         other = len(self.known) + (words % np.uint64(self.pad - len(self.known))).astype(np.int64)
         if not len(self.known):
@@ -62,17 +73,21 @@ class Network:
     into_bias: np.ndarray
     out: np.ndarray
     out_bias: np.ndarray
+    narrow: np.ndarray  # hidden values to what the tokens within a class are told by
+    within: np.ndarray  # a row per token, class by class
 
     def parts(self) -> list[np.ndarray]:
-        return [self.embed, self.into, self.into_bias, self.out, self.out_bias]
+        return [self.embed, self.into, self.into_bias, self.out, self.out_bias, self.narrow, self.within]
 
 
-def new_network(tokens: int, seed: int) -> Network:
+def new_network(vocabulary: Vocabulary, seed: int) -> Network:
+    """Its tokens within a class have their shares of the counts, until it is trained."""
     rng = np.random.default_rng(seed)
-    embed = rng.normal(0, 0.1, (tokens + 1, WIDTH))
+    embed = rng.normal(0, 0.1, (vocabulary.pad + 1, WIDTH))
     embed[-1] = 0  # beyond the ends of a text
     return Network(*(x.astype(np.float32) for x in (
-        embed, rng.normal(0, 0.1, (4 * WIDTH, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 0.1, (HIDDEN, CLASSES)), np.zeros(CLASSES),
+        embed, rng.normal(0, 0.1, (4 * WIDTH, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 0.1, (HIDDEN, len(vocabulary.log_class))),
+        vocabulary.log_class, rng.normal(0, 0.3, (HIDDEN, WIDTH)), np.zeros((vocabulary.pad, WIDTH)),
     )))
 
 
@@ -90,8 +105,9 @@ def count_words(docs: DataFrame, text: str) -> DataFrame:
 
 def learn_vocabulary(counts: DataFrame, size: int | None = None) -> Vocabulary:
     """From (``word``, ``n``); words of equal count go by their hash. ``size`` words are tokens of their
-    own; where it is None, their number grows with that of the distinct words. Classes are cut by the
-    running sum of the square roots of the counts, from the most frequent token on."""
+    own; where it is None, their number grows with that of the distinct words. Classes beyond the
+    ``HEAD`` most frequent tokens, about as many as the root of the tokens, are cut by the running sum
+    of the square roots of the counts, from the most frequent token on."""
     bucket = F.pmod("word", F.lit(BUCKETS)).cast("int")  # BUCKETS divides 2^64: as for the unsigned hash
     totals, distinct = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for r in counts.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
@@ -107,12 +123,17 @@ def learn_vocabulary(counts: DataFrame, size: int | None = None) -> Vocabulary:
     log_weight = np.log(totals + SMOOTH * (distinct + 1))
     n = np.concatenate([own, np.maximum(totals, 0)]) + 0.5
     order = np.argsort(-n, kind="stable")
-    share = np.cumsum(np.sqrt(n[order])) / np.sqrt(n).sum()
+    tail = WIDTH * max(1, round(np.sqrt(len(n)) / WIDTH))
+    roots = np.sqrt(n[order[HEAD:]])
     group = np.empty(len(n), np.int64)
-    group[order] = np.minimum((share * CLASSES).astype(np.int64), CLASSES - 1)
-    log_share = np.log(n) - np.log(np.bincount(group, n, CLASSES)[group])
+    group[order[:HEAD]] = np.arange(min(HEAD, len(n)))
+    group[order[HEAD:]] = HEAD + np.minimum((np.cumsum(roots) / max(roots.sum(), 1) * tail).astype(np.int64), tail - 1)
+    weights = np.bincount(group, n, HEAD + tail)
+    log_share = np.log(n) - np.log(weights[group])
+    log_class = np.log(np.maximum(weights / weights.sum(), 1e-13))  # a class without tokens gets next to nothing
+    cuts = np.append(0, np.cumsum(np.bincount(group, minlength=HEAD + tail)))
     by_hash = np.argsort(known)
-    return Vocabulary(known[by_hash], by_hash, group, log_share.astype(np.float32), log_weight)
+    return Vocabulary(known[by_hash], by_hash, group, log_share.astype(np.float32), order, cuts, log_class, log_weight)
 
 
 def _contexts(embed: np.ndarray, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -130,6 +151,36 @@ def _forward(net: Network, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hidden, logits - np.log(np.exp(logits).sum(1, keepdims=True))
 
 
+def _by_class(vocabulary: Vocabulary, own: np.ndarray):
+    """(first and last place in ``order`` of a class, the examples whose token is in it, the tokens' places
+    in the class) for each class of several tokens that is among the tokens ``own``."""
+    group, place = vocabulary.group[own], vocabulary.place[own]
+    sizes = vocabulary.cuts[group + 1] - vocabulary.cuts[group]
+    some = np.flatnonzero(sizes > 1)
+    some = some[np.argsort(group[some], kind="stable")]
+    for rows in np.split(some, np.flatnonzero(np.diff(group[some])) + 1) if len(some) else ():
+        low, high = vocabulary.cuts[group[rows[0]] : group[rows[0]] + 2]
+        yield int(low), int(high), rows, place[rows] - low
+
+
+def _within(net: Network, vocabulary: Vocabulary, narrow: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Logarithms of the probabilities of a class's tokens, a row per example."""
+    logits = narrow @ net.within[low:high].T + vocabulary.log_share[vocabulary.order[low:high]]
+    logits -= logits.max(1, keepdims=True)
+    return logits - np.log(np.exp(logits).sum(1, keepdims=True))
+
+
+def _log_p(net: Network, vocabulary: Vocabulary, tokens: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the tokens at the places, given those on both sides."""
+    own = tokens[places]
+    hidden, log_p = _forward(net, _contexts(net.embed, tokens, places))
+    out = log_p[np.arange(len(places)), vocabulary.group[own]]
+    narrow = hidden @ net.narrow
+    for low, high, rows, inside in _by_class(vocabulary, own):
+        out[rows] += _within(net, vocabulary, narrow[rows], low, high)[np.arange(len(rows)), inside]
+    return out
+
+
 def _laid_out(data, offsets, vocabulary: Vocabulary):
     """Tokens of a block with ``REACH`` pads around every text, the places of words, words per text, and
     the words' hashes."""
@@ -146,21 +197,33 @@ def _laid_out(data, offsets, vocabulary: Vocabulary):
 class Trainer:
     """Stochastic gradient descent with a step size per weight, over one task's documents."""
 
-    def __init__(self, net: Network):
+    def __init__(self, net: Network, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
         self.net = Network(*(p.copy() for p in net.parts()))
         self.squares = [np.full(p.shape, 1e-4, np.float32) for p in net.parts()]
         self.touched = np.zeros(len(net.embed), bool)
+        self.told = np.zeros(len(net.within), bool)
 
-    def learn(self, tokens: np.ndarray, at: np.ndarray, group: np.ndarray) -> None:
-        net = self.net
+    def learn(self, tokens: np.ndarray, at: np.ndarray) -> None:
+        net, vocabulary = self.net, self.vocabulary
         for low in range(0, len(at), BATCH):
             places = at[low : low + BATCH]
             x = _contexts(net.embed, tokens, places)
             hidden, log_p = _forward(net, x)
             error = np.exp(log_p)
-            error[np.arange(len(places)), group[tokens[places]]] -= 1
+            error[np.arange(len(places)), vocabulary.group[tokens[places]]] -= 1
             error /= len(places)
-            back = (error @ net.out.T) * (1 - hidden**2)
+            narrow = hidden @ net.narrow
+            into_narrow = np.zeros_like(narrow)
+            for first, last, rows, inside in _by_class(vocabulary, tokens[places]):
+                wrong = np.exp(_within(net, vocabulary, narrow[rows], first, last))
+                wrong[np.arange(len(rows)), inside] -= 1
+                wrong /= len(places)
+                into_narrow[rows] = wrong @ net.within[first:last]
+                self._step(6, wrong.T @ narrow[rows], slice(first, last))
+                self.told[first:last] = True
+            back = (error @ net.out.T + into_narrow @ net.narrow.T) * (1 - hidden**2)
+            self._step(5, hidden.T @ into_narrow)
             into_x = back @ net.into.T
             self._step(3, hidden.T @ error)
             self._step(4, error.sum(0))
@@ -182,14 +245,15 @@ class Trainer:
             net.embed[rows] -= RATE * sums / np.sqrt(self.squares[0][rows])
             self.touched[rows] = True
 
-    def _step(self, k: int, gradient: np.ndarray) -> None:
-        self.squares[k] += gradient**2
-        self.net.parts()[k][...] -= RATE * gradient / np.sqrt(self.squares[k])
+    def _step(self, k: int, gradient: np.ndarray, rows: slice = slice(None)) -> None:
+        self.squares[k][rows] += gradient**2
+        self.net.parts()[k][rows] -= RATE * gradient / np.sqrt(self.squares[k][rows])
 
     def rows(self) -> tuple[np.ndarray, np.ndarray]:
-        """(slot, weights as integers): the weights as rows of ``WIDTH``, of the tokens met and the rest."""
+        """(slot, weights as integers): the weights as rows of ``WIDTH``, of the tokens and classes met and the rest."""
         flat = np.concatenate([p.ravel() for p in self.net.parts()]).reshape(-1, WIDTH)
-        slots = np.concatenate([np.flatnonzero(self.touched), np.arange(len(self.touched), len(flat))])
+        last = len(flat) - len(self.told)
+        slots = np.concatenate([np.flatnonzero(self.touched), np.arange(len(self.touched), last), last + np.flatnonzero(self.told)])
         return slots, np.round(flat[slots].astype(np.float64) * FIXED).astype(np.int64)
 
 
@@ -217,19 +281,19 @@ def train_masked_lm(docs: DataFrame, text: str = "text", rounds: int = 2, seed:
     """
     counts = checkpoint(count_words(docs, text))
     vocabulary = learn_vocabulary(counts)
-    network = new_network(vocabulary.pad, seed)
+    network = new_network(vocabulary, seed)
     source = docs.select(docs[f"`{text}`"].cast("string").alias("text"))
     fields = ", ".join(["slot long", "tasks long", *[f"w{i} long" for i in range(WIDTH)]])
     for number in range(rounds):
         mine = source.filter(F.pmod(F.xxhash64(F.lit("round"), "text"), F.lit(rounds)) == number)
 
         def train(batches, network=network):
-            trainer = Trainer(network)
+            trainer = Trainer(network, vocabulary)
             for batch in batches:
                 for _, _, data, offsets in blocks(batch.column(0)):
                     tokens, at, *_ = _laid_out(data, offsets, vocabulary)
                     chosen = mix(np.arange(len(at), dtype=np.uint64) + np.uint64(len(data))) % np.uint64(MASKED) == 0
-                    trainer.learn(tokens, at[chosen], vocabulary.group)
+                    trainer.learn(tokens, at[chosen])
             if not trainer.touched.any():
                 return
             slots, weights = trainer.rows()
@@ -242,8 +306,9 @@ def train_masked_lm(docs: DataFrame, text: str = "text", rounds: int = 2, seed:
             F.sum("tasks").alias("tasks"), *[F.sum(f"w{i}").alias(f"w{i}") for i in range(WIDTH)]
         )
         flat = np.concatenate([p.ravel() for p in network.parts()]).reshape(-1, WIDTH).astype(np.float64)
-        for row in sums.collect():
-            flat[row["slot"]] = np.array(row[2:], np.float64) / row["tasks"] / FIXED
+        found = sums.toArrow()
+        weights = np.column_stack([found[f"w{i}"].to_numpy() for i in range(WIDTH)])
+        flat[found["slot"].to_numpy()] = weights / found["tasks"].to_numpy()[:, None] / FIXED
         network = _rebuilt(network, flat.ravel())
     return Model(vocabulary, network, counts)
 
@@ -268,9 +333,7 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text", keep: lis
             sums = np.zeros(len(at) + 1)
             for a in range(0, len(at), 8192):
                 places = at[a : a + 8192]
-                _, log_p = _forward(net, _contexts(net.embed, tokens, places))
-                mine = own[a : a + 8192]
-                sums[a + 1 : a + 1 + len(places)] = log_p[np.arange(len(places)), vocabulary.group[mine]] + vocabulary.log_share[mine]
+                sums[a + 1 : a + 1 + len(places)] = _log_p(net, vocabulary, tokens, places)
             bucket = own - len(vocabulary.known)
             outside = bucket >= 0
             sums[1:][outside] -= vocabulary.log_weight[bucket[outside]]

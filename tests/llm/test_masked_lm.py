@@ -108,3 +108,22 @@ def test_the_vocabulary_grows_with_the_corpus(spark, monkeypatch):
     monkeypatch.setattr(masked_lm, "GROWTH", 2, raising=False)
     counts = count_words(spark.createDataFrame([(" ".join(f"w{i}" for i in range(40)),)], "text string"), "text")
     assert len(learn_vocabulary(counts).known) == 20
+
+
+def test_tokens_within_a_class_are_told_by_their_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(masked_lm, "HEAD", 0, raising=False)
+    draw = random.Random(18)
+    # Equal counts throughout, so that counts tell nothing: the word after a{i} is always b{i}.
+    docs = spark.createDataFrame(
+        [(" ".join(f"a{k} b{k}" for k in (draw.randrange(40) for _ in range(200))),) for _ in range(400)], "text string"
+    ).repartition(4)
+    model = train_masked_lm(docs)
+    group = model.vocabulary.group
+    token = {w: int(model.vocabulary.tokens(np.array([word_hash(w)], np.uint64))[0]) for w in (f"b{k}" for k in range(40))}
+    pairs = [(a, b) for a in token for b in token if a < b and group[token[a]] == group[token[b]]]
+    assert len(pairs) >= 20  # classes hold several words
+    ask = spark.createDataFrame([(f"{a} {w}", f"a{a[1:]} {w}") for a, b in pairs for w in (a, b)], "name string, text string")
+    score = {r["name"]: r["log_likelihood"] for r in score_documents(ask, model).collect()}
+    # The right word beats the other one of its class by more than the counts say.
+    gains = [score[f"{a} {a}"] - score[f"{a} {b}"] - float(model.vocabulary.log_share[token[a]] - model.vocabulary.log_share[token[b]]) for a, b in pairs]
+    assert np.mean(gains) > 0.5
