@@ -4,8 +4,10 @@ The CGK embedding walks along a sequence of words and writes one symbol per step
 moves on after a step depends on the step and the symbol alone. Two sequences a few edits apart walk
 in step again soon after an edit, so their embeddings differ in few places: edit distance becomes
 Hamming distance. A key is made of the embedding at a few sampled steps, and several samples are
-drawn, so that windows of an item meet windows of a copy in one of them with high probability. Every
-word of every text begins a window. What meets is verified by the exact edit distance.
+drawn, so that windows of an item meet windows of a copy in one of them with high probability. For
+every length of an item the window and the number of samples are those that meet ``TARGET`` of copies
+with all the edits that are allowed, as counted on random words. Every word of every text begins a
+window. What meets is verified by the exact edit distance.
 
 Items are taken in blocks of bounded size, whose keys every task holds; texts never move.
 """
@@ -23,8 +25,12 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, Stru
 from kindred.llm.buffers import WORD_BYTE, add_columns, blocks, fresh_name, hashes, mix, per_row, spans, utf8
 
 SAMPLED = 6  # embedding steps in a key
-SAMPLES = 4  # keys per window
-WINDOWS = (4, 8, 16)  # words; an item is met by windows of about a third of it, or of 16
+SAMPLES = 16  # keys per window at most
+WINDOWS = (4, 8, 16)  # words
+CHOICES = ((16, 4), (8, 4), (8, 8), (4, 4), (4, 8), (4, 16))  # (window, samples), the fewest chance meetings first
+TARGET = 0.98  # of the copies with as many edits as are allowed
+TRIALS = 400
+LONG = 128  # words; longer items have more windows, and are met by what such items are met by
 SHORT = 4  # items of up to so many words are met by all their words, somewhat longer ones by halves too
 STRETCH = 1.5  # embedding steps per word of a window
 BLOCK_BYTES = 4 << 20
@@ -44,19 +50,14 @@ def _schedule():
 PLAN = _schedule()
 
 
-def _window(words: int) -> int:
-    """The window size for an item: the largest one that fits twice, or the smallest."""
-    return max([w for w in WINDOWS if 2 * w <= words], default=WINDOWS[0])
-
-
-def cgk_keys(words: np.ndarray, sizes: tuple[int, ...]) -> dict[tuple[int, int], np.ndarray]:
-    """Keys of the window at every place: (window size, sample) to an array. Word 0 ends a text; a
-    walk that gets there stays."""
+def cgk_keys(words: np.ndarray, wanted: tuple[tuple[int, int], ...]) -> dict[tuple[int, int], np.ndarray]:
+    """Keys of the window at every place: (window size, sample) to an array, for each size its number of
+    samples. Word 0 ends a text; a walk that gets there stays."""
     bits = mix(words ^ np.uint64(0x5851F42D4C957F2D + SEED))
     bits[words == 0] = 0
     at = np.arange(len(words))
-    keys = {(size, k): np.full(len(words), size * 64 + k + 1, np.uint64) for size in sizes for k in range(SAMPLES)}
-    for step in range(int(max(sizes, default=0) * STRETCH)):
+    keys = {(size, k): np.full(len(words), size * 64 + k + 1, np.uint64) for size, samples in wanted for k in range(samples)}
+    for step in range(int(max((size for size, _ in wanted), default=0) * STRETCH)):
         symbol = words[at]
         for (size, k), key in keys.items():
             if step in PLAN[size][k]:
@@ -66,6 +67,48 @@ def cgk_keys(words: np.ndarray, sizes: tuple[int, ...]) -> dict[tuple[int, int],
     return {name: mix(key) for name, key in keys.items()}
 
 
+def _starts(words: int, size: int) -> np.ndarray:
+    """Where an item's windows begin. A walk covers about three quarters of its window, so the last
+    windows may reach past the end."""
+    return np.arange(words - size // 2)
+
+
+def _recall(words: int, edits: int, size: int, samples: int, spread: bool) -> float:
+    """The share of items of random words that share a key with a copy without ``edits`` words, evenly
+    spread or at random places."""
+    rng = np.random.default_rng(SEED)
+    text = rng.integers(1, 1 << 62, (TRIALS, words + 1)).astype(np.uint64)
+    text[:, -1] = 0
+    left = np.ones(text.shape, bool)
+    if spread:
+        gaps = (np.arange(edits) + rng.random((TRIALS, 1))) * words / max(edits, 1)
+        np.put_along_axis(left, gaps.astype(np.int64), False, 1)
+    else:
+        np.put_along_axis(left, np.argsort(rng.random((TRIALS, words)), 1)[:, :edits], False, 1)
+    ours = cgk_keys(text.ravel(), ((size, samples),))
+    theirs = cgk_keys(text[left], ((size, samples),))
+    met, inside = np.zeros(TRIALS, bool), text[left] != 0
+    for name, key in ours.items():
+        met |= np.isin(key.reshape(text.shape)[:, _starts(words, size)], theirs[name][inside]).any(1)
+    return met.mean()
+
+
+@lru_cache(maxsize=None)
+def choose(words: int, edits: int) -> tuple[int, int]:
+    """(window size, samples) for an item of so many words and allowed edits: the first of ``CHOICES``
+    whose window fits twice and meets ``TARGET``; where none does, the one that meets most."""
+    if words > LONG:
+        return choose(LONG, -(-edits * LONG // words))
+    best = (-1.0, WINDOWS[0], SAMPLES)
+    for size, samples in CHOICES:
+        if 2 * size <= words or size == WINDOWS[0]:
+            recall = min(_recall(words, edits, size, samples, spread) for spread in (True, False))
+            if recall >= TARGET:
+                return size, samples
+            best = max(best, (recall, size, samples))
+    return best[1:]
+
+
 def run_keys(words: np.ndarray, size: int) -> np.ndarray:
     """Keys of the ``size`` words from every place on; those that reach past a text's end match nothing."""
     key = np.full(len(words), size, np.uint64)
@@ -105,7 +148,7 @@ class Index:
     ids: tuple[int, ...]
     words: tuple[tuple[int, ...], ...]
     most: tuple[int, ...]
-    sizes: tuple[int, ...]
+    sizes: tuple[tuple[int, int], ...]  # window sizes, and the most samples that an item asks for
     short: tuple[int, ...]
     key: np.ndarray
     item: np.ndarray
@@ -119,9 +162,21 @@ def split_words(column: pa.Array) -> list[np.ndarray]:
     return np.split(hashes(data, starts, ends) | np.uint64(1), per_row(starts, offsets)[1:-1])
 
 
+def _allowed(words: int, similarity: float) -> int:
+    return int((1 - similarity) * words + 1e-9)
+
+
+def choices(items: tuple[tuple[int, str], ...], similarity: float) -> tuple[tuple[int, tuple[int, int]], ...]:
+    """(words, (window size, samples)) for the lengths of the items that are met by windows."""
+    lengths = {len(w) for w in split_words(pa.array([t for _, t in items], pa.string()))} if items else set()
+    return tuple((n, choose(n, _allowed(n, similarity))) for n in sorted(lengths) if n > SHORT)
+
+
 @lru_cache(maxsize=2)
-def build_index(items: tuple[tuple[int, str], ...], similarity: float) -> Index:
-    """Built once per worker process."""
+def build_index(items: tuple[tuple[int, str], ...], similarity: float, chosen: tuple = ()) -> Index:
+    """Built once per worker process. ``chosen``: what ``choices`` gave for the items, so that workers
+    need not count again."""
+    chosen = dict(chosen)
     ids = tuple(i for i, _ in items)
     words = split_words(pa.array([t for _, t in items], pa.string())) if items else []
     keys, item, place = [], [], []
@@ -131,7 +186,8 @@ def build_index(items: tuple[tuple[int, str], ...], similarity: float) -> Index:
         item.append(np.full(len(places), k))
         place.append(places)
 
-    sizes, short = set(), set()
+    most = tuple(_allowed(len(w), similarity) for w in words)
+    sizes, short = {}, set()
     for k, own in enumerate(words):
         n = len(own)
         if not n:
@@ -144,21 +200,18 @@ def build_index(items: tuple[tuple[int, str], ...], similarity: float) -> Index:
             for half in {n // 2, n - n // 2}:
                 short.add(half)
                 put(run_keys(own, half), k, np.array([0, n - half]))
-        size = _window(n)
-        sizes.add(size)
-        # A walk covers about three quarters of its window, so the last windows may reach past the end.
-        starts = np.arange(n - size // 2)
-        for key in cgk_keys(np.append(own, np.uint64(0)), (size,)).values():
-            put(key, k, starts)
+        size, samples = chosen.get(n) or choose(n, most[k])
+        sizes[size] = max(samples, sizes.get(size, 0))
+        for key in cgk_keys(np.append(own, np.uint64(0)), ((size, samples),)).values():
+            put(key, k, _starts(n, size))
     empty = np.zeros(0, np.int64)
     key, item, place = (np.concatenate(x) if x else empty for x in (keys, item, place))
     key = key.astype(np.uint64)
     order = np.lexsort((place, item, key))
     seen = np.zeros(1 << max(16, int(np.ceil(np.log2(len(key) * 16 + 1)))), bool)
     seen[key & np.uint64(len(seen) - 1)] = True
-    most = tuple(int((1 - similarity) * len(w) + 1e-9) for w in words)
     return Index(
-        ids, tuple(tuple(w.tolist()) for w in words), most, tuple(sorted(sizes)), tuple(sorted(short)),
+        ids, tuple(tuple(w.tolist()) for w in words), most, tuple(sorted(sizes.items())), tuple(sorted(short)),
         key[order], item[order], place[order], seen,
     )
 
@@ -268,8 +321,8 @@ def find_items(
         block = tuple(sorted((r["id"], r["text"]) for r in mine.collect()))
         name = fresh_name(result.columns, f"matches_{part}")
 
-        def compute(column, block=block):
-            return [pa.array(find_in_column(column, build_index(block, similarity)), _MATCHES)]
+        def compute(column, block=block, chosen=choices(block, similarity)):
+            return [pa.array(find_in_column(column, build_index(block, similarity, chosen)), _MATCHES)]
 
         kept = [text, *[c for c in order if c not in (text, "matches")], *names] if part < parts - 1 else [
             *[c for c in order if c != "matches"], *names

@@ -91,3 +91,18 @@ def test_exact_passages_of_the_table_are_all_found(spark, benchmark):
     for r in docs.collect():
         text = " " + " ".join(words(r["text"])) + " "
         assert {i for i, t in benchmark if " " + " ".join(words(t)) + " " in text} <= got[r["doc_id"]]
+
+
+@pytest.mark.parametrize("n", [9, 10, 15, 16, 17, 19, 20, 24, 31, 32, 36, 40, 48, 63, 64, 100, 150])
+def test_recall_at_each_length_with_evenly_spread_deletions(n):
+    draw = random.Random(n)
+    edits = int(0.2 * n + 1e-9)
+    items = tuple((i, " ".join(f"w{draw.randrange(10**9)}" for _ in range(n))) for i in range(300))
+    texts = []
+    for _, text in items:
+        parts, shift = text.split(), draw.random()
+        gone = {int((k + shift) * n / edits) for k in range(edits)}
+        assert len(gone) == edits
+        texts.append(" ".join(p for k, p in enumerate(parts) if k not in gone))
+    found = find_in_column(pa.array(texts), build_index(items, 0.8))
+    assert sum(i in {m["item_id"] for m in matches} for (i, _), matches in zip(items, found, strict=True)) >= 0.95 * len(items)
