@@ -123,14 +123,14 @@ def learn_languages(
                 counts = trigram_counts(data, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(low, high - low), batch.column(1).slice(low, high - low),
-                     pa.array([r.tobytes() for r in counts.astype(np.uint16).clip(0, 65535)], pa.binary())],
+                     pa.array([r.tobytes() for r in counts.astype(np.uint32)], pa.binary())],
                     names=["lang", "draw", "counts"],
                 )
 
     sample = sorted(few.mapInArrow(sampled, "lang string, draw long, counts binary").collect())
     centroids, owner, nearest = [], [], np.zeros(len(languages))
     for k, name in enumerate(languages):
-        mine = [np.frombuffer(r["counts"], np.uint16) for r in sample if r["lang"] == name]
+        mine = [np.frombuffer(r["counts"], np.uint32) for r in sample if r["lang"] == name]
         if not mine:
             continue
         x = _vectors(np.array(mine), idf)

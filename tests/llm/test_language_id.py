@@ -46,3 +46,12 @@ def test_cases_without_letters_languages_or_rows(spark):
     empty = learn_languages(train.limit(0))
     assert {r["lang_pred"] for r in identify_language(ask, empty).collect()} == {"und"}
     assert identify_language(ask.limit(0), model).collect() == []
+
+
+def test_a_trigram_met_very_often_counts_whole(spark):
+    from kindred.llm import language_id
+
+    text = "xyz " * 65537 + "abc " * 300
+    docs = spark.createDataFrame([(1, text, "xx")], "doc_id long, text string, lang string")
+    row = language_id.identify_language(docs, language_id.learn_languages(docs)).first()
+    assert row["score"] > 0.9999  # its own vector is the only centroid
