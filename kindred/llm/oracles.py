@@ -111,3 +111,77 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, count(*) FILTER (exact) AS n_base,
   coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(share), 0.0)::DOUBLE AS score
 FROM docs LEFT JOIN spans USING (row) GROUP BY row, doc_id, ws
 """
+
+ORACLES["op11_spelling"] = r"""
+WITH RECURSIVE
+-- crc32 is linear: every byte adds a value of its place from the end, to that of so many zeros.
+bits(b, v, k) AS (
+  SELECT range, range, 0 FROM range(256)
+  UNION ALL SELECT b, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8),
+t AS MATERIALIZED (SELECT b, v FROM bits WHERE k = 8),
+runs AS MATERIALIZED (
+  SELECT doc_id, run, count(*) AS c, encode(coalesce(doc_id::VARCHAR, '') || ':' || run) AS said, row_number() OVER () AS r
+  FROM (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+  GROUP BY doc_id, run),
+most AS MATERIALIZED (SELECT coalesce(max(octet_length(said)), 0) AS n FROM runs),
+places(k, b, v) AS (
+  SELECT 0, b, v FROM t
+  UNION ALL SELECT k + 1, p.b, xor(p.v >> 8, t.v) FROM places p JOIN t ON t.b = p.v & 255 WHERE k < (SELECT n FROM most)),
+zeros(k, v) AS (
+  SELECT 0, 4294967295
+  UNION ALL SELECT k + 1, xor(z.v >> 8, t.v) FROM zeros z JOIN t ON t.b = z.v & 255 WHERE k < (SELECT n FROM most)),
+bytes AS (
+  SELECT r, octet_length(said) - i AS k, ('0x' || substr(hex(said), 2 * i - 1, 2))::BIGINT AS b
+  FROM (SELECT r, said, unnest(generate_series(1, octet_length(said))) AS i FROM runs)),
+crc AS (SELECT r, bit_xor(v) AS v FROM bytes JOIN places USING (k, b) GROUP BY r),
+met AS (
+  SELECT run, c, xor(xor(crc.v, zeros.v), 4294967295) AS h
+  FROM runs JOIN crc USING (r) JOIN zeros ON zeros.k = octet_length(said)),
+words AS MATERIALIZED (
+  SELECT word, sum(c)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+      ELSE run END AS word, c FROM met)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+-- Two words of a length differ in one place if they agree without it; a longer one must give the other.
+short AS MATERIALIZED (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(generate_series(1, length(word))) AS i FROM words)),
+near AS MATERIALIZED (
+  SELECT DISTINCT x.word AS a, y.word AS b FROM short x JOIN short y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+  UNION SELECT DISTINCT short.word, words.word FROM short JOIN words ON short.rest = words.word
+  UNION SELECT DISTINCT words.word, short.word FROM short JOIN words ON short.rest = words.word),
+best AS (
+  SELECT a, count(*) AS n_near, min(struct_pack(less := -n, form := b)) AS f
+  FROM near JOIN words ON words.word = near.b GROUP BY a),
+formed AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -f.less >= 10 * n THEN f.form END AS form,
+    CASE WHEN -f.less >= 10 * n THEN -f.less END AS form_n
+  FROM words LEFT JOIN best ON a = word),
+ways(word, root) AS (
+  SELECT word, word FROM formed
+  UNION ALL SELECT ways.word, formed.form FROM ways JOIN formed ON formed.word = root WHERE formed.form IS NOT NULL),
+roots AS (SELECT ways.word, root FROM ways JOIN formed ON formed.word = root WHERE form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+"""
+
+ORACLES["op12_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+numbers AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+    ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+      THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+parts AS (SELECT *, substr(text, 1, a) AS p, substr(text, a + 1, b - a) AS m, substr(text, b + 1) AS s FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kindred.llm import (
-    decontaminate, language_id, licenses, masked_lm, mixing, quality, secret_scan, simhash, token_counts, url_filter,
+    decontaminate, fill_in_middle, html_extract, language_id, licenses, masked_lm, mixing, quality, secret_scan, simhash,
+    spelling, token_counts, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +114,23 @@ def op10_secrets(spark, sf) -> DataFrame:
         "doc_id", *[number(kind).alias(f"n_{kind}") for kind in kinds],
         F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("secrets")).alias("spans"),
     )
+
+
+@query
+def op11_spelling(spark, sf) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf, "documents").select("doc_id", "text"), misspell_every=31)
+    return spelling.group_variants(words)
+
+
+@query
+def op12_fill_in_middle(spark, sf) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(table(spark, sf, "documents").select("doc_id", "text"), keep=["doc_id"])
+    rebuilt = fill_in_middle.restore_texts(made)
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256")
+    return rebuilt.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored"))
+
+
+@query
+def op13_html_extraction(spark, sf) -> DataFrame:
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    return html_extract.extract_main_text(pages, html_extract.learn_extractor(pages), keep=["page_id", "url"])

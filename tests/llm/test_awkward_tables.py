@@ -4,8 +4,8 @@ import pytest
 
 import corpus_pipeline
 from kindred.llm import (
-    decontaminate, language_id, licenses, masked_lm, mixing, quality, queries, secret_scan, simhash, token_counts,
-    url_filter,
+    decontaminate, fill_in_middle, html_extract, language_id, licenses, masked_lm, mixing, quality, queries, secret_scan,
+    simhash, token_counts, url_filter,
 )
 
 LONG = "word other thing " * 40_000
@@ -20,6 +20,7 @@ ROWS = [
 CLASHING = [
     "__text", "score", "Rejected", "lang_pred", "kept", "n_words", "matches", "secrets", "fingerprint", "key", "number",
     "print", "id", "size", "taken", "range", "first", "host", "path", "rule", "pos", "run", "hash", "label", "version",
+    "Form", "output", "made",
 ]
 
 
@@ -43,14 +44,18 @@ def operators(spark):
         "quality": lambda d: quality.judge_quality(d, quality.fit_quality(d, labels)),
         "decontaminate": lambda d: decontaminate.find_items(d, items),
         "secret_scan": secret_scan.find_secrets,
+        "fill_in_middle": fill_in_middle.fill_in_middle,
+        "restore_texts": lambda d: fill_in_middle.restore_texts(fill_in_middle.fill_in_middle(d)),
+        "html_extract": lambda d: html_extract.extract_main_text(d, html_extract.learn_extractor(d, "text", 20), html="text"),
     }
 
 
-WHOLE = ("masked_lm", "language_id", "token_counts", "quality", "decontaminate", "secret_scan")
+WHOLE = ("masked_lm", "language_id", "token_counts", "quality", "decontaminate", "secret_scan", "fill_in_middle", "restore_texts", "html_extract")
 
 
 @pytest.mark.parametrize("name", [
     "masked_lm", "language_id", "url_filter", "licenses", "token_counts", "mixing", "simhash", "quality", "decontaminate", "secret_scan",
+    "fill_in_middle", "restore_texts", "html_extract",
 ])
 def test_every_row_gets_its_result(spark, name):
     docs = make(spark)
@@ -61,7 +66,7 @@ def test_every_row_gets_its_result(spark, name):
     lowered = [c.lower() for c in out.columns]
     assert len(set(lowered)) == len(lowered)
     if name in WHOLE:  # other columns pass unchanged, those with the names of results give way
-        assert set(c for c in docs.columns if c.lower() not in ("score", "rejected", "lang_pred", "kept", "n_words", "matches", "secrets")) <= set(out.columns)
+        assert set(c for c in docs.columns if c.lower() not in ("score", "rejected", "lang_pred", "kept", "n_words", "matches", "secrets", "form")) <= set(out.columns)
         assert out.select("a map", "source").dtypes == docs.select("a map", "source").dtypes
     assert run(docs.limit(0)).collect() == []
     same = [tuple(map(str, r)) for r in rows if r["doc_id"] == 4]
