@@ -113,6 +113,19 @@ oracle(
     "SELECT l_orderkey, l_linenumber FROM lineitem WHERE left(md5(l_orderkey || ':' || l_linenumber), 2) = '07'",
 )
 
+_SALES = """sales AS (
+    SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag,
+           ('0x' || left(md5('{seed}:' || l_orderkey || ':' || l_linenumber || ':' || l_partkey), 13))::BIGINT AS draw
+    FROM lineitem)"""
+_SOLD = "SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM sales "
+_DRAWN = "ORDER BY draw, l_orderkey, l_linenumber, l_partkey"
+oracle("sample_exactly", f"{_SOLD} {_DRAWN} LIMIT 1000", _SALES.format(seed="rows"))
+oracle(
+    "sample_per_flag", f"{_SOLD} QUALIFY row_number() OVER (PARTITION BY l_returnflag {_DRAWN}) <= 50",
+    _SALES.format(seed="flags"),
+)
+oracle("sample_fraction", f"{_SOLD} WHERE draw / pow(16, 13) < 0.05", _SALES.format(seed="5"))
+
 # --- scalar functions ----------------------------------------------------------------------------
 
 oracle(
@@ -277,6 +290,8 @@ oracle(
          QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey * 10 + l_linenumber DESC) = 1) n
        ON p.p_partkey = n.l_partkey""",
 )
+ORACLES["upsert_bucketed"] = ORACLES["upsert_nodes"]
+oracle("frontier_stored", "SELECT DISTINCT doc_id FROM documents ANTI JOIN labels USING (doc_id)")
 oracle("frontier", "SELECT DISTINCT doc_id FROM documents ANTI JOIN labels USING (doc_id)")
 oracle("high_water_mark", "SELECT max(o_orderkey) AS o_orderkey FROM orders")
 oracle("distinct_raters", "SELECT DISTINCT content_id, user_id FROM plays", PLAYS)
@@ -307,6 +322,19 @@ _FOUND = """SELECT * FROM {table} WHERE contains(lower(title), '{text}') {kind}
             ORDER BY length(title), title, content_id, type LIMIT 1"""
 oracle("find_content", _FOUND.format(table="content", text=TEXT, kind=f"AND type = '{KIND}'"), CONTENT)
 oracle("find_content_any_kind", _FOUND.format(table="content", text=TEXT, kind=""), CONTENT)
+oracle(
+    "find_contents",
+    """SELECT p_partkey, text, kind, content_id, type, title FROM texts JOIN content
+         ON contains(lower(title), lower(text)) AND (kind IS NULL OR kind = type)
+       QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY length(title), title, content_id, type) = 1""",
+    CONTENT,
+    """texts AS (
+        SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN lower(p_type) END AS kind,
+               CASE WHEN p_partkey % 11 = 0 THEN 'no ' || p_name WHEN p_partkey % 7 = 0 THEN upper(substr(p_name, 2, 2))
+                    WHEN p_partkey % 13 = 0 THEN left(p_name, 1) WHEN p_partkey % 17 = 0 THEN ''
+                    ELSE substr(p_name, 3, 6) END AS text
+        FROM part)""",
+)
 ORIGIN = f"""origin AS ({_FOUND.format(table='vectors', text=TEXT, kind=f"AND type = '{KIND}'")})"""
 
 
@@ -334,6 +362,12 @@ oracle(
     "similar_content_batch", "SELECT * FROM matches", CONTENT, VECTORS,
     similar("(SELECT * FROM vectors WHERE content_id::BIGINT % 50 = 0)", "vectors", 2),
 )
+ORACLES["similar_content_all_lists"] = ORACLES["similar_content_batch"]
+oracle(
+    "similar_content_recall",
+    "SELECT count(DISTINCT (origin_id, origin_type)) AS origins, count(*) AS wanted, true AS enough FROM matches",
+    CONTENT, VECTORS, similar("(SELECT * FROM vectors WHERE content_id::BIGINT % 50 = 0)", "vectors", 2),
+)
 _WITH_KEYWORDS = (
     CONTENT, VECTORS, KEYWORD_EDGES, KEYWORD_LIST, ORIGIN,
     "tagged AS (SELECT vectors.* FROM vectors SEMI JOIN keyword_list USING (content_id, type))",
@@ -589,6 +623,17 @@ oracle(
         FROM events WHERE event_id % 2 = 0 OR user_id % 3 <> 0
         QUALIFY row_number() OVER (PARTITION BY user_id, event_id % 2 ORDER BY event_id DESC) = 1)""",
 )
+oracle(
+    "ingest_compacted",
+    """SELECT user_id, max_by(event_id, part) AS event_id, max_by(value, part) FILTER (value IS NOT NULL) AS value,
+              max_by(event_type, part) FILTER (event_type IS NOT NULL) AS event_type
+       FROM parts GROUP BY user_id""",
+    """parts AS (
+        SELECT user_id, event_id % 4 AS part, event_id, CASE WHEN event_id % 5 <> 0 THEN value END AS value,
+               CASE WHEN event_id % 3 = 0 THEN event_type END AS event_type
+        FROM events WHERE user_id % (event_id % 4 + 2) <> 0
+        QUALIFY row_number() OVER (PARTITION BY user_id, event_id % 4 ORDER BY event_id DESC) = 1)""",
+)
 oracle(
     "zone_variants",
     """SELECT CASE p_partkey % 2 WHEN 0 THEN 'a' ELSE 'b' END AS folder, count(*) AS n,
@@ -604,6 +649,12 @@ oracle(
               CASE WHEN l_quantity <= 40 THEN l_quantity END AS rating, TIMESTAMP '2020-01-02 03:04:05' AS rating_date
        FROM lineitem WHERE l_suppkey <> 1""",
 )
+ORACLES["collections_checked"] = ORACLES["collections_files"]
+oracle(
+    "collections_rejects",
+    """SELECT 'nr +%1' AS key, 'ends too early' AS reason, count(DISTINCT l_suppkey) - 1 AS n_good, 1::BIGINT AS n_bad
+       FROM lineitem""",
+)
 oracle(
     "catalogue_files",
     """SELECT 'nr +%' || p_brand AS content_id, p_brand || ' & more' AS description, p_size AS release_year,
@@ -626,6 +677,12 @@ oracle(
               CAST(floor(value) AS DOUBLE) AS rating, date_trunc('second', ts) AS rating_date
        FROM events WHERE user_id <> 1""",
 )
+ORACLES["anime_list_checked"] = ORACLES["anime_list_files"]
+oracle(
+    "anime_list_rejects",
+    """SELECT '1' AS key, 'does not begin as expected' AS reason, count(*) FILTER (user_id <> 1) AS n_good, 1::BIGINT AS n_bad
+       FROM events""",
+)
 oracle(
     "anime_info_files",
     """SELECT CAST(p_partkey AS VARCHAR) AS content_id, p_brand AS description,

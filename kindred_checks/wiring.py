@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -11,13 +12,14 @@ from kindred import functions as fn
 from kindred import schema as S
 from kindred.operators import (
     centrality, charts, edges, embedding, incremental, keywords, merge, nodes, playtime, profile,
-    recommend,
+    recommend, sample, titles, vector_index,
 )
 from kindred.operators.graph import Adjacency
 from kindred.operators.topk import top_per_group
 from kindred.plans import anime, movie, videogame
 from kindred.plans.catalogue import build_catalogue
 from kindred.session import scratch_path
+from kindred.sinks.buckets import read_bucketed, upsert_bucketed as upsert_into_buckets
 from kindred.sinks.zones import publish, write_zone
 from kindred.sources import (
     catalogue_content, collection_ratings, consolidate_documents, keyed_entries, keyed_list_entries,
@@ -25,7 +27,8 @@ from kindred.sources import (
     read_keyed_json, read_keyed_json_list, read_latest_snapshot, read_parquet_many,
     read_review_json, read_review_pages_xml, review_comments, reviewers,
 )
-from kindred.streaming.ingest import ingest_new_files, read_ingested
+from kindred.sources.rejects import read_anime_lists_checked, read_collections_checked
+from kindred.streaming.ingest import compact_ingested, drop_folded, ingest_new_files, read_ingested
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -225,6 +228,29 @@ def sample_rows(spark, sf):
     return table(spark, sf, "lineitem").filter(F.left(F.md5(key), F.lit(2)) == "07").select("l_orderkey", "l_linenumber")
 
 
+@query
+def sample_exactly(spark, sf):
+    """A thousand sales, the same in every run. Some are listed twice; either one may stand for both."""
+    return sample.sample_n(sales(spark, sf), 1000, ["l_orderkey", "l_linenumber", "l_partkey"], seed="rows")
+
+
+@query
+def sample_per_flag(spark, sf):
+    """Fifty of each return flag."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
+    return sample.sample_n(sales(spark, sf), 50, keys, seed="flags", by=["l_returnflag"])
+
+
+@query
+def sample_fraction(spark, sf):
+    """About one sale in twenty."""
+    return sample.sample_fraction(sales(spark, sf), 0.05, ["l_orderkey", "l_linenumber", "l_partkey"], seed=5)
+
+
+def sales(spark, sf) -> DataFrame:
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+
+
 # --- scalar functions ----------------------------------------------------------------------------
 
 @query
@@ -525,12 +551,36 @@ def upsert_last_row(spark, sf):
     return nodes.upsert_nodes(old.withColumn("sale", F.lit(0).cast("bigint")), sold, ["p_partkey"], "sale")
 
 
+@query
+def upsert_bucketed(spark, sf):
+    """The loads of ``upsert_nodes`` into a zone of buckets, the second one in two parts."""
+    path = scratch_path(spark, "buckets")
+    old = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
+    upsert_into_buckets(old, path, ["p_partkey"], buckets=16)
+    sold = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_quantity")
+    new = sold.groupBy("p_partkey").agg(F.max("l_quantity").cast("int").alias("best"))
+    new = new.select("p_partkey", F.when(F.col("best") < 50, F.col("best")).alias("p_size"))
+    for part in (0, 1):
+        upsert_into_buckets(new.filter(F.col("p_partkey") % 2 == part), path, ["p_partkey"])
+    return read_bucketed(spark, path)
+
+
 @query
 def frontier(spark, sf):
     """Documents not labelled yet."""
     return incremental.frontier(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id")
 
 
+@query
+def frontier_stored(spark, sf):
+    """Documents not labelled yet, against labels stored in two loads in buckets by id."""
+    name = f"fetched_{uuid.uuid4().hex}"
+    labels = table(spark, sf, "labels")
+    for half in (0, 1):
+        incremental.store_keys(labels.filter(F.col("doc_id") % 2 == half), "doc_id", name)
+    return incremental.frontier_of_stored(table(spark, sf, "documents"), name, "doc_id")
+
+
 @query
 def high_water_mark(spark, sf):
     return incremental.high_water_mark(table(spark, sf, "orders"), "o_orderkey")
@@ -574,16 +624,49 @@ def find_content_any_kind(spark, sf):
     return recommend.find_content(content(spark, sf), TEXT)
 
 
+@query
+def find_contents(spark, sf):
+    """The first match of many texts: pieces of titles, some short, some of a given type, some in no title."""
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", F.lower("p_type").alias("kind"))
+    n = F.col("p_partkey")
+    piece = F.when(n % 11 == 0, F.concat(F.lit("no "), "p_name")).when(n % 7 == 0, F.upper(F.substring("p_name", 2, 2))).when(
+        n % 13 == 0, F.left("p_name", F.lit(1))).when(n % 17 == 0, F.lit("")).otherwise(F.substring("p_name", 3, 6))
+    texts = parts.select("p_partkey", piece.alias("text"), F.when(n % 3 == 0, F.col("kind")).alias("kind"))
+    return titles.find_contents(content(spark, sf), texts, kind="kind")
+
+
 @query
 def similar_content(spark, sf):
     return recommend.similar_content(vectors(spark, sf), best_title(spark, sf), KINDS, k=8)
 
 
+def every_fiftieth(v: DataFrame) -> DataFrame:
+    return v.filter(F.col("content_id").cast("bigint") % 50 == 0)
+
+
 @query
 def similar_content_batch(spark, sf):
     """Every content whose id is divisible by 50 as origin, against all."""
     v = vectors(spark, sf)
-    return recommend.similar_content(v, v.filter(F.col("content_id").cast("bigint") % 50 == 0), KINDS, k=2)
+    return recommend.similar_content_batch(v, every_fiftieth(v), KINDS, k=2)
+
+
+@query
+def similar_content_all_lists(spark, sf):
+    """The same through an index of which every list is looked through: nothing is missing in it."""
+    v = vectors(spark, sf)
+    index = vector_index.build_index(v, scratch_path(spark, "index"), KINDS, k=2)
+    return vector_index.search_index(index, v, every_fiftieth(v), KINDS, k=2, probes=len(index.sizes))
+
+
+@query
+def similar_content_recall(spark, sf):
+    """The same through the lists that the index chooses to look through: how much of the exact answer is found."""
+    v = vectors(spark, sf)
+    index = vector_index.build_index(v, scratch_path(spark, "index"), KINDS, k=2)
+    found = vector_index.search_index(index, v, every_fiftieth(v), KINDS, k=2)
+    exact = recommend.similar_content_batch(v, every_fiftieth(v), KINDS, k=2)
+    return vector_index.recall_of(found, exact).select("origins", "wanted", (F.col("recall") >= 0.9).alias("enough"))
 
 
 @query
@@ -728,6 +811,27 @@ def ingest_two_batches(spark, sf):
     return read_ingested(spark, f"{base}/rows", ["user_id"])
 
 
+@query
+def ingest_compacted(spark, sf):
+    """Four files in four runs; the first two are folded into a base, then these and the third, and what is
+    folded is removed."""
+    base = scratch_path(spark, "compacted")
+    rows = table(spark, sf, "events").select(
+        "user_id", "event_id", F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("value"),
+        F.when(F.col("event_id") % 3 == 0, F.col("event_type")).alias("event_type"),
+    )
+    for part in range(4):
+        mine = rows.filter((F.col("event_id") % 4 == part) & (F.col("user_id") % (part + 2) != 0))
+        write_zone(mine, f"{base}/in/part={part}")
+        ingest_new_files(
+            spark, f"{base}/in/part=*", f"{base}/checkpoint", lambda batch: batch, f"{base}/rows", rows.schema
+        )
+        if part in (1, 2):
+            compact_ingested(spark, f"{base}/rows", ["user_id"])
+    drop_folded(spark, f"{base}/rows", bases=1)
+    return read_ingested(spark, f"{base}/rows", ["user_id"])
+
+
 @query
 def zone_variants(spark, sf):
     """Two folders, one written as a single file, read in one scan; a third write is refused."""
@@ -772,8 +876,7 @@ def once_decoded(c: str):
     return F.url_decode(F.replace(F.col(c), F.lit("+"), F.lit("%2B"))).alias(c)
 
 
-@query
-def collections_files(spark, sf):
+def collection_folder(spark, sf) -> str:
     """A collection per supplier; one file is broken."""
     item = F.concat(
         F.lit("<item objectid=\""), text("l_partkey"), F.lit("\"><name>x</name><stats><rating value=\""),
@@ -784,11 +887,36 @@ def collections_files(spark, sf):
         F.concat(F.lit("<items>"), F.array_join(F.collect_list(item), ""), F.lit("</items>")).alias("doc")
     )
     broken = F.when(F.col("key") == "nr +%1", F.substr("doc", F.lit(1), F.length("doc") - 3)).otherwise(F.col("doc"))
-    path = files_by(spark, "collections", docs.select("key", broken.alias("doc")))
-    found = read_collections_xml(spark, path, glob="*.txt", key=IN_FOLDER)
+    return files_by(spark, "collections", docs.select("key", broken.alias("doc")))
+
+
+@query
+def collections_files(spark, sf):
+    found = read_collections_xml(spark, collection_folder(spark, sf), glob="*.txt", key=IN_FOLDER)
     return found.withColumn("user_id", once_decoded("user_id"))
 
 
+@query
+def collections_checked(spark, sf):
+    """The same ratings from a reader that keeps the bad files."""
+    store = scratch_path(spark, "checked")
+    found = read_collections_checked(spark, collection_folder(spark, sf), store, glob="*.txt", key=IN_FOLDER)
+    return found.good.withColumn("user_id", once_decoded("user_id"))
+
+
+def rejects(found) -> DataFrame:
+    """The bad documents with the folder's key, the reason and the counts of the one scan."""
+    key = F.regexp_extract("file", IN_FOLDER, 1).alias("key")
+    counts = [F.lit(n).cast("bigint").alias(name) for n, name in ((found.n_good, "n_good"), (found.n_bad, "n_bad"))]
+    return found.bad.select(key, "reason").select(once_decoded("key"), "reason", *counts)
+
+
+@query
+def collections_rejects(spark, sf):
+    store = scratch_path(spark, "checked")
+    return rejects(read_collections_checked(spark, collection_folder(spark, sf), store, glob="*.txt", key=IN_FOLDER))
+
+
 @query
 def catalogue_files(spark, sf):
     item = F.concat(
@@ -824,8 +952,7 @@ def review_json_files(spark, sf):
     return read_review_json(spark, files_by(spark, "json", docs), glob="*.txt", key=IN_FOLDER)
 
 
-@query
-def anime_list_files(spark, sf):
+def anime_list_folder(spark, sf) -> str:
     """A list per user as one JSON array over several lines; the first user's file is broken."""
     entry = F.struct(
         F.col("event_id").alias("anime_id"), F.floor("value").alias("score"),
@@ -835,8 +962,26 @@ def anime_list_files(spark, sf):
         F.replace(F.to_json(F.collect_list(entry)), F.lit("},{"), F.lit("},\n {")).alias("doc")
     )
     broken = F.when(F.col("key") == "1", F.concat(F.lit("]"), "doc")).otherwise(F.col("doc"))
-    path = files_by(spark, "lists", docs.select("key", broken.alias("doc")))
-    return anime.anime_ratings(read_anime_lists(spark, path, glob="*.txt", key=IN_FOLDER))
+    return files_by(spark, "lists", docs.select("key", broken.alias("doc")))
+
+
+@query
+def anime_list_files(spark, sf):
+    return anime.anime_ratings(read_anime_lists(spark, anime_list_folder(spark, sf), glob="*.txt", key=IN_FOLDER))
+
+
+@query
+def anime_list_rejects(spark, sf):
+    store = scratch_path(spark, "checked")
+    found = read_anime_lists_checked(spark, anime_list_folder(spark, sf), store, glob="*.txt", key=IN_FOLDER)
+    return rejects(found)
+
+
+@query
+def anime_list_checked(spark, sf):
+    store = scratch_path(spark, "checked")
+    found = read_anime_lists_checked(spark, anime_list_folder(spark, sf), store, glob="*.txt", key=IN_FOLDER)
+    return anime.anime_ratings(found.good)
 
 
 @query
