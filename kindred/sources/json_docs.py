@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kindred import schema as S
 from kindred.sources.files import with_file_key
+from kindred.sources.json_entries import read_entries
 
 
 def read_json_multiline(
@@ -15,15 +16,15 @@ def read_json_multiline(
     return spark.read.schema(schema).json(path, multiLine=True, mode=mode, pathGlobFilter=glob)
 
 
-def _documents(spark: SparkSession, path: str, lines: bool) -> DataFrame:
-    """One row per document, per line (splittable) or per file, and its ``place``: the file, where the
-    part that a task read of it begins, and the row's number, which grows within a part."""
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row per line and its ``place``: the file, where the part that a task read of it begins, and the
+    row's number, which grows within a part."""
     place = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("row"),
+        F.monotonically_increasing_id().alias("ordinal"),
     )
-    return spark.read.text(path, wholetext=not lines).select("value", place.alias("place"))
+    return spark.read.text(path).select("value", place.alias("place"))
 
 
 def keyed_entries(docs: DataFrame, text: str, value_schema: str) -> DataFrame:
@@ -44,21 +45,23 @@ def keyed_list_entries(docs: DataFrame, text: str, value_schema: str) -> DataFra
 def read_keyed_json(
     spark: SparkSession, path: str, value_schema: str, lines: bool = True
 ) -> DataFrame:
-    """Objects keyed by id, one per line, so that files split as usual. With ``lines=False`` a file is
-    one object, which one task reads."""
-    return keyed_entries(_documents(spark, path, lines), "value", value_schema)
+    """Objects keyed by id, one per line. With ``lines=False`` a file is one object, of any size: it is cut
+    into its entries by as many tasks as it has splits (``json_entries``)."""
+    if lines:
+        return keyed_entries(_lines(spark, path), "value", value_schema)
+    entries = read_entries(spark, path)
+    return keyed_entries(entries.select(F.concat(F.lit("{"), "value", F.lit("}")).alias("value")), "value", value_schema)
 
 
 def read_keyed_json_list(
     spark: SparkSession, path: str, value_schema: str, lines: bool = True
 ) -> DataFrame:
-    """Single-key objects, one per line, or with ``lines=False`` files that hold a list of them.
+    """Single-key objects, one per line, or with ``lines=False`` files that hold a list of them, of any size.
 
     ``position`` orders the entries alike in both forms: by file name, and within a file as listed.
     """
-    docs = _documents(spark, path, lines)
-    text = F.concat(F.lit("["), "value", F.lit("]")) if lines else F.col("value")
-    parsed = F.from_json(text, f"array<map<string,{value_schema}>>")
+    docs = _lines(spark, path) if lines else read_entries(spark, path)
+    parsed = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), f"array<map<string,{value_schema}>>")
     objects = docs.select("place", F.posexplode(parsed).alias("index", "entry"))
     return objects.select("place", "index", F.explode("entry").alias("key", "value")).select(
         "key", "value", F.struct("place", "index").alias("position")

@@ -94,10 +94,12 @@ def review_comments(items: DataFrame, game_id: str = "game_id", item: str = "ite
     )
 
 
-def read_review_totals_xml(spark: SparkSession, path: str, root_tag: str = "items") -> DataFrame:
+def read_review_totals_xml(
+    spark: SparkSession, path: str, root_tag: str = "items", glob: str = "1.xml", key: str = r"/([^/]+)/1\.xml$"
+) -> DataFrame:
     """(``game_id``, ``total``) as announced by the first review page of each game."""
-    roots = _read_roots(spark, f"{path.rstrip('/')}/*", S.REVIEW_PAGE, root_tag, "1.xml")
-    games = with_file_key(roots, r"/([^/]+)/1\.xml$", "game_id")
+    roots = _read_roots(spark, f"{path.rstrip('/')}/*", S.REVIEW_PAGE, root_tag, glob)
+    games = with_file_key(roots, key, "game_id")
     return games.select("game_id", F.explode("item").alias("i")).select(
         "game_id", F.col("i.comments._totalitems").try_cast("bigint").alias("total")
     )

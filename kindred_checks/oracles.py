@@ -699,6 +699,17 @@ oracle(
               'videogame' AS type, p_name AS title
        FROM part""",
 )
+oracle(
+    "keyed_json_objects",
+    """SELECT CAST(p_partkey AS VARCHAR) AS content_id, p_brand AS description, CAST(1999 AS INTEGER) AS release_year,
+              'videogame' AS type, 'a, "b" }] \\' || p_name AS title
+       FROM part""",
+)
+oracle(
+    "review_totals",
+    """SELECT CAST(l_suppkey AS VARCHAR) AS game_id, count(*) AS total, CAST(ceil(count(*) / 100) AS BIGINT) AS pages
+       FROM lineitem GROUP BY l_suppkey""",
+)
 oracle(
     "consolidated_documents",
     """SELECT '{"brand":"' || p_brand || '","n":' || count(*) || '}' AS json, true AS named FROM part GROUP BY p_brand""",
@@ -706,9 +717,11 @@ oracle(
 oracle(
     "videogame_variants",
     """SELECT CASE WHEN c_nationkey < 10 THEN 'Unknown' ELSE c_name END AS user_id, CAST(l_partkey AS VARCHAR) AS content_id,
-              CAST(ceil(playtime / max(playtime) OVER (PARTITION BY o_custkey) * 10) AS DOUBLE) AS rating
-       FROM (SELECT c_nationkey, c_name, o_custkey, l_partkey, CAST(l_quantity AS BIGINT) - 1 AS playtime
+              CAST(ceil(playtime / max(playtime) OVER (PARTITION BY o_custkey) * 10) AS DOUBLE) AS rating,
+              'Steam' AS type_label, 'a, "b" }] \\' || p_name AS content_title
+       FROM (SELECT c_nationkey, c_name, o_custkey, l_partkey, p_name, CAST(l_quantity AS BIGINT) - 1 AS playtime
              FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+             JOIN part ON l_partkey = p_partkey
              WHERE c_nationkey >= 5)
        WHERE playtime > 0""",
 )

@@ -25,7 +25,7 @@ from kindred.sources import (
     catalogue_content, collection_ratings, consolidate_documents, keyed_entries, keyed_list_entries,
     read_anime_info, read_anime_lists, read_catalogue_xml, read_collections_xml, read_id_export,
     read_keyed_json, read_keyed_json_list, read_latest_snapshot, read_parquet_many,
-    read_review_json, read_review_pages_xml, review_comments, reviewers,
+    read_review_json, read_review_pages_xml, read_review_totals_xml, review_comments, reviewers,
 )
 from kindred.sources.rejects import read_anime_lists_checked, read_collections_checked
 from kindred.streaming.ingest import compact_ingested, drop_folded, ingest_new_files, read_ingested
@@ -990,7 +990,7 @@ def anime_info_files(spark, sf):
         F.col("p_partkey").alias("mal_id"), F.col("p_name").alias("title"), F.col("p_brand").alias("synopsis"),
         F.struct(F.struct(F.struct((F.col("p_size") + 1970).alias("year")).alias("from")).alias("prop")).alias("aired"),
     ).alias("data"))
-    docs = table(spark, sf, "part").groupBy((F.col("p_partkey") % 50).alias("key")).agg(
+    docs = table(spark, sf, "part").groupBy(F.floor(F.col("p_partkey") / 100).alias("key")).agg(
         F.concat(F.lit("[\n"), F.array_join(F.collect_list(F.to_json(record)), ",\n"), F.lit("\n]")).alias("doc")
     )
     return anime.anime_content(read_anime_info(spark, files_by(spark, "info", docs), glob="*.txt"))
@@ -1018,18 +1018,43 @@ def first_profiles(spark, sf):
     return videogame.player_names(read_keyed_json_list(spark, path, S.PROFILE))
 
 
+def list_files(spark, listed: DataFrame, name: str, opens: str, closes: str) -> str:
+    """Files that hold one list or object each, of up to a thousand ``value`` rows in the order of ``at``: one per ``key``."""
+    docs = listed.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("rows"))
+    whole = F.array_join(F.transform("rows", lambda r: r["value"]), ",\n ")
+    return files_by(spark, name, docs.select("key", F.concat(F.lit(opens), whole, F.lit(closes)).alias("doc")))
+
+
 @query
 def first_profiles_of_an_array(spark, sf):
     """The same from files that hold a list each."""
-    path = scratch_path(spark, "profiles")
-    bucket = F.when(F.col("turn") == 0, F.lit("a")).otherwise(F.lit("b"))
-    docs = profile_lines(spark, sf).groupBy(bucket.alias("key")).agg(
-        F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("value")), ","), F.lit("]")).alias("doc")
-    )
-    docs.repartition("key").write.partitionBy("key").text(path)
+    turn = F.when(F.col("turn") == 0, F.lit("a")).otherwise(F.lit("b"))
+    number = F.col("c_custkey")
+    key = F.concat(turn, F.lpad(F.floor(number / 1000).cast("string"), 12, "0"))
+    listed = profile_lines(spark, sf).select(key.alias("key"), number.alias("at"), "value")
+    path = list_files(spark, listed, "profiles", "[", "]")
     return videogame.player_names(read_keyed_json_list(spark, path, S.PROFILE, lines=False))
 
 
+def game_entries(spark, sf) -> DataFrame:
+    """``"id": {…}`` of every game, with commas, brackets, quotes and backslashes in its texts."""
+    odd_name = F.concat(F.lit("a, \"b\" }] \\"), "p_name")
+    record = F.to_json(F.struct(
+        odd_name.alias("name"), F.lit("Oct 21, 1999").alias("release_date"), F.col("p_brand").alias("detailed_description")
+    ))
+    entry = F.concat(F.lit("\""), text("p_partkey"), F.lit("\":"), record)
+    return table(spark, sf, "part").select(
+        F.floor(F.col("p_partkey") / 1000).alias("key"), F.col("p_partkey").alias("at"), entry.alias("value")
+    )
+
+
+@query
+def keyed_json_objects(spark, sf):
+    """Files that are one object each."""
+    path = list_files(spark, game_entries(spark, sf), "games", "{", "}")
+    return videogame.videogame_content(read_keyed_json(spark, path, S.GAME_INFO, lines=False))
+
+
 @query
 def keyed_json_lines(spark, sf):
     path = scratch_path(spark, "games")
@@ -1053,15 +1078,31 @@ def consolidated_documents(spark, sf):
 
 @query
 def videogame_variants(spark, sf):
-    """Ratings by account instead of display name, and content under another title column."""
+    """Ratings by account instead of display name under another type, beside the titles of content under another
+    title column."""
     games = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     owned = games.groupBy(text("o_custkey").alias("key")).agg(F.collect_list(F.struct(
         F.col("l_partkey").alias("appid"), (F.col("l_quantity").cast("bigint") - 1).alias("playtime_forever")
     )).alias("value"))
-    path = scratch_path(spark, "profiles")
+    path, parts = scratch_path(spark, "profiles"), scratch_path(spark, "games")
     profile_lines(spark, sf).select("value").write.text(path)
-    rated = videogame.videogame_ratings(owned, read_keyed_json_list(spark, path, S.PROFILE), key="account")
-    return rated.select("user_id", "content_id", "rating")
+    profiles = read_keyed_json_list(spark, path, S.PROFILE)
+    rated = videogame.videogame_ratings(owned, profiles, key="account", type_label="Steam")
+    game_entries(spark, sf).select(F.concat(F.lit("{"), "value", F.lit("}"))).write.text(parts)
+    listed = videogame.videogame_content(read_keyed_json(spark, parts, S.GAME_INFO), title_column="content_title")
+    return rated.join(listed.select("content_id", "content_title"), "content_id").select(
+        "user_id", "content_id", "rating", F.col("type").alias("type_label"), "content_title"
+    )
+
+
+@query
+def review_totals(spark, sf):
+    """The number of reviews that the first page of each game announces, as pages of a hundred."""
+    page = F.concat(F.lit("<items><item><comments totalitems=\""), text("total"), F.lit("\"/></item></items>"))
+    docs = table(spark, sf, "lineitem").groupBy(text("l_suppkey").alias("key")).agg(F.count(F.lit(1)).alias("total"))
+    path = files_by(spark, "totals", docs.select("key", page.alias("doc")))
+    totals = read_review_totals_xml(spark, path, glob="*.txt", key=IN_FOLDER)
+    return totals.select("game_id", "total", fn.page_count(F.col("total")).alias("pages"))
 
 
 # --- the whole build -----------------------------------------------------------------------------

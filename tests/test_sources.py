@@ -3,6 +3,7 @@ import json
 
 import pytest
 from conftest import rows, ts
+from pyspark.sql import functions as F
 
 from kindred import schema as S
 from kindred import sources as src
@@ -178,3 +179,66 @@ def test_exports_snapshots_and_consolidation(spark, tmp_path):
     put(tmp_path / "docs" / "a b.json", '{"x":\n 1}')
     put(tmp_path / "docs" / "skip.txt", "no")
     assert rows(src.consolidate_documents(spark, str(tmp_path / "docs"))) == [("a b.json", '{"x":\n 1}')]
+
+
+def _odd_value(draw, depth=0):
+    kinds = ["text", "number", "null", "list", "object"] if depth < 3 else ["text", "number"]
+    kind = draw.choice(kinds)
+    if kind == "text":
+        return "".join(draw.choice('a,"\\{}[]:é日 \n') for _ in range(draw.randint(0, 30)))
+    if kind == "list":
+        return [_odd_value(draw, depth + 1) for _ in range(draw.randint(0, 5))]
+    if kind == "object":
+        return {f'k{i},"}}': _odd_value(draw, depth + 1) for i in range(draw.randint(0, 5))}
+    return draw.randint(-9, 99) if kind == "number" else None
+
+
+@pytest.fixture
+def small_splits(spark):
+    was = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "600")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    for k, v in was.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+@pytest.mark.parametrize("form", [{}, {"indent": 2}, {"separators": (",", ":"), "ensure_ascii": False}])
+def test_large_files_are_cut_by_several_tasks(spark, tmp_path, small_splits, form):
+    import random
+
+    draw = random.Random(4)
+    table = {f'id "{i}",': _odd_value(draw) for i in range(150)}
+    table['id "long",'] = ['x,"]}' * 400, {"a": [1] * 300}]  # goes over several splits
+    put(tmp_path / "object" / "a.json", json.dumps(table, **form))
+    listed = [{k: v} for k, v in table.items()]
+    put(tmp_path / "list" / "b.json", json.dumps(listed[::-1], **form) + "\n")
+    put(tmp_path / "list" / "a.json", " \n" + json.dumps(listed, **form))
+    put(tmp_path / "list" / "c.json", "[]")
+    put(tmp_path / "lines" / "a.json", "\n".join(map(json.dumps, listed)))
+    put(tmp_path / "lines" / "b.json", "\n".join(map(json.dumps, listed[::-1])))
+    from kindred.sources.json_entries import read_entries
+
+    read = read_entries(spark, str(tmp_path / "object"))
+    got = [json.loads("{" + r["value"] + "}") for r in read.orderBy("place").collect()]
+    assert got == listed
+    assert spark.read.option("lineSep", ",").text(str(tmp_path / "object")).rdd.getNumPartitions() > 20
+    got = [json.loads(r["value"]) for r in read_entries(spark, str(tmp_path / "list")).orderBy("place").collect()]
+    assert got == listed + listed[::-1]
+
+    by_key = src.read_keyed_json(spark, str(tmp_path / "object"), "string", lines=False)
+    assert rows(by_key, "key") == rows(src.read_keyed_json(spark, str(tmp_path / "lines" / "a.json"), "string"), "key")
+    whole = src.read_keyed_json_list(spark, str(tmp_path / "list"), "string", lines=False)
+    lines = src.read_keyed_json_list(spark, str(tmp_path / "lines"), "string")
+    assert rows(whole.orderBy("position").select("key", "value")) == rows(lines.orderBy("position").select("key", "value"))
+
+
+def test_files_without_entries(spark, tmp_path, small_splits):
+    from kindred.sources.json_entries import read_entries
+
+    for name, text in {"a": "[]", "b": " { } ", "c": "", "d": "[1]", "e": '{"k": "v"}', "f": "﻿[2, 3]"}.items():
+        put(tmp_path / f"{name}.json", text)
+    got = rows(read_entries(spark, str(tmp_path)).orderBy("place").select(F.trim("value")))
+    assert got == [("1",), ('"k": "v"',), ("2",), ("3",)]
+    put(tmp_path / "bad" / "x.json", '{"a": 1, "b" 2, "c": 3}')
+    assert rows(src.read_keyed_json(spark, str(tmp_path / "bad"), "int", lines=False), "key") == [("a", 1), ("c", 3)]
