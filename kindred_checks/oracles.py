@@ -552,6 +552,29 @@ oracle(
     "SELECT node, round(r.score, 6) AS pagerank, round(a20.score, 6) AS centrality FROM r20 r JOIN a20 USING (node)",
     *PAGE_RANK, *article_rounds(),
 )
+
+
+def settled_rounds(extra: str, name: str, tolerance: float, most: int = 60) -> tuple[str, ...]:
+    """More rounds than it takes: those after the last one that moves change nothing."""
+    rounds = [f"{name}0 AS MATERIALIZED (SELECT node, 0.15::DOUBLE AS score, 0.15::DOUBLE AS moved FROM nodes)"]
+    for i in range(1, most + 1):
+        rounds.append(f"""{name}{i} AS MATERIALIZED (
+            SELECT s.node, score + coalesce(came, 0) AS score, coalesce(came, 0) AS moved
+            FROM {name}{i - 1} s LEFT JOIN (
+              SELECT dst AS node, sum(0.85::DOUBLE * moved / (deg + {extra})) AS came
+              FROM {name}{i - 1} p JOIN graph ON src = p.node JOIN deg ON deg.src = p.node, mean
+              WHERE abs(moved) > {tolerance} GROUP BY dst) m USING (node))""")
+    return tuple(rounds)
+
+
+oracle(
+    "both_ranks_settled",
+    "SELECT node, round(p.score, 6) AS pagerank, round(c.score, 6) AS centrality FROM p60 p JOIN c60 c USING (node)",
+    *EDGES, PAIRS, GRAPH, NODES,
+    "deg AS MATERIALIZED (SELECT src, count(*) AS deg FROM graph GROUP BY src)",
+    "mean AS MATERIALIZED (SELECT (SELECT count(*) FROM graph) / greatest((SELECT count(*) FROM nodes), 1) AS avg_deg)",
+    *settled_rounds("0", "p", 0.02), *settled_rounds("avg_deg", "c", 0.02),
+)
 oracle("node_property", "SELECT content_id, type, pagerank FROM ranked", *PAGE_RANK, RANKED)
 oracle(
     "top_by_pagerank",

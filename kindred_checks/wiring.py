@@ -732,6 +732,14 @@ def both_ranks(spark, sf):
         return centrality.ranks(g).select("node", rounded("pagerank"), rounded("centrality"))
 
 
+@query
+def both_ranks_settled(spark, sf):
+    """Until no score moves by more than a fiftieth."""
+    with graph(spark, sf) as g:
+        found = centrality.settled_ranks(g, tolerance=0.02)
+    return found.select("node", rounded("pagerank"), rounded("centrality"))
+
+
 def scored(spark, sf) -> DataFrame:
     with graph(spark, sf) as g:
         ranks = nodes.content_property(centrality.page_rank(g), "pagerank")
