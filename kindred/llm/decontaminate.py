@@ -6,8 +6,12 @@ in step again soon after an edit, so their embeddings differ in few places: edit
 Hamming distance. A key is made of the embedding at a few sampled steps, and several samples are
 drawn, so that windows of an item meet windows of a copy in one of them with high probability. For
 every length of an item the window and the number of samples are those that meet ``TARGET`` of copies
-with all the edits that are allowed, as counted on random words. Every word of every text begins a
-window. What meets is verified by the exact edit distance.
+with all the edits that are allowed, as counted on random words, for words put in, left out or replaced.
+What meets is verified by the exact edit distance.
+
+Windows are made where a copy can lie at all. Up to k edits cut an item of n words into k + 1 runs at
+most, which keep n - k words: one run of (n - k) / (k + 1) words stays as it is. So places further than
+n + k words from every run of that length of some item hold no copy, and nothing is lost without them.
 
 Items are taken in blocks of bounded size, whose keys every task holds; texts never move.
 """
@@ -25,14 +29,15 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, Stru
 from kindred.llm.buffers import WORD_BYTE, add_columns, blocks, fresh_name, hashes, mix, per_row, spans, utf8
 
 SAMPLED = 6  # embedding steps in a key
-SAMPLES = 16  # keys per window at most
+SAMPLES = 24  # keys per window at most
 WINDOWS = (4, 8, 16)  # words
-CHOICES = ((16, 4), (8, 4), (8, 8), (4, 4), (4, 8), (4, 16))  # (window, samples), the fewest chance meetings first
+CHOICES = ((16, 4), (8, 4), (8, 8), (4, 4), (4, 8), (8, 16), (4, 16), (8, 24), (4, 24))  # (window, samples), the fewest chance meetings first
 TARGET = 0.98  # of the copies with as many edits as are allowed
 TRIALS = 400
 LONG = 128  # words; longer items have more windows, and are met by what such items are met by
 SHORT = 4  # items of up to so many words are met by all their words, somewhat longer ones by halves too
 STRETCH = 1.5  # embedding steps per word of a window
+LONGEST_RUN = 4  # words; longer runs that stay as they are contain such a one
 BLOCK_BYTES = 4 << 20
 SEED = 17
 
@@ -50,13 +55,15 @@ def _schedule():
 PLAN = _schedule()
 
 
-def cgk_keys(words: np.ndarray, wanted: tuple[tuple[int, int], ...]) -> dict[tuple[int, int], np.ndarray]:
-    """Keys of the window at every place: (window size, sample) to an array, for each size its number of
-    samples. Word 0 ends a text; a walk that gets there stays."""
+def cgk_keys(
+    words: np.ndarray, wanted: tuple[tuple[int, int], ...], places: np.ndarray | None = None
+) -> dict[tuple[int, int], np.ndarray]:
+    """Keys of the window at every one of ``places``, all by default: (window size, sample) to an array, for
+    each size its number of samples. Word 0 ends a text; a walk that gets there stays."""
     bits = mix(words ^ np.uint64(0x5851F42D4C957F2D + SEED))
     bits[words == 0] = 0
-    at = np.arange(len(words))
-    keys = {(size, k): np.full(len(words), size * 64 + k + 1, np.uint64) for size, samples in wanted for k in range(samples)}
+    at = np.arange(len(words)) if places is None else places
+    keys = {(size, k): np.full(len(at), size * 64 + k + 1, np.uint64) for size, samples in wanted for k in range(samples)}
     for step in range(int(max((size for size, _ in wanted), default=0) * STRETCH)):
         symbol = words[at]
         for (size, k), key in keys.items():
@@ -73,21 +80,39 @@ def _starts(words: int, size: int) -> np.ndarray:
     return np.arange(words - size // 2)
 
 
-def _recall(words: int, edits: int, size: int, samples: int, spread: bool) -> float:
-    """The share of items of random words that share a key with a copy without ``edits`` words, evenly
-    spread or at random places."""
+SIGNS = {"left out": -1, "replaced": 0, "put in": 1}  # by how much an edit changes the length
+
+
+def _edited(text: np.ndarray, at: np.ndarray, kind: str, rng) -> np.ndarray:
+    """Copies of the rows of ``text`` (each ends with 0), one after the other, with an edit at the places ``at``."""
+    marked = np.zeros(text.shape, bool)
+    np.put_along_axis(marked, at, True, 1)
+    if kind == "left out":
+        return text[~marked]
+    new = rng.integers(1, 1 << 62, marked.sum()).astype(np.uint64)
+    if kind == "replaced":
+        copy = text.copy()
+        copy[marked] = new
+        return copy.ravel()
+    return np.insert(text.ravel(), np.flatnonzero(marked), new)
+
+
+def _recall(words: int, edits: int, size: int, samples: int, spread: bool, kind: str) -> float:
+    """The share of items of random words that share a key with a copy after ``edits`` edits of a kind, evenly
+    spread or at random places, in a text that goes on behind it."""
     rng = np.random.default_rng(SEED)
     text = rng.integers(1, 1 << 62, (TRIALS, words + 1)).astype(np.uint64)
     text[:, -1] = 0
-    left = np.ones(text.shape, bool)
     if spread:
-        gaps = (np.arange(edits) + rng.random((TRIALS, 1))) * words / max(edits, 1)
-        np.put_along_axis(left, gaps.astype(np.int64), False, 1)
+        at = ((np.arange(edits) + rng.random((TRIALS, 1))) * words / max(edits, 1)).astype(np.int64)
     else:
-        np.put_along_axis(left, np.argsort(rng.random((TRIALS, words)), 1)[:, :edits], False, 1)
+        at = np.argsort(rng.random((TRIALS, words)), 1)[:, :edits]
+    rows = _edited(text, at, kind, rng).reshape(TRIALS, -1)
+    after = rng.integers(1, 1 << 62, (TRIALS, max(WINDOWS))).astype(np.uint64)
+    copies = np.concatenate([rows[:, :-1], after, rows[:, -1:]], axis=1).ravel()
     ours = cgk_keys(text.ravel(), ((size, samples),))
-    theirs = cgk_keys(text[left], ((size, samples),))
-    met, inside = np.zeros(TRIALS, bool), text[left] != 0
+    theirs = cgk_keys(copies, ((size, samples),))
+    met, inside = np.zeros(TRIALS, bool), copies != 0
     for name, key in ours.items():
         met |= np.isin(key.reshape(text.shape)[:, _starts(words, size)], theirs[name][inside]).any(1)
     return met.mean()
@@ -102,7 +127,11 @@ def choose(words: int, edits: int) -> tuple[int, int]:
     best = (-1.0, WINDOWS[0], SAMPLES)
     for size, samples in CHOICES:
         if 2 * size <= words or size == WINDOWS[0]:
-            recall = min(_recall(words, edits, size, samples, spread) for spread in (True, False))
+            recall = 1.0
+            for kind, spread in ((k, s) for s in (True, False) for k in SIGNS):
+                recall = min(recall, _recall(words, edits, size, samples, spread, kind))
+                if recall < TARGET:
+                    break
             if recall >= TARGET:
                 return size, samples
             best = max(best, (recall, size, samples))
@@ -154,6 +183,7 @@ class Index:
     item: np.ndarray
     place: np.ndarray
     seen: np.ndarray
+    runs: tuple[tuple[int, int, np.ndarray, np.ndarray], ...]  # words, how far a copy reaches, keys, seen
 
 
 def split_words(column: pa.Array) -> list[np.ndarray]:
@@ -166,6 +196,42 @@ def _allowed(words: int, similarity: float) -> int:
     return int((1 - similarity) * words + 1e-9)
 
 
+def _unedited(words: int, edits: int) -> int:
+    """Words of the longest run that so many edits leave as it is, up to ``LONGEST_RUN``."""
+    return min(LONGEST_RUN, max(1, -(-(words - edits) // (edits + 1))))
+
+
+def _seen(keys: np.ndarray) -> np.ndarray:
+    """A table over the last bits of the keys: which of them occur."""
+    table = np.zeros(1 << max(16, int(np.ceil(np.log2(len(keys) * 16 + 1)))), bool)
+    table[keys & np.uint64(len(table) - 1)] = True
+    return table
+
+
+def _kept_runs(words: list[np.ndarray], most: tuple[int, ...]) -> tuple:
+    """Per length of a run that must have stayed as it is: the runs of the items that it holds for."""
+    keys, reach = {}, {}
+    for own, edits in zip(words, most):
+        if len(own):
+            n = _unedited(len(own), edits)
+            keys.setdefault(n, []).append(run_keys(own, n)[: len(own) - n + 1])
+            reach[n] = max(reach.get(n, 0), len(own) + edits)
+    return tuple((n, reach[n], (found := np.unique(np.concatenate(keys[n]))), _seen(found)) for n in sorted(keys))
+
+
+def _reachable(index: Index, words: np.ndarray) -> np.ndarray:
+    """The places within reach of a run of an item that may have stayed as it is: no copy lies elsewhere."""
+    edge = np.zeros(len(words) + 1, np.int64)
+    for n, reach, keys, seen in index.runs:
+        made = run_keys(words, n)
+        maybe = np.flatnonzero(seen[made & np.uint64(len(seen) - 1)])
+        near = np.searchsorted(keys, made[maybe])
+        maybe = maybe[keys[np.minimum(near, len(keys) - 1)] == made[maybe]]
+        np.add.at(edge, np.maximum(maybe - reach, 0), 1)
+        np.add.at(edge, np.minimum(maybe + reach + 1, len(words)), -1)
+    return np.flatnonzero((np.cumsum(edge[:-1]) > 0) & (words != 0))
+
+
 def choices(items: tuple[tuple[int, str], ...], similarity: float) -> tuple[tuple[int, tuple[int, int]], ...]:
     """(words, (window size, samples)) for the lengths of the items that are met by windows."""
     lengths = {len(w) for w in split_words(pa.array([t for _, t in items], pa.string()))} if items else set()
@@ -208,23 +274,23 @@ def build_index(items: tuple[tuple[int, str], ...], similarity: float, chosen: t
     key, item, place = (np.concatenate(x) if x else empty for x in (keys, item, place))
     key = key.astype(np.uint64)
     order = np.lexsort((place, item, key))
-    seen = np.zeros(1 << max(16, int(np.ceil(np.log2(len(key) * 16 + 1)))), bool)
-    seen[key & np.uint64(len(seen) - 1)] = True
     return Index(
         ids, tuple(tuple(w.tolist()) for w in words), most, tuple(sorted(sizes.items())), tuple(sorted(short)),
-        key[order], item[order], place[order], seen,
+        key[order], item[order], place[order], _seen(key), _kept_runs(words, most),
     )
 
 
 def _hits(index: Index, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(place, item, place in the item) of all windows that share a key."""
     places, entries = [], []
-    made = list(cgk_keys(words, index.sizes).values()) + [run_keys(words, n) for n in index.short]
+    near = _reachable(index, words)
+    made = list(cgk_keys(words, index.sizes, near).values()) if len(near) else []
+    made += [run_keys(words, n)[near] for n in index.short] if len(near) else []
     for key in made:
-        maybe = np.flatnonzero(index.seen[key & np.uint64(len(index.seen) - 1)] & (words != 0))
+        maybe = np.flatnonzero(index.seen[key & np.uint64(len(index.seen) - 1)])
         low = np.searchsorted(index.key, key[maybe], "left")
         n = np.searchsorted(index.key, key[maybe], "right") - low
-        places.append(np.repeat(maybe, n))
+        places.append(np.repeat(near[maybe], n))
         entries.append(np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
     if not places:
         empty = np.zeros(0, np.int64)
@@ -319,10 +385,14 @@ def find_items(
     for part in range(parts):
         mine = source.filter(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part) if parts > 1 else source
         block = tuple(sorted((r["id"], r["text"]) for r in mine.collect()))
+        # One block at a time is in the driver's memory; a broadcast lies in a file until tasks fetch it.
+        shared = docs.sparkSession.sparkContext.broadcast((block, choices(block, similarity)))
+        del block
         name = fresh_name(result.columns, f"matches_{part}")
 
-        def compute(column, block=block, chosen=choices(block, similarity)):
-            return [pa.array(find_in_column(column, build_index(block, similarity, chosen)), _MATCHES)]
+        def compute(column, shared=shared):
+            held, chosen = shared.value
+            return [pa.array(find_in_column(column, build_index(held, similarity, chosen)), _MATCHES)]
 
         kept = [text, *[c for c in order if c not in (text, "matches")], *names] if part < parts - 1 else [
             *[c for c in order if c != "matches"], *names

@@ -4,7 +4,10 @@ Every run of ``K`` words of every text is hashed and joined with the template po
 the same hash. A hit votes for the diagonal text position minus template position: a passage that
 follows a template puts its hits on one diagonal, and a word put in or left out moves the rest to a
 neighbouring one. Votes are summed per diagonal, neighbouring diagonals merged, and a span counts
-when enough of the template's runs were met, word for word, within a span of about its length.
+when enough of the template's runs were met, word for word, within a span of about its length. Where
+neighbours chain on beyond that length, since the text goes on with words of the template, every
+diagonal of the chain is verified by itself and with those as near as the length allows, and the best of
+a neighbourhood counts.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 K = 2
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+_FINE = 1 << 30  # more than the square of any template's drift
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -78,7 +82,9 @@ def scan_licenses(
     ``spans`` holds (label, exact, start, end, share), ordered: where a template was met, as word
     numbers from 0, end exclusive, and the share of its runs found. An exact template needs all its
     runs on one diagonal. Others need ``least_share`` of them on diagonals that follow each other by
-    at most ``reach``, within a span of at most one and a half times the template plus ``reach``.
+    at most ``reach``, within a span of at most one and a half times the template plus ``reach``. Of a
+    longer chain, runs of diagonals that fit within that span count by themselves: the one that meets most
+    of the template (a single diagonal before several, the first before later ones) of all that begin as near.
     A null or empty text has no words and no spans. Rows alike in id and text are judged once and
     come back as often as they are given; a null id is an id of its own; an empty table stays empty.
     The templates are broadcast; their size is that of the list given.
@@ -120,27 +126,42 @@ def scan_licenses(
     grouped = diagonals.withColumn("apart", F.coalesce(apart | F.col("exact"), F.lit(True))).withColumn(
         "cluster", F.sum(F.col("apart").cast("int")).over(along)
     )
-    merged = grouped.groupBy(*text_key, "n", "template", "label", "exact", "of", "cluster").agg(
+    # The diagonals from each one on that fit into the longest span, wherever their hits lie in it.
+    length = F.col("of") + K - 1
+    drift = F.floor(length * 0.5).cast("int") + reach
+    scaled = F.col("diagonal").cast("long") * F.floor(F.lit(_FINE) / drift)  # so that one frame fits all templates
+    chain = Window.partitionBy(*text_key, "template", "cluster").orderBy(scaled)
+    onward = chain.rangeBetween(0, _FINE)
+    met_from = F.size(F.array_distinct(F.flatten(F.collect_list("met").over(onward))))
+    alone = F.size("met") >= met_from
+    windowed = grouped.withColumn("best", F.struct(
+        F.greatest(F.size("met"), met_from).alias("met"), alone.cast("int").alias("alone"), (-F.col("diagonal")).alias("first"),
+        F.when(alone, F.col("low")).otherwise(F.min("low").over(onward)).alias("start"),
+        (F.when(alone, F.col("high")).otherwise(F.max("high").over(onward)) + K).alias("end"),
+    ))
+    leads = F.col("best") == F.max("best").over(chain.rangeBetween(-_FINE, _FINE))
+    enough = F.col("best.met") / F.col("of") >= least_share
+
+    def span(met, start, end):
+        return F.struct(
+            "label", "exact", start.cast("long").alias("start"), end.cast("long").alias("end"), (met / F.col("of")).alias("share")
+        )
+
+    merged = windowed.withColumn("leads", leads).groupBy(*text_key, "n", "template", "label", "exact", "of", "cluster").agg(
         F.sum("rows").alias("rows"),
         F.min("low").alias("start"),
         (F.max("high") + K).alias("end"),
         F.size(F.array_distinct(F.flatten(F.collect_list("met")))).alias("met"),
+        F.collect_list(F.when(F.col("leads") & enough, span(F.col("best.met"), F.col("best.start"), F.col("best.end")))).alias("parts"),
     )
-    share = F.col("met") / F.col("of")
-    length = F.col("of") + K - 1
-    verified = F.when(F.col("exact"), F.col("met") == F.col("of")).otherwise(
-        (share >= least_share) & (F.col("end") - F.col("start") <= length * 1.5 + reach)
-    )
-    span = F.when(
-        verified,
-        F.struct(
-            "label", "exact", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"),
-            share.alias("share"),
-        ),
+    fits = F.col("end") - F.col("start") <= length * 1.5 + reach
+    whole = F.array(span(F.col("met"), F.col("start"), F.col("end")))
+    spans = F.when(F.col("exact"), F.when(F.col("met") == F.col("of"), whole)).otherwise(
+        F.when(fits, F.when(F.col("met") / F.col("of") >= least_share, whole)).otherwise(F.col("parts"))
     )
     per_text = merged.groupBy(*text_key, "n").agg(
         F.sum(F.when(F.col("template").isNull(), F.col("rows"))).alias("copies"),
-        F.array_sort(F.collect_list(span)).alias("spans"),
+        F.array_sort(F.flatten(F.collect_list(spans))).alias("spans"),
     )
     return per_text.select(
         F.col("id").alias(id_col), F.col("n").cast("long").alias("n_words"), "spans",

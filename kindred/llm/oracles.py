@@ -102,9 +102,26 @@ clustered AS (SELECT *, sum(apart) OVER (PARTITION BY row, t ORDER BY d) AS c FR
 merged AS (
   SELECT row, t, label, exact, n_runs, c, min(low) AS s, max(high) + 2 AS e, len(list_distinct(flatten(list(met)))) AS m
   FROM clustered GROUP BY ALL),
+-- Of a chain that is too long: what lies on one diagonal, and on all from it on that fit into the longest span.
+chained AS (
+  SELECT clustered.*, (n_runs + 1) // 2 + 2 AS drift FROM clustered JOIN merged USING (row, t, label, exact, n_runs, c)
+  WHERE NOT exact AND e - s > (n_runs + 1) * 1.5 + 2),
+several AS (
+  SELECT x.row, x.t, x.label, x.exact, x.n_runs, x.c, x.d, x.drift, len(x.met) AS own, x.low, x.high,
+    min(y.low) AS s, max(y.high) + 2 AS e, len(list_distinct(flatten(list(y.met)))) AS m
+  FROM chained x JOIN chained y ON x.row = y.row AND x.t = y.t AND x.c = y.c AND y.d BETWEEN x.d AND x.d + x.drift
+  GROUP BY ALL),
+tried AS (
+  SELECT row, t, label, exact, n_runs, c, d, drift, m, CASE WHEN own = m THEN 1 ELSE 0 END AS alone,
+    CASE WHEN own = m THEN low ELSE s END AS s, CASE WHEN own = m THEN high + 2 ELSE e END AS e FROM several),
+chosen AS (
+  SELECT * FROM tried x WHERE NOT EXISTS (
+    SELECT 1 FROM tried y WHERE x.row = y.row AND x.t = y.t AND x.c = y.c AND abs(x.d - y.d) <= x.drift
+      AND (y.m > x.m OR (y.m = x.m AND (y.alone > x.alone OR (y.alone = x.alone AND y.d < x.d)))))),
 spans AS (
-  SELECT *, m / n_runs AS share FROM merged
-  WHERE CASE WHEN exact THEN m = n_runs ELSE m / n_runs >= 0.75 AND e - s <= (n_runs + 1) * 1.5 + 2 END)
+  SELECT row, label, exact, s, e, m / n_runs AS share FROM merged
+  WHERE CASE WHEN exact THEN m = n_runs ELSE m / n_runs >= 0.75 AND e - s <= (n_runs + 1) * 1.5 + 2 END
+  UNION ALL SELECT row, label, exact, s, e, m / n_runs FROM chosen WHERE m / n_runs >= 0.75)
 SELECT doc_id, len(ws)::BIGINT AS n_words, count(*) FILTER (exact) AS n_base,
   min(s) FILTER (exact)::BIGINT AS first_word, max(s) FILTER (exact)::BIGINT AS last_word,
   coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact), '') AS base_labels,

@@ -22,6 +22,7 @@ from kindred.llm.buffers import CHAR_START, add_columns, blocks
 
 BREAK = 0xFF  # stands between texts; no UTF-8 text holds it and no rule may match it
 SEGMENT = 512
+ROUNDS = 3  # in which all misled segments are run again together
 
 
 @dataclass(frozen=True)
@@ -268,7 +269,9 @@ def run_states(automaton: Automaton, data: np.ndarray) -> np.ndarray:
     """The state after every byte of ``data``, as one run from the start would give it.
 
     All segments of the buffer advance together, each from the start state; then segments whose
-    neighbour ended elsewhere are run again from there, until both runs meet.
+    neighbour ended elsewhere are run again from there, until both runs meet. Most meet within a segment.
+    Where whole segments never do (long runs of token characters), the few are walked through in
+    sequence, each byte once.
     """
     n = len(data)
     segments = -(-n // SEGMENT)
@@ -282,14 +285,12 @@ def run_states(automaton: Automaton, data: np.ndarray) -> np.ndarray:
         now = table[now * width + steps[j]]
         states[j] = now
     begun = np.zeros(segments, np.int64)
-    while True:
-        due = np.zeros(segments, np.int64)
-        due[1:] = states[-1, :-1]
-        wrong = np.flatnonzero(due != begun)
+    for _ in range(ROUNDS):
+        wrong = _misled(states, begun)
         if not len(wrong):
-            return states.T.ravel()[:n]
-        begun[wrong] = due[wrong]
-        now = due[wrong]
+            break
+        begun[wrong] = states[-1, wrong - 1]
+        now = begun[wrong]
         for j in range(SEGMENT):
             now = table[now * width + steps[j, wrong]]
             differ = now != states[j, wrong]
@@ -297,6 +298,26 @@ def run_states(automaton: Automaton, data: np.ndarray) -> np.ndarray:
                 break
             wrong, now = wrong[differ], now[differ]
             states[j, wrong] = now
+    listed = None
+    for first in _misled(states, begun).tolist():
+        segment = first
+        while segment < segments and states[-1, segment - 1] != begun[segment]:
+            listed = listed or table.tolist()
+            begun[segment] = state = int(states[-1, segment - 1])
+            was, mine, row = states[:, segment].tolist(), steps[:, segment].tolist(), []
+            for byte, old in zip(mine, was):
+                state = listed[state * width + byte]
+                if state == old:
+                    break
+                row.append(state)
+            states[: len(row), segment] = row
+            segment += 1
+    return states.T.ravel()[:n]
+
+
+def _misled(states: np.ndarray, begun: np.ndarray) -> np.ndarray:
+    """Segments that began in another state than that in which the one before them ended."""
+    return 1 + np.flatnonzero(states[-1, :-1] != begun[1:])
 
 
 def longest_end(automaton: Automaton, data: bytes, start: int) -> int:

@@ -67,6 +67,8 @@ class Automaton:
             links, counts = np.array([fail[n] for n in level]), np.array([taken[n] for n in level])
             self.table[now] = self.table[links] + counts[:, None]
             left[now] = counts + left[links]
+            if left[now].max() >= _LOW:  # no step takes more pieces off than a node stands for, and one
+                raise ValueError("the pieces of a prefix are too many for the transition array")
             below = []
             for node in level:
                 for byte, child in children[node].items():

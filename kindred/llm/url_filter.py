@@ -61,6 +61,9 @@ def _glob(text: str) -> list[str | None]:
     return [None if c == "*" else "" if c == "?" else c for c in whole]
 
 
+FEW_TEXTS = 16  # from so many on, texts are run together
+
+
 class ShiftAnd:
     def __init__(self, globs: list[list[str | None]]):
         symbols = sorted({s for g in globs for s in g if s})
@@ -103,6 +106,10 @@ class ShiftAnd:
         state = np.tile(self.begin, (len(texts), 1))
         for j in range(int(sizes[0]) if len(sizes) else 0):
             n = int(np.searchsorted(-sizes, -j, "left"))
+            if n <= FEW_TEXTS:
+                for k in range(n):
+                    state[k] = self._go_on(state[k], symbols[begins[k] + j : begins[k] + sizes[k]])
+                break
             old = state[:n]
             moved = old << np.uint64(1)
             moved[:, 1:] |= old[:, :-1] >> np.uint64(63)
@@ -113,6 +120,17 @@ class ShiftAnd:
         return found
 
 
+    def _go_on(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The state after the symbols, with all words in one integer: for the few longest texts."""
+        whole = lambda words: int.from_bytes(words.astype("<u8").tobytes(), "little")
+        allowed, stay, now = [whole(a) for a in self.allowed], whole(self.stay), whole(state)
+        for symbol in symbols.tolist():
+            now = now << 1 & allowed[symbol] | now & stay
+            if not now:
+                break
+        return np.frombuffer(now.to_bytes(8 * len(state), "little"), "<u8").astype(np.uint64)
+
+
 @lru_cache(maxsize=4)
 def _compiled(rules: tuple[Rule, ...], globs: tuple[str, ...]) -> ShiftAnd:
     return ShiftAnd([_host_rule(r) for r in rules] + [_glob(g) for g in globs])
@@ -131,7 +149,8 @@ def judge_urls(
     The longest rule that fits (the first of equals) decides. Without one, a URL that fits a glob of
     ``blocked`` (over ``host/path``, case as in the canonical URL) is blocked, and ``glob`` names the
     first such glob; all others get ``default``. A null URL, or one without ``://``, has an empty host
-    and path. Rows are judged one by one; columns with the new names are replaced.
+    and path. Rows are judged one by one, so repeated ones repeat and an empty table stays empty; the time
+    for a long URL grows with its length. Columns with the new names are replaced.
     """
     names = tuple(r.name for r in rules)
     order = sorted(range(len(rules)), key=lambda k: (-len(names[k]), k))

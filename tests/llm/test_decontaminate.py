@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from plain import distance, item_words as words
@@ -94,15 +95,54 @@ def test_exact_passages_of_the_table_are_all_found(spark, benchmark):
 
 
 @pytest.mark.parametrize("n", [9, 10, 15, 16, 17, 19, 20, 24, 31, 32, 36, 40, 48, 63, 64, 100, 150])
-def test_recall_at_each_length_with_evenly_spread_deletions(n):
+@pytest.mark.parametrize("kind", ["left out", "replaced", "put in", "mixed"])
+def test_recall_at_each_length_with_evenly_spread_edits(n, kind):
     draw = random.Random(n)
     edits = int(0.2 * n + 1e-9)
     items = tuple((i, " ".join(f"w{draw.randrange(10**9)}" for _ in range(n))) for i in range(300))
     texts = []
     for _, text in items:
         parts, shift = text.split(), draw.random()
-        gone = {int((k + shift) * n / edits) for k in range(edits)}
-        assert len(gone) == edits
-        texts.append(" ".join(p for k, p in enumerate(parts) if k not in gone))
+        places = {int((k + shift) * n / edits) for k in range(edits)}
+        assert len(places) == edits
+        copy = [f"y{draw.randrange(10**9)}" for _ in range(7)]
+        for k, part in enumerate(parts):
+            edit = (draw.choice(["left out", "replaced", "put in"]) if kind == "mixed" else kind) if k in places else None
+            copy += {None: [part], "left out": [], "replaced": ["x"], "put in": [f"z{draw.randrange(10**9)}", part]}[edit]
+        texts.append(" ".join(copy + ["end"] * 5))
     found = find_in_column(pa.array(texts), build_index(items, 0.8))
     assert sum(i in {m["item_id"] for m in matches} for (i, _), matches in zip(items, found, strict=True)) >= 0.95 * len(items)
+
+
+def test_no_copy_lies_out_of_reach():
+    """Places that are passed over hold no run within the allowed distance: checked at every place by the table
+    of distances, on few words so that many runs come near."""
+    from kindred.llm.decontaminate import _reachable, split_words
+
+    draw = random.Random(4)
+    for similarity in (0.5, 0.8, 1.0):
+        pool = [f"w{i}" for i in range(30)]
+        items = tuple((i, " ".join(draw.choice(pool) for _ in range(draw.randint(1, 25)))) for i in range(12))
+        index = build_index(items, similarity)
+        for _ in range(12):
+            parts = [draw.choice(pool) for _ in range(40)]
+            _, source = draw.choice(items)
+            copy = [w for w in source.split() if draw.random() > 0.15]
+            parts[20:20] = copy
+            own = np.append(split_words(pa.array([" ".join(parts)]))[0], np.uint64(0))
+            near = set(_reachable(index, own).tolist())
+            for item, most in zip(index.words, index.most):
+                for low in range(len(parts)):
+                    for high in range(low + 1, min(len(parts), low + len(item) + most) + 1):
+                        if abs(high - low - len(item)) <= most and whole_distance(list(item), own[low:high].tolist()) <= most:
+                            assert set(range(low, high)) <= near
+
+
+def whole_distance(a, b):
+    before = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        now = [i]
+        for j, y in enumerate(b, 1):
+            now.append(min(before[j] + 1, now[-1] + 1, before[j - 1] + (x != y)))
+        before = now
+    return before[-1]

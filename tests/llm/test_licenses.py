@@ -61,6 +61,37 @@ def test_two_copies_are_two_spans(spark):
     assert [s[1] for s in spans(spark, f"{notice}. {notice}!")] == [0, 7]
 
 
+def test_notices_before_and_after_their_own_words(spark):
+    notice = "licensed under cc by nc 4 0"
+    for tail in (" 4 0", " 4 0 4 0 4 0 4 0", " 4 0" * 500):
+        (one,) = spans(spark, f"a b {notice}{tail}")
+        assert one[0] == "cc-by-nc" and one[1] == 2 and one[3] == 1.0
+    assert ("cc-by-nc", 8, 15, 1.0) in spans(spark, f"4 0 4 0 4 0 4 0 {notice}")
+    both = spans(spark, f"{notice} 4 0 4 0 4 0 4 0 4 0 4 0 {notice} 4 0 4 0 4 0")
+    assert ("cc-by-nc", 0, 7, 1.0) in both and ("cc-by-nc", 19, 26, 1.0) in both
+    edited = spans(spark, "licensed under cc by and nc 4 0" + " 4 0" * 9)
+    assert [s[0] for s in edited] == ["cc-by-nc"] and edited[0][1] == 0 and 0.75 <= edited[0][3] < 1
+    assert spans(spark, "4 0 " * 300) == [] and spans(spark, "by nc 4 0 " * 300) == []
+
+
+def test_sql_agrees_on_chains(spark, tmp_path):
+    import duckdb
+
+    from kindred.llm.oracles import ORACLES
+
+    draw = random.Random(8)
+    pool = [t.words for t in NOTICES] + ["4 0", "4 0 4 0", "cc by", "under the terms of", "the", "of the", "license", "x"]
+    pool += ["licensed under cc", "by nc 4 0", "public license"]
+    rows = [(i, " ".join(draw.choice(pool) for _ in range(draw.randint(1, 14)))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op4_license_scan(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    found = con.execute(f"SELECT {', '.join(got.columns)} FROM ({ORACLES['op4_license_scan']}) ORDER BY doc_id").fetchall()
+    assert [tuple(r) for r in got.orderBy("doc_id").collect()] == found
+
+
 def test_scan_has_no_python_and_one_exchange(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id int, text string")
     plan = scan_licenses(docs)._jdf.queryExecution().executedPlan().toString()

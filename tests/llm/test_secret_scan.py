@@ -78,3 +78,16 @@ def test_redaction(spark):
 def test_least_length_counts_the_body_only():
     rule = (Rule("x", "key=", "[a-z]", 3),)
     assert scanner(rule).scan(pa.array(["key=ab key=abc"])) == [[(7, 0, 14)]]
+
+
+def test_long_token_runs_take_linear_time():
+    import base64
+    import time
+
+    draw = random.Random(5)
+    run = base64.b64encode(draw.randbytes(3_000_000)).decode()
+    text = f"a. {run} token={run[:200_000]}. " + "AKIA" + "A" * 300_000 + " " + "deadbeef" * 50_000
+    start = time.perf_counter()
+    (found,) = scanner(BASE_RULES).scan(pa.array([text]))
+    assert time.perf_counter() - start < 30
+    assert [(s, k, e) for s, k, e in found] == base_spans(text)

@@ -36,3 +36,19 @@ def test_failure_links_on_overlapping_pieces():
             data = np.frombuffer(word, np.uint8)
             got = ready.lengths(data, np.array([0]), np.array([len(word)]))
             assert got.tolist() == [greedy(word.decode(), pieces, b"")]
+
+
+def test_long_pieces_are_right_or_refused():
+    import numpy as np
+    import pytest
+
+    def count(pieces, word):
+        data = np.frombuffer(word, np.uint8)
+        return automaton(tuple(sorted(pieces)), b"").lengths(data, np.array([0]), np.array([len(word)])).tolist()
+
+    for pieces in ([b"a" * 300 + b"z", b"b" * 100 + b"a" * 200 + b"y"], [b"a" * 401]):
+        with pytest.raises(ValueError):
+            automaton(tuple(pieces), b"")
+    for n in (100, 200, 250):
+        for word in (b"a" * (n - 1), b"a" * n, b"a" * (3 * n + 5), b"a" * (n - 1) + b"b"):
+            assert count([b"a" * n], word) == [greedy(word.decode(), {b"a" * n}, b"")]

@@ -67,3 +67,20 @@ def test_no_globs_and_first_of_equals(spark):
     pages = spark.createDataFrame([("http://a.b/c",)], "url string")
     row = judge_urls(pages, (), (), default="block").first()
     assert (row["rule"], row["glob"], row["verdict"]) == (None, None, "block")
+
+
+def test_long_urls_take_linear_time():
+    import re
+    import time
+
+    from kindred.llm.url_filter import SEPARATOR
+
+    globs = ("*/wp-admin*", "*/*login*", "ads.*/*", "*/*.xml", "*a?b*" * 20)
+    ready = ShiftAnd([_glob(g) for g in globs])
+    texts = [".x" + SEPARATOR + "y" * 400_000 + t for t in ("login", ".xml", "axb" * 30, "")] + [".ads.z" + SEPARATOR]
+    start = time.perf_counter()
+    found = ready.matches(texts)
+    assert time.perf_counter() - start < 15
+    short = [t.replace("y" * 400_000, "y" * 40) for t in texts]
+    many = ready.matches(short * 8)
+    assert (many[: len(short)] == found).all()
