@@ -1,14 +1,17 @@
 """Masked pseudo-likelihood: a small network predicts every word from the words on both sides.
 
-The words of the whole corpus are counted; the most frequent, the more the more words there are, are
-tokens of their own, the others share buckets. The most frequent tokens are classes by themselves, the
-others are put into classes of about equal weight by frequency. The network reads the ``REACH`` tokens
-on either side of a masked one, the nearest ones each by itself and the others as a mean. From what it
-reads it gives the probabilities of the classes, and from the same hidden values those of the tokens
-within a class (a softmax on two levels, the second one starting from the counts). A word in a bucket has the bucket's probability times its own share
-of the bucket, for which texts are joined with the distributed counts; all unseen words of a bucket
-together have the share of one more word that was never met. The logarithms of these conditional
-probabilities, summed over a text, are its score.
+The words of the whole corpus are counted. The most frequent are tokens of their own, a fixed number; the
+others are told by two parts of them, their first and their last letters, each hashed to one of 64 values: a
+word shares a token with those that begin alike, and how it ends is predicted next. The network so has the
+same size for every corpus; the counts grow with it and stay distributed.
+
+The most frequent tokens are classes by themselves, the others are put into classes of about equal weight by
+frequency. The network reads the ``REACH`` tokens on either side of a masked one, the nearest ones each by
+itself and the others as a mean. What it reads gives the probabilities of the classes, and from the same hidden
+values those of the tokens within a class and of the endings of a shared token (softmaxes that start from the
+counts). Among the words that begin and end alike, a word has its own share of the counts, for which texts are
+joined with the distributed table; all unseen ones together have the share of one more word that was
+never met. The logarithms of these conditional probabilities, summed over a text, are its score.
 
 Training runs where the data is: every task takes a copy of the network through its documents, and
 the copies are averaged. A round trains on one part of the documents, so each is read once.
@@ -29,13 +32,16 @@ from kindred.session import checkpoint
 
 REACH = 3
 WIDTH, HIDDEN = 16, 32
-HEAD = 128  # tokens that are classes by themselves
-VOCABULARY, BUCKETS = 8192, 64
-GROWTH = 256  # one distinct word in so many is a token of its own, ``VOCABULARY`` at least
+HEAD, TAIL = 32, 64  # classes: of single tokens, and of several
+TOKENS = 8192  # words that are tokens of their own
+BUCKETS = 64  # values of how a word begins, and of how it ends
+LETTERS = 3  # bytes that count as its beginning, and as its end
 SMOOTH = 0.5  # added to the count of every word in a bucket, and the count of the unseen ones
-BATCH, MASKED = 1024, 4  # examples per step; one word in so many is masked in training
-RATE = 0.1
+BATCH = 2048  # examples per step
+MASKED = 4  # one word in so many is a target in training
+RATE = 0.15
 FIXED = 1 << 24  # weights are added up as integers, so that the order of adding does not matter
+_SCORED = 2048, 16_384  # words whose classes are predicted together, and whose places in their classes are
 
 
 @dataclass(frozen=True)
@@ -47,7 +53,8 @@ class Vocabulary:
     order: np.ndarray  # tokens class by class
     cuts: np.ndarray  # where each class begins in ``order``, and the end
     log_class: np.ndarray  # log of a class's share of all words
-    log_weight: np.ndarray  # log of a bucket's smoothed counts, added up
+    log_weight: np.ndarray  # (beginning, end): log of the smoothed counts of such words, added up
+    log_end: np.ndarray  # (beginning, end): log of the share of an end among words with a beginning, float32
 
     @property
     def pad(self) -> int:
@@ -58,26 +65,34 @@ class Vocabulary:
         """Where each token is in ``order``."""
         return np.argsort(self.order)
 
-    def tokens(self, words: np.ndarray) -> np.ndarray:
-        other = len(self.known) + (words % np.uint64(self.pad - len(self.known))).astype(np.int64)
+    def tokens(self, words: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """Of words by their hashes and cells (``cells_of``)."""
+        other = len(self.known) + cells // BUCKETS
         if not len(self.known):
             return other
         at = np.minimum(np.searchsorted(self.known, words), len(self.known) - 1)
         return np.where(self.known[at] == words, self.number[at], other)
 
 
-@dataclass(frozen=True)
+@dataclass
 class Network:
     embed: np.ndarray
     into: np.ndarray
     into_bias: np.ndarray
     out: np.ndarray
     out_bias: np.ndarray
-    narrow: np.ndarray  # hidden values to what the tokens within a class are told by
+    narrow: np.ndarray  # hidden values to what the tokens within a class, and the ends, are told by
+    ends: np.ndarray  # a row per end
     within: np.ndarray  # a row per token, class by class
 
     def parts(self) -> list[np.ndarray]:
-        return [self.embed, self.into, self.into_bias, self.out, self.out_bias, self.narrow, self.within]
+        return [self.embed, self.into, self.into_bias, self.out, self.out_bias, self.narrow, self.ends, self.within]
+
+    @cached_property
+    def read(self) -> list[np.ndarray]:
+        """What each token adds to the hidden values: next to the masked one and farther off, left and right."""
+        parts = self.embed @ self.into.reshape(4, WIDTH, HIDDEN)
+        return [part / (REACH - 1) if k % 2 else part for k, part in enumerate(parts)]
 
 
 def new_network(vocabulary: Vocabulary, seed: int) -> Network:
@@ -87,53 +102,68 @@ def new_network(vocabulary: Vocabulary, seed: int) -> Network:
     embed[-1] = 0  # beyond the ends of a text
     return Network(*(x.astype(np.float32) for x in (
         embed, rng.normal(0, 0.1, (4 * WIDTH, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 0.1, (HIDDEN, len(vocabulary.log_class))),
-        vocabulary.log_class, rng.normal(0, 0.3, (HIDDEN, WIDTH)), np.zeros((vocabulary.pad, WIDTH)),
+        vocabulary.log_class, rng.normal(0, 0.3, (HIDDEN, WIDTH)), np.zeros((BUCKETS, WIDTH)),
+        np.zeros((vocabulary.pad, WIDTH)),
     )))
 
 
+def cells_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How words begin and end, as beginning * ``BUCKETS`` + end: hashes of their first and last bytes."""
+    part = lambda a, b: (hashes(data, a, b) % np.uint64(BUCKETS)).astype(np.int64)
+    return part(starts, np.minimum(starts + LETTERS, ends)) * BUCKETS + part(np.maximum(ends - LETTERS, starts), ends)
+
+
 def count_words(docs: DataFrame, text: str) -> DataFrame:
-    """(``word``, ``n``): the hash and number of every word of the corpus, added up within tasks first."""
+    """(``word``, ``cell``, ``n``): the hash, the cell and the number of every word of the corpus, added up within
+    tasks first."""
     def counts(batches):
         for batch in batches:
             for _, _, data, offsets in blocks(batch.column(0)):
-                found, n = np.unique(hashes(data, *spans(data, offsets, NOT_SPACE)), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["word", "n"])
+                starts, ends = spans(data, offsets, NOT_SPACE)
+                found, first, n = np.unique(hashes(data, starts, ends), return_index=True, return_counts=True)
+                order = np.argsort(first)  # spans are hashed in the order of the bytes
+                cells = np.empty(len(first), np.int64)
+                cells[order] = cells_of(data, starts[first[order]], ends[first[order]])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.view(np.int64)), pa.array(cells), pa.array(n)], names=["word", "cell", "n"]
+                )
 
     texts = docs.select(docs[f"`{text}`"].cast("string").alias("text"))
-    return texts.mapInArrow(counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def learn_vocabulary(counts: DataFrame, size: int | None = None) -> Vocabulary:
-    """From (``word``, ``n``); words of equal count go by their hash. ``size`` words are tokens of their
-    own; where it is None, their number grows with that of the distinct words. Classes beyond the
-    ``HEAD`` most frequent tokens, about as many as the root of the tokens, are cut by the running sum
-    of the square roots of the counts, from the most frequent token on."""
-    bucket = F.pmod("word", F.lit(BUCKETS)).cast("int")  # BUCKETS divides 2^64: as for the unsigned hash
-    totals, distinct = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for r in counts.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
-        totals[r["bucket"]], distinct[r["bucket"]] = r["n"], r["words"]
-    if size is None:
-        size = max(VOCABULARY, int(distinct.sum()) // GROWTH)
+    found = texts.mapInArrow(counts, "word long, cell long, n long")
+    return found.groupBy("word").agg(F.min("cell").alias("cell"), F.sum("n").alias("n"))
+
+
+def learn_vocabulary(counts: DataFrame, size: int = TOKENS) -> Vocabulary:
+    """From (``word``, ``cell``, ``n``); words of equal count go by their hash. ``size`` words are tokens of their
+    own, whatever the number of words: that bounds what reaches the driver and the tasks. Classes beyond the
+    ``HEAD`` most frequent tokens are cut by the running sum of the square roots of the counts."""
+    totals, distinct = np.zeros(BUCKETS**2), np.zeros(BUCKETS**2)
+    for r in counts.groupBy("cell").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
+        totals[r["cell"]], distinct[r["cell"]] = r["n"], r["words"]
     rows = counts.orderBy(F.desc("n"), "word").limit(size).collect()
     known = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
     own = np.array([r["n"] for r in rows], float)
-    home = (known % np.uint64(BUCKETS)).astype(int)
+    home = np.array([r["cell"] for r in rows], np.int64)
     np.subtract.at(totals, home, own)
     np.subtract.at(distinct, home, 1)
-    log_weight = np.log(totals + SMOOTH * (distinct + 1))
-    n = np.concatenate([own, np.maximum(totals, 0)]) + 0.5
+    totals = np.maximum(totals, 0).reshape(BUCKETS, BUCKETS)
+    weight = totals + SMOOTH * (distinct.reshape(BUCKETS, BUCKETS) + 1)
+    log_end = np.log(weight) - np.log(weight.sum(1, keepdims=True))
+    n = np.concatenate([own, totals.sum(1)]) + 0.5
     order = np.argsort(-n, kind="stable")
-    tail = WIDTH * max(1, round(np.sqrt(len(n)) / WIDTH))
     roots = np.sqrt(n[order[HEAD:]])
     group = np.empty(len(n), np.int64)
     group[order[:HEAD]] = np.arange(min(HEAD, len(n)))
-    group[order[HEAD:]] = HEAD + np.minimum((np.cumsum(roots) / max(roots.sum(), 1) * tail).astype(np.int64), tail - 1)
-    weights = np.bincount(group, n, HEAD + tail)
+    group[order[HEAD:]] = HEAD + np.minimum((np.cumsum(roots) / max(roots.sum(), 1) * TAIL).astype(np.int64), TAIL - 1)
+    weights = np.bincount(group, n, HEAD + TAIL)
     log_share = np.log(n) - np.log(weights[group])
     log_class = np.log(np.maximum(weights / weights.sum(), 1e-13))  # a class without tokens gets next to nothing
-    cuts = np.append(0, np.cumsum(np.bincount(group, minlength=HEAD + tail)))
+    cuts = np.append(0, np.cumsum(np.bincount(group, minlength=HEAD + TAIL)))
     by_hash = np.argsort(known)
-    return Vocabulary(known[by_hash], by_hash, group, log_share.astype(np.float32), order, cuts, log_class, log_weight)
+    return Vocabulary(
+        known[by_hash], by_hash, group, log_share.astype(np.float32), order, cuts, log_class, np.log(weight),
+        log_end.astype(np.float32),
+    )
 
 
 def _contexts(embed: np.ndarray, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -144,11 +174,12 @@ def _contexts(embed: np.ndarray, tokens: np.ndarray, at: np.ndarray) -> np.ndarr
     ], axis=1)
 
 
-def _forward(net: Network, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    hidden = np.tanh(x @ net.into + net.into_bias)
-    logits = hidden @ net.out + net.out_bias
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    """Probabilities, in place of the logits."""
     logits -= logits.max(1, keepdims=True)
-    return hidden, logits - np.log(np.exp(logits).sum(1, keepdims=True))
+    np.exp(logits, out=logits)
+    logits /= logits.sum(1, keepdims=True)
+    return logits
 
 
 def _by_class(vocabulary: Vocabulary, own: np.ndarray):
@@ -163,35 +194,70 @@ def _by_class(vocabulary: Vocabulary, own: np.ndarray):
         yield int(low), int(high), rows, place[rows] - low
 
 
-def _within(net: Network, vocabulary: Vocabulary, narrow: np.ndarray, low: int, high: int) -> np.ndarray:
-    """Logarithms of the probabilities of a class's tokens, a row per example."""
-    logits = narrow @ net.within[low:high].T + vocabulary.log_share[vocabulary.order[low:high]]
+def _told(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the wanted columns; ``logits`` are used up."""
     logits -= logits.max(1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(1, keepdims=True))
-
-
-def _log_p(net: Network, vocabulary: Vocabulary, tokens: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Log-probabilities of the tokens at the places, given those on both sides."""
-    own = tokens[places]
-    hidden, log_p = _forward(net, _contexts(net.embed, tokens, places))
-    out = log_p[np.arange(len(places)), vocabulary.group[own]]
-    narrow = hidden @ net.narrow
+    out = logits[np.arange(len(logits)), wanted]
+    return out - np.log(np.exp(logits, out=logits).sum(1))
+
+
+def _log_p(net: Network, vocabulary: Vocabulary, tokens: np.ndarray, ends: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the tokens at the places, and of the ends of those that are shared, given the tokens
+    on both sides. ``ends`` are the ends of the words at the places."""
+    own, read = tokens[places], net.read
+    out = np.empty(len(places), np.float32)
+    narrow = np.empty((len(places), WIDTH), np.float32)
+    for low in range(0, len(places), _SCORED[0]):
+        at = places[low : low + _SCORED[0]]
+        hidden = read[0][tokens[at - 1]] + read[2][tokens[at + 1]] + net.into_bias
+        for d in range(2, REACH + 1):
+            hidden += read[1][tokens[at - d]]
+            hidden += read[3][tokens[at + d]]
+        np.tanh(hidden, out=hidden)
+        logits = hidden @ net.out
+        logits += net.out_bias
+        out[low : low + len(at)] = _told(logits, vocabulary.group[own[low : low + len(at)]])
+        narrow[low : low + len(at)] = hidden @ net.narrow
     for low, high, rows, inside in _by_class(vocabulary, own):
-        out[rows] += _within(net, vocabulary, narrow[rows], low, high)[np.arange(len(rows)), inside]
+        logits = narrow[rows] @ net.within[low:high].T
+        logits += vocabulary.log_share[vocabulary.order[low:high]]
+        out[rows] += _told(logits, inside)
+    rows = np.flatnonzero(own >= len(vocabulary.known))
+    for low in range(0, len(rows), _SCORED[0]):
+        some = rows[low : low + _SCORED[0]]
+        logits = narrow[some] @ net.ends.T
+        logits += vocabulary.log_end[own[some] - len(vocabulary.known)]
+        out[some] += _told(logits, ends[some])
     return out
 
 
-def _laid_out(data, offsets, vocabulary: Vocabulary):
-    """Tokens of a block with ``REACH`` pads around every text, the places of words, words per text, and
-    the words' hashes."""
+@dataclass(frozen=True)
+class _Laid:
+    """A block's tokens with ``REACH`` pads around every text; of its words the places, hashes and cells; the first
+    word of each text, and their number."""
+
+    tokens: np.ndarray
+    at: np.ndarray
+    words: np.ndarray
+    cells: np.ndarray
+    first: np.ndarray
+
+
+def _laid_out(data, offsets, vocabulary: Vocabulary) -> _Laid:
     starts, ends = spans(data, offsets, NOT_SPACE)
     first = per_row(starts, offsets)
     texts = len(offsets) - 1
     at = np.arange(len(starts)) + REACH * (np.repeat(np.arange(texts), np.diff(first)) + 1)
     tokens = np.full(len(starts) + REACH * (texts + 1), vocabulary.pad, np.int64)
-    words = hashes(data, starts, ends)
-    tokens[at] = vocabulary.tokens(words)
-    return tokens, at, first, words
+    words, cells = hashes(data, starts, ends), cells_of(data, starts, ends)
+    tokens[at] = vocabulary.tokens(words, cells)
+    return _Laid(tokens, at, words, cells, first)
+
+
+def _targets(laid: _Laid, masked: int) -> np.ndarray:
+    """One word in ``masked``, by the word and its number in its text: the same however texts come in blocks."""
+    number = np.arange(len(laid.at)) - np.repeat(laid.first[:-1], np.diff(laid.first))
+    return np.flatnonzero(mix(laid.words + number.astype(np.uint64)) % np.uint64(masked) == 0)
 
 
 class Trainer:
@@ -204,24 +270,35 @@ class Trainer:
         self.touched = np.zeros(len(net.embed), bool)
         self.told = np.zeros(len(net.within), bool)
 
-    def learn(self, tokens: np.ndarray, at: np.ndarray) -> None:
+    def learn(self, tokens: np.ndarray, ends: np.ndarray, at: np.ndarray) -> None:
+        """``at`` are the places to predict, ``ends`` the ends of the words there."""
         net, vocabulary = self.net, self.vocabulary
         for low in range(0, len(at), BATCH):
             places = at[low : low + BATCH]
+            own, share = tokens[places], np.float32(1 / len(places))
             x = _contexts(net.embed, tokens, places)
-            hidden, log_p = _forward(net, x)
-            error = np.exp(log_p)
-            error[np.arange(len(places)), vocabulary.group[tokens[places]]] -= 1
-            error /= len(places)
+            hidden = np.tanh(x @ net.into + net.into_bias)
+            error = _softmax(hidden @ net.out + net.out_bias)
+            error[np.arange(len(places)), vocabulary.group[own]] -= 1
+            error *= share
             narrow = hidden @ net.narrow
             into_narrow = np.zeros_like(narrow)
-            for first, last, rows, inside in _by_class(vocabulary, tokens[places]):
-                wrong = np.exp(_within(net, vocabulary, narrow[rows], first, last))
+            for first, last, rows, inside in _by_class(vocabulary, own):
+                its = narrow[rows]
+                wrong = _softmax(its @ net.within[first:last].T + vocabulary.log_share[vocabulary.order[first:last]])
                 wrong[np.arange(len(rows)), inside] -= 1
-                wrong /= len(places)
+                wrong *= share
                 into_narrow[rows] = wrong @ net.within[first:last]
-                self._step(6, wrong.T @ narrow[rows], slice(first, last))
+                self._step(7, wrong.T @ its, slice(first, last))
                 self.told[first:last] = True
+            shared = np.flatnonzero(own >= len(vocabulary.known))
+            if len(shared):
+                its = narrow[shared]
+                wrong = _softmax(its @ net.ends.T + vocabulary.log_end[own[shared] - len(vocabulary.known)])
+                wrong[np.arange(len(shared)), ends[low + shared]] -= 1
+                wrong *= share
+                into_narrow[shared] += wrong @ net.ends
+                self._step(6, wrong.T @ its)
             back = (error @ net.out.T + into_narrow @ net.narrow.T) * (1 - hidden**2)
             self._step(5, hidden.T @ into_narrow)
             into_x = back @ net.into.T
@@ -229,21 +306,27 @@ class Trainer:
             self._step(4, error.sum(0))
             self._step(1, x.T @ back)
             self._step(2, back.sum(0))
-            index, parts = [], []
-            for side, sign in ((0, -1), (2, 1)):
-                near, far = (into_x[:, (side + k) * WIDTH : (side + k + 1) * WIDTH] for k in (0, 1))
-                index.append(tokens[places + sign])
-                parts.append(near)
-                for d in range(2, REACH + 1):
-                    index.append(tokens[places + sign * d])
-                    parts.append(far / (REACH - 1))
-            rows, inverse = np.unique(np.concatenate(index), return_inverse=True)
-            sums = np.zeros((len(rows), WIDTH), np.float32)
-            np.add.at(sums, inverse, np.concatenate(parts))
-            sums[rows == len(net.embed) - 1] = 0  # the pad stays
-            self.squares[0][rows] += sums**2
-            net.embed[rows] -= RATE * sums / np.sqrt(self.squares[0][rows])
-            self.touched[rows] = True
+            self._step_embed(tokens, places, into_x)
+
+    def _step_embed(self, tokens: np.ndarray, places: np.ndarray, into_x: np.ndarray) -> None:
+        index, parts = [], []
+        for side, sign in ((0, -1), (2, 1)):
+            near, far = (into_x[:, (side + k) * WIDTH : (side + k + 1) * WIDTH] for k in (0, 1))
+            index.append(tokens[places + sign])
+            parts.append(near)
+            for d in range(2, REACH + 1):
+                index.append(tokens[places + sign * d])
+                parts.append(far / (REACH - 1))
+        met = np.concatenate(index)
+        order = np.argsort(met, kind="stable")
+        met = met[order]
+        starts = np.flatnonzero(np.diff(met, prepend=-1))
+        rows = met[starts]
+        sums = np.add.reduceat(np.concatenate(parts)[order], starts, axis=0)
+        sums[rows == len(self.net.embed) - 1] = 0  # the pad stays
+        self.squares[0][rows] += sums**2
+        self.net.embed[rows] -= RATE * sums / np.sqrt(self.squares[0][rows])
+        self.touched[rows] = True
 
     def _step(self, k: int, gradient: np.ndarray, rows: slice = slice(None)) -> None:
         self.squares[k][rows] += gradient**2
@@ -272,28 +355,35 @@ class Model:
     counts: DataFrame  # of all words, checkpointed
 
 
-def train_masked_lm(docs: DataFrame, text: str = "text", rounds: int = 2, seed: int = 3) -> Model:
+def train_masked_lm(
+    docs: DataFrame, text: str = "text", rounds: int = 2, seed: int = 3, size: int = TOKENS, masked: int = MASKED
+) -> Model:
     """Counts the words of all rows, then trains over ``rounds`` parts of them, one after the other.
 
-    Rows are dealt to the parts by a hash of their text. In a round every task starts from the same
-    weights; a weight's new value is its mean over the tasks that used it. What reaches the driver is
-    the size of the network. Null texts have no words; an empty table gives the untrained network.
+    Rows are dealt to the parts by a hash of their text. One word in ``masked`` of every text is a target of
+    training, chosen by the word and its place, so that copies of a text have the same ones; with 1 every word
+    is, which takes so many times as long (the README has the difference in likelihood). All words are read as
+    neighbours and all are scored. In a round every task starts from the same weights; a weight's new value is
+    its mean over the tasks that used it. What reaches the driver and goes out to the tasks is the network,
+    whose size ``size``, the number of tokens, fixes. Null texts have no words; an empty table gives the
+    untrained network.
     """
     counts = checkpoint(count_words(docs, text))
-    vocabulary = learn_vocabulary(counts)
+    vocabulary = learn_vocabulary(counts, size)
     network = new_network(vocabulary, seed)
     source = docs.select(docs[f"`{text}`"].cast("string").alias("text"))
     fields = ", ".join(["slot long", "tasks long", *[f"w{i} long" for i in range(WIDTH)]])
     for number in range(rounds):
         mine = source.filter(F.pmod(F.xxhash64(F.lit("round"), "text"), F.lit(rounds)) == number)
+        shared = docs.sparkSession.sparkContext.broadcast((network, vocabulary))  # a few megabytes, by ``size``
 
-        def train(batches, network=network):
-            trainer = Trainer(network, vocabulary)
+        def train(batches, shared=shared):
+            trainer = Trainer(*shared.value)
             for batch in batches:
                 for _, _, data, offsets in blocks(batch.column(0)):
-                    tokens, at, *_ = _laid_out(data, offsets, vocabulary)
-                    chosen = mix(np.arange(len(at), dtype=np.uint64) + np.uint64(len(data))) % np.uint64(MASKED) == 0
-                    trainer.learn(tokens, at[chosen])
+                    laid = _laid_out(data, offsets, trainer.vocabulary)
+                    chosen = _targets(laid, masked)
+                    trainer.learn(laid.tokens, laid.cells[chosen] % BUCKETS, laid.at[chosen])
             if not trainer.touched.any():
                 return
             slots, weights = trainer.rows()
@@ -322,25 +412,24 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text", keep: lis
     The kept columns are checkpointed with the words that are not tokens; these words are joined with
     the counts, and their sums with the rows.
     """
-    vocabulary, net = model.vocabulary, model.network
+    shared = docs.sparkSession.sparkContext.broadcast((model.network, model.vocabulary))
 
     def compute(column):
+        net, vocabulary = shared.value
         words, total = np.zeros(len(column), np.int64), np.zeros(len(column))
         rare, ends = [np.zeros(0, np.int64)], np.zeros(len(column) + 1, np.int64)
         for low, high, data, offsets in blocks(column):
-            tokens, at, first, hashed = _laid_out(data, offsets, vocabulary)
-            own = tokens[at]
-            sums = np.zeros(len(at) + 1)
-            for a in range(0, len(at), 8192):
-                places = at[a : a + 8192]
-                sums[a + 1 : a + 1 + len(places)] = _log_p(net, vocabulary, tokens, places)
-            bucket = own - len(vocabulary.known)
-            outside = bucket >= 0
-            sums[1:][outside] -= vocabulary.log_weight[bucket[outside]]
-            sums = np.cumsum(sums)
+            laid = _laid_out(data, offsets, vocabulary)
+            sums = np.zeros(len(laid.at) + 1)
+            for a in range(0, len(laid.at), _SCORED[1]):
+                some = slice(a, a + _SCORED[1])
+                sums[1:][some] = _log_p(net, vocabulary, laid.tokens, laid.cells[some] % BUCKETS, laid.at[some])
+            outside = laid.tokens[laid.at] >= len(vocabulary.known)
+            sums[1:][outside] -= vocabulary.log_weight.ravel()[laid.cells[outside]]
+            sums, first = np.cumsum(sums), laid.first
             words[low:high] = np.diff(first)
             total[low:high] = sums[first[1:]] - sums[first[:-1]]
-            rare.append(hashed[outside].view(np.int64))
+            rare.append(laid.words[outside].view(np.int64))
             ends[low + 1 : high + 1] = ends[low] + np.append(0, np.cumsum(outside))[first[1:]]
         lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(rare)))
         return [pa.array(words), pa.array(total), pa.nulls(len(column), pa.float64()), lists]

@@ -27,6 +27,16 @@ def word_hash(word):
     return int(hashes(data, *spans(data, offsets, NOT_SPACE))[0])
 
 
+def cell(word):
+    """How a word begins and ends: hashes of its first and last three bytes."""
+    raw = word.encode()
+    return word_hash(raw[:3].decode("latin1")) % 64 * 64 + word_hash(raw[-3:].decode("latin1")) % 64 if raw.isascii() else None
+
+
+def token_of(vocabulary, word):
+    return int(vocabulary.tokens(np.array([word_hash(word)], np.uint64), np.array([cell(word)]))[0])
+
+
 def test_counts_and_classes(spark):
     docs = spark.createDataFrame([("a A b",), (None,), ("",), ("b b c",), ("b b c",)], "text string")
     counts = count_words(docs, "text")
@@ -34,32 +44,63 @@ def test_counts_and_classes(spark):
     assert got == {word_hash("a"): 2, word_hash("b"): 5, word_hash("c"): 2}
     vocabulary = learn_vocabulary(counts, size=2)
     assert len(vocabulary.known) == 2 and vocabulary.pad == 2 + masked_lm.BUCKETS
-    tokens = vocabulary.tokens(np.array([word_hash(w) for w in "abcd"], np.uint64))
-    assert tokens[1] == 0 and (tokens[[2, 3]] >= 2).sum() >= 1
+    assert {r["word"] % (1 << 64): r["cell"] for r in counts.collect()} == {word_hash(w): cell(w) for w in "abc"}
+    assert token_of(vocabulary, "b") == 0
+    assert sorted(token_of(vocabulary, w) for w in "ac")[0] == 1 and token_of(vocabulary, "d") == 2 + cell("d") // 64
     for g in set(vocabulary.group):
         assert abs(np.exp(vocabulary.log_share[vocabulary.group == g]).sum() - 1) < 1e-5
+    assert np.allclose(np.exp(vocabulary.log_end).sum(1), 1, atol=1e-5)
 
 
-def test_scores_are_sums_of_conditional_probabilities(spark):
-    draw = random.Random(16)
-    docs = make(spark, draw, 60)
-    model = train_masked_lm(docs)
+def plain_score(model, counts, text):
+    """Sum over the words of the log of P(class) P(token | class) P(end | token) (share of the count), each softmax
+    over all its values, written out for one word at a time."""
     net, vocabulary = model.network, model.vocabulary
-    texts = [grammar(draw, 12), "a", "", None, "unseen words only", grammar(draw, 30)]
-    got = {r["id"]: r for r in score_documents(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), model).collect()}
-    for i, text in enumerate(texts):
-        tokens = [int(vocabulary.tokens(np.array([word_hash(w)], np.uint64))[0]) for w in (text or "").split()]
-        around = [vocabulary.pad] * REACH + tokens + [vocabulary.pad] * REACH
-        total = 0.0
-        for at, token in enumerate(tokens, REACH):
-            left = np.mean([net.embed[around[at - d]] for d in range(2, REACH + 1)], axis=0)
-            right = np.mean([net.embed[around[at + d]] for d in range(2, REACH + 1)], axis=0)
-            x = np.concatenate([net.embed[around[at - 1]], left, net.embed[around[at + 1]], right])
-            logits = np.tanh(x @ net.into + net.into_bias) @ net.out + net.out_bias
-            log_p = logits - np.log(np.exp(logits).sum())
-            total += log_p[vocabulary.group[token]] + vocabulary.log_share[token]
-        assert got[i]["n_words"] == len(tokens) and math.isclose(got[i]["log_likelihood"], total, rel_tol=1e-4, abs_tol=1e-6)
-        assert (got[i]["mean_log_likelihood"] is None) == (not tokens)
+    words = (text or "").split()
+    tokens = [token_of(vocabulary, w) for w in words]
+    around = [vocabulary.pad] * REACH + tokens + [vocabulary.pad] * REACH
+
+    def log_softmax(x):
+        return x - np.log(np.exp(x - x.max()).sum()) - x.max()
+
+    total = 0.0
+    for at, (word, token) in enumerate(zip(words, tokens), REACH):
+        left = np.mean([net.embed[around[at - d]] for d in range(2, REACH + 1)], axis=0)
+        right = np.mean([net.embed[around[at + d]] for d in range(2, REACH + 1)], axis=0)
+        x = np.concatenate([net.embed[around[at - 1]], left, net.embed[around[at + 1]], right]).astype(float)
+        hidden = np.tanh(x @ net.into + net.into_bias)
+        group = vocabulary.group[token]
+        total += log_softmax(hidden @ net.out + net.out_bias)[group]
+        members = [t for t in vocabulary.order if vocabulary.group[t] == group]
+        rows = {t: net.within[list(vocabulary.order).index(t)] for t in members}
+        logits = np.array([hidden @ net.narrow @ rows[t] + vocabulary.log_share[t] for t in members])
+        total += log_softmax(logits)[members.index(token)]
+        if token >= len(vocabulary.known):
+            begin, end = divmod(cell(word), 64)
+            total += log_softmax(np.array([hidden @ net.narrow @ net.ends[e] + vocabulary.log_end[begin, e] for e in range(64)]))[end]
+            known = set(vocabulary.known.tolist())
+            alike = {w: n for w, n in counts.items() if cell(w) == cell(word) and word_hash(w) not in known}
+            total += math.log(counts.get(word, 0) + 0.5) - math.log(sum(alike.values()) + 0.5 * (len(alike) + 1))
+    return len(words), total
+
+
+def test_scores_are_those_of_the_plain_version(spark):
+    draw = random.Random(16)
+    rare = ["reading", "readying", "retiring", "singing", "singeing", "ready", "king"]
+    texts = [grammar(draw, 60).split() for _ in range(60)]
+    for words in texts:
+        for _ in range(6):
+            words.insert(draw.randrange(len(words)), draw.choice(rare))
+    docs = spark.createDataFrame([(" ".join(words),) for words in texts], "text string").repartition(3)
+    counts = Counter(w for words in texts for w in words)
+    for size in (4, 8, 100):
+        model = train_masked_lm(docs, size=size, masked=1)
+        asked = [grammar(draw, 12), "a", "", None, "unseen words only reading", " ".join(texts[0]), "singing king reeling"]
+        got = {r["id"]: r for r in score_documents(spark.createDataFrame(list(enumerate(asked)), "id int, text string"), model).collect()}
+        for i, text in enumerate(asked):
+            n, total = plain_score(model, counts, text)
+            assert got[i]["n_words"] == n and math.isclose(got[i]["log_likelihood"], total, rel_tol=1e-4, abs_tol=1e-5)
+            assert (got[i]["mean_log_likelihood"] is None) == (n == 0)
 
 
 def test_neighbours_tell_more_than_counts_and_reruns_agree(spark):
@@ -87,31 +128,68 @@ def test_an_empty_table_gives_the_untrained_network(spark):
     assert row["n_words"] == 2 and math.isfinite(row["log_likelihood"])
 
 
-def test_a_word_beyond_the_vocabulary_has_its_own_count(spark, monkeypatch):
-    monkeypatch.setattr(masked_lm, "VOCABULARY", 4)
-    monkeypatch.setattr(masked_lm, "BUCKETS", 1)
-    text = "a a a a a a b b b b b c c c c c d d d d d often often often often once"
+def test_a_word_beyond_the_vocabulary_has_its_own_count(spark):
+    text = "a a a a a a b b b b b c c c c c d d d d d often1ten often1ten often1ten often1ten often2ten"
     docs = spark.createDataFrame([(text,), (None,)], "text string")
-    model = train_masked_lm(docs)
-    ask = spark.createDataFrame([(w, "kept") for w in ("often", "once", "never", "", "a")], "text string, word string")
+    model = train_masked_lm(docs, size=4)
+    ask = spark.createDataFrame([(w, "kept") for w in ("often1ten", "often2ten", "often3ten", "", "a")], "text string, word string")
     got = {r["text"]: r for r in score_documents(ask, model).collect()}
     assert [r.asDict().keys() for r in got.values()][0] == {"text", "word", "n_words", "log_likelihood", "mean_log_likelihood"}
     score = {w: r["log_likelihood"] for w, r in got.items()}
-    # The bucket holds 5 words, 2 of them distinct; smoothed by a half, the unseen ones counted as one more.
-    assert math.isclose(score["often"] - score["once"], math.log(4.5 / 1.5), abs_tol=1e-6)
-    assert math.isclose(score["once"] - score["never"], math.log(1.5 / 0.5), abs_tol=1e-6)
+    # Three words begin and end alike; smoothed by a half, the unseen ones counted as one more.
+    assert math.isclose(score["often1ten"] - score["often2ten"], math.log(4.5 / 1.5), abs_tol=1e-5)
+    assert math.isclose(score["often2ten"] - score["often3ten"], math.log(1.5 / 0.5), abs_tol=1e-5)
     assert got[""]["n_words"] == 0 and score[""] == 0 and got[""]["mean_log_likelihood"] is None
 
 
-def test_the_vocabulary_grows_with_the_corpus(spark, monkeypatch):
-    monkeypatch.setattr(masked_lm, "VOCABULARY", 4)
-    monkeypatch.setattr(masked_lm, "GROWTH", 2, raising=False)
-    counts = count_words(spark.createDataFrame([(" ".join(f"w{i}" for i in range(40)),)], "text string"), "text")
-    assert len(learn_vocabulary(counts).known) == 20
+def test_the_network_keeps_its_size_and_the_counts_grow(spark):
+    def trained(n):
+        docs = spark.createDataFrame([(" ".join(f"w{i}" for i in range(n)),)], "text string")
+        return train_masked_lm(docs, size=10)
+
+    small, large = trained(40), trained(400)
+    assert [p.shape for p in small.network.parts()] == [p.shape for p in large.network.parts()]
+    assert (small.counts.count(), large.counts.count()) == (40, 400)
+
+
+def test_words_beyond_the_vocabulary_are_told_by_their_neighbours(spark):
+    draw = random.Random(19)
+    # No word is a token: "pre…ing" always follows "the…", "con…ion" always follows "one…".
+    pairs = [("the{}xx", "pre{}ing"), ("one{}yy", "con{}ion")]
+    texts = [" ".join(w.format(draw.randrange(60)) for _ in range(60) for w in draw.choice(pairs)) for _ in range(300)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    model = train_masked_lm(docs, size=0, masked=1)
+    ask = spark.createDataFrame([("right", "the1xx pre2ing"), ("wrong", "one1yy pre2ing")], "name string, text string")
+    alone = {r["text"]: r["log_likelihood"] for r in score_documents(
+        spark.createDataFrame([("the1xx",), ("one1yy",)], "text string"), model).collect()}
+    got = {r["name"]: r["log_likelihood"] for r in score_documents(ask, model).collect()}
+    assert got["right"] - alone["the1xx"] > got["wrong"] - alone["one1yy"] + 1
+
+
+def test_targets_do_not_depend_on_blocks():
+    from kindred.llm.buffers import blocks
+
+    draw = random.Random(20)
+    texts = [grammar(draw, 40) for _ in range(30)]
+    vocabulary = masked_lm.Vocabulary(*[np.zeros(0, np.uint64), np.zeros(0, np.int64)], np.zeros(64, np.int64), *[np.zeros(0)] * 6)
+
+    def chosen(column, rows):
+        out = []
+        for _, _, data, offsets in blocks(column, most_rows=rows):
+            laid = masked_lm._laid_out(data, offsets, vocabulary)
+            picked = np.zeros(len(laid.at), bool)
+            picked[masked_lm._targets(laid, 4)] = True
+            out += [picked[a:b].tolist() for a, b in zip(laid.first, laid.first[1:])]
+        return out
+
+    whole = chosen(pa.array(texts), 30)
+    assert chosen(pa.array(texts), 4) == whole and chosen(pa.array(texts[::-1]), 7) == whole[::-1]
+    assert 0.15 < np.mean(sum(whole, [])) < 0.35
 
 
 def test_tokens_within_a_class_are_told_by_their_neighbours(spark, monkeypatch):
-    monkeypatch.setattr(masked_lm, "HEAD", 0, raising=False)
+    monkeypatch.setattr(masked_lm, "HEAD", 0)
+    monkeypatch.setattr(masked_lm, "TAIL", 16)  # few words: as many classes as were cut for them before
     draw = random.Random(18)
     # Equal counts throughout, so that counts tell nothing: the word after a{i} is always b{i}.
     docs = spark.createDataFrame(
@@ -119,7 +197,7 @@ def test_tokens_within_a_class_are_told_by_their_neighbours(spark, monkeypatch):
     ).repartition(4)
     model = train_masked_lm(docs)
     group = model.vocabulary.group
-    token = {w: int(model.vocabulary.tokens(np.array([word_hash(w)], np.uint64))[0]) for w in (f"b{k}" for k in range(40))}
+    token = {w: token_of(model.vocabulary, w) for w in (f"b{k}" for k in range(40))}
     pairs = [(a, b) for a in token for b in token if a < b and group[token[a]] == group[token[b]]]
     assert len(pairs) >= 20  # classes hold several words
     ask = spark.createDataFrame([(f"{a} {w}", f"a{a[1:]} {w}") for a, b in pairs for w in (a, b)], "name string, text string")
