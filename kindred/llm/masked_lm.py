@@ -65,13 +65,20 @@ class Vocabulary:
         """Where each token is in ``order``."""
         return np.argsort(self.order)
 
-    def tokens(self, words: np.ndarray, cells: np.ndarray) -> np.ndarray:
-        """Of words by their hashes and cells (``cells_of``)."""
-        other = len(self.known) + cells // BUCKETS
+    @cached_property
+    def share_in_order(self) -> np.ndarray:
+        return self.log_share[self.order]
+
+    def own_tokens(self, words: np.ndarray) -> np.ndarray:
+        """Of words by their hashes: the tokens of those that are tokens, -1 for the others."""
         if not len(self.known):
-            return other
+            return np.full(len(words), -1, np.int64)
         at = np.minimum(np.searchsorted(self.known, words), len(self.known) - 1)
-        return np.where(self.known[at] == words, self.number[at], other)
+        return np.where(self.known[at] == words, self.number[at], -1)
+
+    def shared_tokens(self, cells: np.ndarray) -> np.ndarray:
+        """Of the other words, by their cells (``cells_of``)."""
+        return len(self.known) + cells // BUCKETS
 
 
 @dataclass
@@ -140,7 +147,15 @@ def learn_vocabulary(counts: DataFrame, size: int = TOKENS) -> Vocabulary:
     totals, distinct = np.zeros(BUCKETS**2), np.zeros(BUCKETS**2)
     for r in counts.groupBy("cell").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
         totals[r["cell"]], distinct[r["cell"]] = r["n"], r["words"]
-    rows = counts.orderBy(F.desc("n"), "word").limit(size).collect()
+    # Only words about as frequent as the last one wanted are ranked: no task sends more than its few of them.
+    step = F.floor(F.log2("n") * 16).cast("long")
+    least, above = 0, 0
+    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):  # 16 per doubling
+        above += r["count"]
+        if above >= size:
+            least = r["step"]
+            break
+    rows = counts.filter(step >= least).orderBy(F.desc("n"), "word").limit(size).collect()
     known = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
     own = np.array([r["n"] for r in rows], float)
     home = np.array([r["cell"] for r in rows], np.int64)
@@ -209,10 +224,12 @@ def _log_p(net: Network, vocabulary: Vocabulary, tokens: np.ndarray, ends: np.nd
     narrow = np.empty((len(places), WIDTH), np.float32)
     for low in range(0, len(places), _SCORED[0]):
         at = places[low : low + _SCORED[0]]
-        hidden = read[0][tokens[at - 1]] + read[2][tokens[at + 1]] + net.into_bias
+        hidden = np.take(read[0], tokens[at - 1], axis=0, mode="clip")
+        hidden += net.into_bias
+        hidden += np.take(read[2], tokens[at + 1], axis=0, mode="clip")
         for d in range(2, REACH + 1):
-            hidden += read[1][tokens[at - d]]
-            hidden += read[3][tokens[at + d]]
+            hidden += np.take(read[1], tokens[at - d], axis=0, mode="clip")
+            hidden += np.take(read[3], tokens[at + d], axis=0, mode="clip")
         np.tanh(hidden, out=hidden)
         logits = hidden @ net.out
         logits += net.out_bias
@@ -220,7 +237,7 @@ def _log_p(net: Network, vocabulary: Vocabulary, tokens: np.ndarray, ends: np.nd
         narrow[low : low + len(at)] = hidden @ net.narrow
     for low, high, rows, inside in _by_class(vocabulary, own):
         logits = narrow[rows] @ net.within[low:high].T
-        logits += vocabulary.log_share[vocabulary.order[low:high]]
+        logits += vocabulary.share_in_order[low:high]
         out[rows] += _told(logits, inside)
     rows = np.flatnonzero(own >= len(vocabulary.known))
     for low in range(0, len(rows), _SCORED[0]):
@@ -233,8 +250,8 @@ def _log_p(net: Network, vocabulary: Vocabulary, tokens: np.ndarray, ends: np.nd
 
 @dataclass(frozen=True)
 class _Laid:
-    """A block's tokens with ``REACH`` pads around every text; of its words the places, hashes and cells; the first
-    word of each text, and their number."""
+    """A block's tokens with ``REACH`` pads around every text; of its words the places and hashes, and the cells of
+    those that are no tokens of their own (0 for others); the first word of each text, and their number."""
 
     tokens: np.ndarray
     at: np.ndarray
@@ -249,8 +266,12 @@ def _laid_out(data, offsets, vocabulary: Vocabulary) -> _Laid:
     texts = len(offsets) - 1
     at = np.arange(len(starts)) + REACH * (np.repeat(np.arange(texts), np.diff(first)) + 1)
     tokens = np.full(len(starts) + REACH * (texts + 1), vocabulary.pad, np.int64)
-    words, cells = hashes(data, starts, ends), cells_of(data, starts, ends)
-    tokens[at] = vocabulary.tokens(words, cells)
+    words = hashes(data, starts, ends)
+    own, cells = vocabulary.own_tokens(words), np.zeros(len(starts), np.int64)
+    other = np.flatnonzero(own < 0)
+    cells[other] = cells_of(data, starts[other], ends[other])
+    own[other] = vocabulary.shared_tokens(cells[other])
+    tokens[at] = own
     return _Laid(tokens, at, words, cells, first)
 
 
@@ -285,7 +306,7 @@ class Trainer:
             into_narrow = np.zeros_like(narrow)
             for first, last, rows, inside in _by_class(vocabulary, own):
                 its = narrow[rows]
-                wrong = _softmax(its @ net.within[first:last].T + vocabulary.log_share[vocabulary.order[first:last]])
+                wrong = _softmax(its @ net.within[first:last].T + vocabulary.share_in_order[first:last])
                 wrong[np.arange(len(rows)), inside] -= 1
                 wrong *= share
                 into_narrow[rows] = wrong @ net.within[first:last]
