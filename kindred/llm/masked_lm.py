@@ -190,10 +190,11 @@ def _contexts(embed: np.ndarray, tokens: np.ndarray, at: np.ndarray) -> np.ndarr
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    """Probabilities, in place of the logits."""
-    logits -= logits.max(1, keepdims=True)
+    """Probabilities, in place of the logits. Here and in ``_told`` a column is an example: so maxima and sums run
+    along whole rows."""
+    logits -= logits.max(0)
     np.exp(logits, out=logits)
-    logits /= logits.sum(1, keepdims=True)
+    logits /= logits.sum(0)
     return logits
 
 
@@ -203,17 +204,17 @@ def _by_class(vocabulary: Vocabulary, own: np.ndarray):
     group, place = vocabulary.group[own], vocabulary.place[own]
     sizes = vocabulary.cuts[group + 1] - vocabulary.cuts[group]
     some = np.flatnonzero(sizes > 1)
-    some = some[np.argsort(group[some], kind="stable")]
+    some = some[np.argsort(group[some].astype(np.uint8), kind="stable")]  # there are fewer than 256 classes
     for rows in np.split(some, np.flatnonzero(np.diff(group[some])) + 1) if len(some) else ():
         low, high = vocabulary.cuts[group[rows[0]] : group[rows[0]] + 2]
         yield int(low), int(high), rows, place[rows] - low
 
 
 def _told(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Log-probabilities of the wanted columns; ``logits`` are used up."""
-    logits -= logits.max(1, keepdims=True)
-    out = logits[np.arange(len(logits)), wanted]
-    return out - np.log(np.exp(logits, out=logits).sum(1))
+    """Log-probabilities of the wanted row of each column; ``logits`` are used up."""
+    logits -= logits.max(0)
+    out = logits[wanted, np.arange(len(wanted))]
+    return out - np.log(np.exp(logits, out=logits).sum(0))
 
 
 def _log_p(net: Network, vocabulary: Vocabulary, tokens: np.ndarray, ends: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -231,19 +232,19 @@ def _log_p(net: Network, vocabulary: Vocabulary, tokens: np.ndarray, ends: np.nd
             hidden += np.take(read[1], tokens[at - d], axis=0, mode="clip")
             hidden += np.take(read[3], tokens[at + d], axis=0, mode="clip")
         np.tanh(hidden, out=hidden)
-        logits = hidden @ net.out
-        logits += net.out_bias
+        logits = net.out.T @ hidden.T
+        logits += net.out_bias[:, None]
         out[low : low + len(at)] = _told(logits, vocabulary.group[own[low : low + len(at)]])
         narrow[low : low + len(at)] = hidden @ net.narrow
     for low, high, rows, inside in _by_class(vocabulary, own):
-        logits = narrow[rows] @ net.within[low:high].T
-        logits += vocabulary.share_in_order[low:high]
+        logits = net.within[low:high] @ narrow[rows].T
+        logits += vocabulary.share_in_order[low:high, None]
         out[rows] += _told(logits, inside)
-    rows = np.flatnonzero(own >= len(vocabulary.known))
+    rows, ends_told = np.flatnonzero(own >= len(vocabulary.known)), vocabulary.log_end.T
     for low in range(0, len(rows), _SCORED[0]):
         some = rows[low : low + _SCORED[0]]
-        logits = narrow[some] @ net.ends.T
-        logits += vocabulary.log_end[own[some] - len(vocabulary.known)]
+        logits = net.ends @ narrow[some].T
+        logits += ends_told[:, own[some] - len(vocabulary.known)]
         out[some] += _told(logits, ends[some])
     return out
 
@@ -287,6 +288,7 @@ class Trainer:
     def __init__(self, net: Network, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.net = Network(*(p.copy() for p in net.parts()))
+        self.weights = self.net.parts()
         self.squares = [np.full(p.shape, 1e-4, np.float32) for p in net.parts()]
         self.touched = np.zeros(len(net.embed), bool)
         self.told = np.zeros(len(net.within), bool)
@@ -299,32 +301,32 @@ class Trainer:
             own, share = tokens[places], np.float32(1 / len(places))
             x = _contexts(net.embed, tokens, places)
             hidden = np.tanh(x @ net.into + net.into_bias)
-            error = _softmax(hidden @ net.out + net.out_bias)
-            error[np.arange(len(places)), vocabulary.group[own]] -= 1
+            error = _softmax(net.out.T @ hidden.T + net.out_bias[:, None])
+            error[vocabulary.group[own], np.arange(len(places))] -= 1
             error *= share
             narrow = hidden @ net.narrow
             into_narrow = np.zeros_like(narrow)
             for first, last, rows, inside in _by_class(vocabulary, own):
                 its = narrow[rows]
-                wrong = _softmax(its @ net.within[first:last].T + vocabulary.share_in_order[first:last])
-                wrong[np.arange(len(rows)), inside] -= 1
+                wrong = _softmax(net.within[first:last] @ its.T + vocabulary.share_in_order[first:last, None])
+                wrong[inside, np.arange(len(rows))] -= 1
                 wrong *= share
-                into_narrow[rows] = wrong @ net.within[first:last]
-                self._step(7, wrong.T @ its, slice(first, last))
+                into_narrow[rows] = wrong.T @ net.within[first:last]
+                self._step(7, wrong @ its, slice(first, last))
                 self.told[first:last] = True
             shared = np.flatnonzero(own >= len(vocabulary.known))
             if len(shared):
                 its = narrow[shared]
-                wrong = _softmax(its @ net.ends.T + vocabulary.log_end[own[shared] - len(vocabulary.known)])
-                wrong[np.arange(len(shared)), ends[low + shared]] -= 1
+                wrong = _softmax(net.ends @ its.T + vocabulary.log_end.T[:, own[shared] - len(vocabulary.known)])
+                wrong[ends[low + shared], np.arange(len(shared))] -= 1
                 wrong *= share
-                into_narrow[shared] += wrong @ net.ends
-                self._step(6, wrong.T @ its)
-            back = (error @ net.out.T + into_narrow @ net.narrow.T) * (1 - hidden**2)
+                into_narrow[shared] += wrong.T @ net.ends
+                self._step(6, wrong @ its)
+            back = (error.T @ net.out.T + into_narrow @ net.narrow.T) * (1 - hidden**2)
             self._step(5, hidden.T @ into_narrow)
             into_x = back @ net.into.T
-            self._step(3, hidden.T @ error)
-            self._step(4, error.sum(0))
+            self._step(3, hidden.T @ error.T)
+            self._step(4, error.sum(1))
             self._step(1, x.T @ back)
             self._step(2, back.sum(0))
             self._step_embed(tokens, places, into_x)
@@ -339,7 +341,8 @@ class Trainer:
                 index.append(tokens[places + sign * d])
                 parts.append(far / (REACH - 1))
         met = np.concatenate(index)
-        order = np.argsort(met, kind="stable")
+        # Small numbers are sorted by their digits.
+        order = np.argsort(met.astype(np.uint16) if len(self.net.embed) <= 1 << 16 else met, kind="stable")
         met = met[order]
         starts = np.flatnonzero(np.diff(met, prepend=-1))
         rows = met[starts]
@@ -350,8 +353,11 @@ class Trainer:
         self.touched[rows] = True
 
     def _step(self, k: int, gradient: np.ndarray, rows: slice = slice(None)) -> None:
-        self.squares[k][rows] += gradient**2
-        self.net.parts()[k][rows] -= RATE * gradient / np.sqrt(self.squares[k][rows])
+        squares, weights = self.squares[k][rows], self.weights[k][rows]  # both are views
+        squares += gradient * gradient
+        gradient /= np.sqrt(squares)
+        gradient *= RATE
+        weights -= gradient
 
     def rows(self) -> tuple[np.ndarray, np.ndarray]:
         """(slot, weights as integers): the weights as rows of ``WIDTH``, of the tokens and classes met and the rest."""
