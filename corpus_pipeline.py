@@ -12,30 +12,41 @@ from kindred.session import scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; the rules learn from the labels of these documents."""
+    """Documents that the quality rules keep; the rules learn from the labels of these documents.
+
+    Null, empty and short texts go; rows alike in their text get the same verdict; no rows give none.
+    """
     model = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.judge_quality(docs, model, keep=[*docs.columns]).filter("kept").select(docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates.
+
+    Texts without a word are one group, nulls among them; of a group the row with the smallest id stays, and of
+    several with that id one of them.
+    """
     return simhash.keep_first(docs, distance=3, words_per_shingle=3)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark. Null and empty texts have none and stay, as do repeated rows."""
     found = decontaminate.find_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.filter(F.size("matches") == 0).select(docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced and their number of characters as it then is."""
+    """All documents, with secrets replaced and their number of characters as it then is; null texts stay null."""
     return secret_scan.redact_secrets(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with the number of words it takes of each."""
-    return mixing.mix_sources(docs).filter("taken > 0")
+    """The documents that the mix takes, whole, each with its ``size`` in words, the ``source_size`` and ``target`` of
+    its source, and ``taken``, the number of words that the mix takes of it; more than ``size`` where it repeats.
+
+    Documents without words are not taken. Null sources are one source; each of several equal rows has its own place.
+    """
+    return mixing.mix_sources(docs, keep=docs.columns).filter("taken > 0")
 
 
 STAGES = [

@@ -1,7 +1,7 @@
 """Mixing sources to target weights.
 
-Every document gets a random key from a hash. The keys of a source are cut into equal ranges, which
-are summed first: a document's place in the random order of its source is then the sum over the
+Every document gets a random key from a hash of its id and text, so that rows without an id, or with the
+same one, do not share it. The keys of a source are cut into equal ranges, which are summed first: a document's place in the random order of its source is then the sum over the
 ranges before its own and over the documents before it in its range. No task sees a whole source.
 """
 
@@ -13,6 +13,7 @@ from kindred.session import checkpoint
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 KEY_DIGITS = 13  # hex digits of a key: 52 bits
+RESULT = ("size", "source_size", "target", "taken")
 _NONE = "1"  # a source's name is put behind a 0, so that this sorts after all of them
 
 
@@ -72,30 +73,37 @@ def mix_sources(
     source: str = "source",
     text: str = "text",
     seed: str = "mix",
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """(``id_col``, ``source``, ``size``, ``source_size``, ``target``, ``taken``) for every row of ``docs``.
+    """(``id_col``, ``source``, ``size``, ``source_size``, ``target``, ``taken``) for every row of ``docs``; with
+    ``keep`` these columns of ``docs`` instead of the first two, but for those with the names of the others.
 
     ``size`` is the number of words; ``taken`` the number of words that the mix takes of the text.
     A source is read in random order, again from the start when it ends, and cut at the whole number
     nearest to its target, so its ``taken`` add up to that number; the text at the cut is taken in
     part. No text is taken more than ``most`` times, rounded up.
 
-    Null texts have size 0 and nothing taken; null sources are one source, the last; null ids share a
-    key. Equal rows are interchangeable: reruns give the same rows. An empty table gives an empty one.
-    Columns other than the three are not read.
+    Null texts have size 0 and nothing taken; null sources are one source, the last. Rows alike in id, source
+    and text share a key and are interchangeable: reruns give the same rows. An empty table gives an empty
+    one. Columns other than the three and the kept ones are not read. Kept columns are moved once, with
+    their rows, to the ranges.
     """
     named = F.coalesce(F.concat(F.lit("0"), docs[f"`{source}`"].cast("string")), F.lit(_NONE))
-    base = docs.select(
-        docs[f"`{id_col}`"].alias("id"), named.alias("source"), text_size(docs[f"`{text}`"].cast("string")).alias("size")
-    )
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
-    base = checkpoint(base.withColumn("key", F.conv(F.substring(digest, 1, KEY_DIGITS), 16, 10).cast("long")))
+    ids, texts = docs[f"`{id_col}`"], docs[f"`{text}`"].cast("string")
+    own = F.concat(F.coalesce(ids.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(texts, F.lit(""))))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), own))
+    columns = [
+        ids.alias("id"), named.alias("source"), text_size(texts).alias("size"),
+        F.conv(F.substring(digest, 1, KEY_DIGITS), 16, 10).cast("long").alias("key"),
+    ]
+    base = checkpoint(docs.select(columns))
     per_source = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = checkpoint(source_targets(per_source, weights, share, most))
     # As many ranges as each has documents when there is one source: both lists stay short.
     ranges = int(base.count() ** 0.5) + 1
     width = -(-(16**KEY_DIGITS) // ranges)
-    ranged = base.withColumn("range", F.floor(F.col("key") / width).cast("int"))
+    place = F.floor(F.col("key") / width).cast("int")
+    ranged = base.withColumn("range", place)
     sums = ranged.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     over = Window.partitionBy("source").orderBy("range")
     whole = F.round("target").cast("long")
@@ -112,9 +120,14 @@ def mix_sources(
     within = Window.partitionBy("source", "range").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
     first = F.col("start") + F.sum("size").over(within) - F.col("size")
     again = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("first")))
+    out = [F.col("id").alias(id_col), F.when(F.col("source") != _NONE, F.substr("source", F.lit(2))).alias("source")]
+    if keep is not None:
+        kept = [c for c in keep if c.lower() not in RESULT]
+        quoted = ["`" + c.replace("`", "``") + "`" for c in kept]
+        whole_rows = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(quoted)]).alias("row")
+        ranged = docs.select(*columns, whole_rows).withColumn("range", place)
+        out = [F.col(f"row.c{i}").alias(c) for i, c in enumerate(kept)]
     return ranged.join(starts, ["source", "range"]).withColumn("first", first).select(
-        F.col("id").alias(id_col),
-        F.when(F.col("source") != _NONE, F.substr("source", F.lit(2))).alias("source"),
-        "size", "source_size", "target",
+        *out, "size", "source_size", "target",
         (F.col("times") * F.col("size") + again).cast("long").alias("taken"),
     )

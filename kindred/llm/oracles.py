@@ -36,7 +36,7 @@ FROM judged
 ORACLES["op6_mixing"] = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT AS key
+    ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 13))::BIGINT AS key
   FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,

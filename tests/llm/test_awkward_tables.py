@@ -29,6 +29,10 @@ def make(spark, rows=ROWS):
     return docs.selectExpr("*", *[f"'x' AS `{c}`" for c in CLASHING], "map('a', 1) AS `a map`")
 
 
+def ids_of(rows):
+    return sorted(str(r["doc_id"]) for r in rows)
+
+
 def operators(spark):
     items = spark.createDataFrame([(1, "quick brown fox jumps over")], "item_id long, text string")
     labels = spark.createDataFrame([(4, 1), (5, 1), (3, 0)], "doc_id long, quality int")
@@ -83,8 +87,13 @@ def test_stages(spark, tmp_path, name, stage):
     rows = out.collect()
     if name != "mixing_sources":
         assert out.columns == docs.columns
+    else:
+        words = {r[0]: len((r[1] or "").split()) for r in ROWS}
+        assert out.columns == [c for c in docs.columns if c not in mixing.RESULT] + [*mixing.RESULT]
+        assert ids_of(rows) and all(words[r["doc_id"]] == r["size"] and 0 < r["taken"] <= 2 * r["size"] for r in rows)
+        assert all(r["text"] in {t for i, t, *_ in ROWS if i == r["doc_id"]} for r in rows)
     assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []
-    ids = sorted(str(r["doc_id"]) for r in rows)
+    ids = ids_of(rows)
     assert ids == {
         "quality_rules": ["4", "4", "4", "5"],
         "simhash_near_dedup": ["1", "3", "4", "7", "None"],

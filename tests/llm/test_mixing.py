@@ -48,6 +48,18 @@ def test_targets_and_taken(spark):
     assert sorted(map(key, again)) == sorted(key(tuple(r.values())) for r in got)
 
 
+def test_rows_without_an_id_are_in_many_ranges(spark):
+    docs = spark.range(900).selectExpr("CAST(NULL AS LONG) AS doc_id", "'s' AS source", "concat('a b ', id) AS text", "id AS Size", "id AS n")
+    rows = mix_sources(docs, keep=docs.columns).collect()
+    assert sum(r["taken"] for r in rows) == 900 * 3 * 1.5 and sorted(r["n"] for r in rows) == [*range(900)]
+    assert [c for c in rows[0].asDict()] == ["doc_id", "source", "text", "n", "size", "source_size", "target", "taken"]
+    # Half are taken twice: not those that come first, as rows with one key and no order would be.
+    twice = [r["n"] for r in rows if r["taken"] == 6]
+    assert len(twice) == 450 and 350 < sum(twice) / 450 < 550
+    again = mix_sources(docs.repartition(13), keep=["text"]).collect()
+    assert {r["text"]: r["taken"] for r in again} == {r["text"]: r["taken"] for r in rows}
+
+
 def test_empty_and_wordless_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, source string, text string")
     assert mix_sources(docs).collect() == []

@@ -27,9 +27,17 @@ def texts(df):
     return {r["doc_id"]: r["text"] for r in df.select("doc_id", "text").collect()}
 
 
-def test_all_but_the_last_return_the_columns_of_documents(stages):
+def test_stages_return_the_columns_of_documents(stages):
     for name, (before, after) in stages.items():
-        assert name == "mixing_sources" or after.columns == before.columns
+        added = ["size", "source_size", "target", "taken"] if name == "mixing_sources" else []
+        assert after.columns == before.columns + added
+
+
+def test_the_mix_is_the_redacted_corpus(stages):
+    before, after = stages["mixing_sources"]
+    was = {r["doc_id"]: r for r in before.collect()}
+    for r in after.collect():
+        assert all(r[c] == was[r["doc_id"]][c] for c in before.columns)
 
 
 def test_quality_rules(spark, stages):
