@@ -32,7 +32,7 @@ from kindred.session import checkpoint
 
 REACH = 3
 WIDTH, HIDDEN = 16, 32
-HEAD, TAIL = 32, 64  # classes: of single tokens, and of several
+HEAD, TAIL = 64, 32  # classes: of single tokens, and of several
 TOKENS = 8192  # words that are tokens of their own
 BUCKETS = 64  # values of how a word begins, and of how it ends
 LETTERS = 3  # bytes that count as its beginning, and as its end
@@ -41,6 +41,9 @@ BATCH = 2048  # examples per step
 MASKED = 4  # one word in so many is a target in training
 RATE = 0.15
 FIXED = 1 << 24  # weights are added up as integers, so that the order of adding does not matter
+LEAST_SUM, MOST_SUM = 1e-20, 1e30  # of powers that need nothing taken off
+LOOKED_AT = 18  # bits that a hash is looked up by
+SATURATED = 20.0  # its hyperbolic tangent is 1
 _SCORED = 2048, 16_384  # words whose classes are predicted together, and whose places in their classes are
 
 
@@ -71,10 +74,22 @@ class Vocabulary:
 
     def own_tokens(self, words: np.ndarray) -> np.ndarray:
         """Of words by their hashes: the tokens of those that are tokens, -1 for the others."""
+        out = np.full(len(words), -1, np.int64)
         if not len(self.known):
-            return np.full(len(words), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.known, words), len(self.known) - 1)
-        return np.where(self.known[at] == words, self.number[at], -1)
+            return out
+        first, most = self.looked_up
+        place = first[words >> np.uint64(64 - LOOKED_AT)]
+        for step in range(most):
+            at = np.minimum(place + step, len(self.known) - 1)
+            hit = np.flatnonzero(self.known[at] == words)
+            out[hit] = self.number[at[hit]]
+        return out
+
+    @cached_property
+    def looked_up(self) -> tuple[np.ndarray, int]:
+        """The place in ``known`` of the first hash with each beginning, and how many share one at most."""
+        edges = np.searchsorted(self.known >> np.uint64(64 - LOOKED_AT), np.arange((1 << LOOKED_AT) + 1, dtype=np.uint64))
+        return edges[:-1].astype(np.int32), int(np.diff(edges).max())
 
     def shared_tokens(self, cells: np.ndarray) -> np.ndarray:
         """Of the other words, by their cells (``cells_of``)."""
@@ -95,11 +110,31 @@ class Network:
     def parts(self) -> list[np.ndarray]:
         return [self.embed, self.into, self.into_bias, self.out, self.out_bias, self.narrow, self.ends, self.within]
 
+    # For scoring, a column of ones goes along with the hidden values, so that the products add what is constant.
+
     @cached_property
     def read(self) -> list[np.ndarray]:
-        """What each token adds to the hidden values: next to the masked one and farther off, left and right."""
+        """What each token adds to the hidden values: next to the masked one, which brings the bias, and farther off,
+        left and right. The last column ends as a one."""
         parts = self.embed @ self.into.reshape(4, WIDTH, HIDDEN)
-        return [part / (REACH - 1) if k % 2 else part for k, part in enumerate(parts)]
+        tables = [np.zeros((len(self.embed), HIDDEN + 1), np.float32) for _ in parts]
+        for k, part in enumerate(parts):
+            tables[k][:, :-1] = part / (REACH - 1) if k % 2 else part
+        tables[0] += np.append(self.into_bias, np.float32(SATURATED))
+        return tables
+
+    @cached_property
+    def classes_told(self) -> np.ndarray:
+        return np.vstack([self.out, self.out_bias]).T.copy()
+
+    @cached_property
+    def narrowed(self) -> np.ndarray:
+        whole = np.zeros((HIDDEN + 1, WIDTH + 1), np.float32)
+        whole[:-1, :-1], whole[-1, -1] = self.narrow, 1
+        return whole
+
+    def told_within(self, vocabulary: Vocabulary) -> np.ndarray:
+        return np.column_stack([self.within, vocabulary.share_in_order])
 
 
 def new_network(vocabulary: Vocabulary, seed: int) -> Network:
@@ -183,70 +218,95 @@ def learn_vocabulary(counts: DataFrame, size: int = TOKENS) -> Vocabulary:
 
 def _contexts(embed: np.ndarray, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
     """What stands around the places: both neighbours, and the means of those farther off."""
-    far = [embed[tokens[at + d]] for d in range(2, REACH + 1)], [embed[tokens[at - d]] for d in range(2, REACH + 1)]
-    return np.concatenate([
-        embed[tokens[at - 1]], sum(far[1]) / len(far[1]), embed[tokens[at + 1]], sum(far[0]) / len(far[0]),
-    ], axis=1)
+    near = lambda d: np.take(embed, tokens[at + d], axis=0, mode="clip")
+    far = [near(d) for d in range(2, REACH + 1)], [near(-d) for d in range(2, REACH + 1)]
+    return np.concatenate([near(-1), sum(far[1]) / len(far[1]), near(1), sum(far[0]) / len(far[0])], axis=1)
+
+
+def _tanh(x: np.ndarray) -> np.ndarray:
+    """Hyperbolic tangents, in place: 1 - 2 / (exp(2x) + 1)."""
+    x *= 2
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += 1
+    np.divide(-2, x, out=x)
+    x += 1
+    return x
+
+
+def _exp(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """(powers, their sums, what was taken off each column first). Here a column is an example: so sums run along
+    whole rows. Maxima are taken off only where the powers of some column are too large or too small without."""
+    with np.errstate(over="ignore"):
+        powers = np.exp(logits)
+        sums = powers.sum(0)
+    if len(sums) and LEAST_SUM < sums.min() and sums.max() < MOST_SUM:
+        return powers, sums, None
+    most = logits.max(0)
+    powers = np.exp(logits - most)
+    return powers, powers.sum(0), most
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    """Probabilities, in place of the logits. Here and in ``_told`` a column is an example: so maxima and sums run
-    along whole rows."""
-    logits -= logits.max(0)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(0)
-    return logits
+    powers, sums, _ = _exp(logits)
+    powers /= sums
+    return powers
+
+
+def _class_order(vocabulary: Vocabulary, own: np.ndarray) -> np.ndarray:
+    """The order that brings examples, with the tokens ``own``, together by class."""
+    return np.argsort(vocabulary.group[own].astype(np.uint8), kind="stable")  # there are fewer than 256 classes
 
 
 def _by_class(vocabulary: Vocabulary, own: np.ndarray):
     """(first and last place in ``order`` of a class, the examples whose token is in it, the tokens' places
-    in the class) for each class of several tokens that is among the tokens ``own``."""
+    in the class) for each class of several tokens that is among the tokens ``own``, which lie class by class."""
     group, place = vocabulary.group[own], vocabulary.place[own]
-    sizes = vocabulary.cuts[group + 1] - vocabulary.cuts[group]
-    some = np.flatnonzero(sizes > 1)
-    some = some[np.argsort(group[some].astype(np.uint8), kind="stable")]  # there are fewer than 256 classes
-    for rows in np.split(some, np.flatnonzero(np.diff(group[some])) + 1) if len(some) else ():
-        low, high = vocabulary.cuts[group[rows[0]] : group[rows[0]] + 2]
-        yield int(low), int(high), rows, place[rows] - low
+    starts = np.flatnonzero(np.diff(group, prepend=-1)).tolist()
+    for first, last in zip(starts, [*starts[1:], len(own)], strict=True):
+        low, high = vocabulary.cuts[group[first] : group[first] + 2].tolist()
+        if high - low > 1:
+            yield low, high, slice(first, last), place[first:last] - low
 
 
 def _told(logits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Log-probabilities of the wanted row of each column; ``logits`` are used up."""
-    logits -= logits.max(0)
-    out = logits[wanted, np.arange(len(wanted))]
-    return out - np.log(np.exp(logits, out=logits).sum(0))
+    """Log-probabilities of the wanted row of each column."""
+    _, sums, most = _exp(logits)
+    out = logits[wanted, np.arange(len(wanted))] - np.log(sums)
+    return out if most is None else out - most
 
 
 def _log_p(net: Network, vocabulary: Vocabulary, tokens: np.ndarray, ends: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Log-probabilities of the tokens at the places, and of the ends of those that are shared, given the tokens
     on both sides. ``ends`` are the ends of the words at the places."""
+    order = _class_order(vocabulary, tokens[places])
+    places, ends = places[order], ends[order]
     own, read = tokens[places], net.read
     out = np.empty(len(places), np.float32)
-    narrow = np.empty((len(places), WIDTH), np.float32)
+    narrow = np.empty((len(places), WIDTH + 1), np.float32)
     for low in range(0, len(places), _SCORED[0]):
         at = places[low : low + _SCORED[0]]
         hidden = np.take(read[0], tokens[at - 1], axis=0, mode="clip")
-        hidden += net.into_bias
         hidden += np.take(read[2], tokens[at + 1], axis=0, mode="clip")
         for d in range(2, REACH + 1):
             hidden += np.take(read[1], tokens[at - d], axis=0, mode="clip")
             hidden += np.take(read[3], tokens[at + d], axis=0, mode="clip")
-        np.tanh(hidden, out=hidden)
-        logits = net.out.T @ hidden.T
-        logits += net.out_bias[:, None]
-        out[low : low + len(at)] = _told(logits, vocabulary.group[own[low : low + len(at)]])
-        narrow[low : low + len(at)] = hidden @ net.narrow
+        _tanh(hidden)
+        out[low : low + len(at)] = _told(net.classes_told @ hidden.T, vocabulary.group[own[low : low + len(at)]])
+        np.matmul(hidden, net.narrowed, out=narrow[low : low + len(at)])
+    within = net.told_within(vocabulary)
     for low, high, rows, inside in _by_class(vocabulary, own):
-        logits = net.within[low:high] @ narrow[rows].T
-        logits += vocabulary.share_in_order[low:high, None]
-        out[rows] += _told(logits, inside)
+        out[rows] += _told(within[low:high] @ narrow[rows].T, inside)
+    narrow = narrow[:, :-1]
     rows, ends_told = np.flatnonzero(own >= len(vocabulary.known)), vocabulary.log_end.T
     for low in range(0, len(rows), _SCORED[0]):
         some = rows[low : low + _SCORED[0]]
         logits = net.ends @ narrow[some].T
         logits += ends_told[:, own[some] - len(vocabulary.known)]
         out[some] += _told(logits, ends[some])
-    return out
+    told = np.empty_like(out)
+    told[order] = out
+    return told
 
 
 @dataclass(frozen=True)
@@ -298,35 +358,42 @@ class Trainer:
         net, vocabulary = self.net, self.vocabulary
         for low in range(0, len(at), BATCH):
             places = at[low : low + BATCH]
+            order = _class_order(vocabulary, tokens[places])
+            places, its_ends = places[order], ends[low : low + BATCH][order]
             own, share = tokens[places], np.float32(1 / len(places))
             x = _contexts(net.embed, tokens, places)
-            hidden = np.tanh(x @ net.into + net.into_bias)
+            hidden = x @ net.into
+            hidden += net.into_bias
+            _tanh(hidden)
             error = _softmax(net.out.T @ hidden.T + net.out_bias[:, None])
             error[vocabulary.group[own], np.arange(len(places))] -= 1
-            error *= share
             narrow = hidden @ net.narrow
+            shares = narrow * share  # gradients are means: scaled where the arrays are small
             into_narrow = np.zeros_like(narrow)
             for first, last, rows, inside in _by_class(vocabulary, own):
                 its = narrow[rows]
                 wrong = _softmax(net.within[first:last] @ its.T + vocabulary.share_in_order[first:last, None])
-                wrong[inside, np.arange(len(rows))] -= 1
-                wrong *= share
+                wrong[inside, np.arange(len(inside))] -= 1
                 into_narrow[rows] = wrong.T @ net.within[first:last]
-                self._step(7, wrong @ its, slice(first, last))
+                self._step(7, wrong @ shares[rows], slice(first, last))
                 self.told[first:last] = True
             shared = np.flatnonzero(own >= len(vocabulary.known))
             if len(shared):
                 its = narrow[shared]
                 wrong = _softmax(net.ends @ its.T + vocabulary.log_end.T[:, own[shared] - len(vocabulary.known)])
-                wrong[ends[low + shared], np.arange(len(shared))] -= 1
-                wrong *= share
+                wrong[its_ends[shared], np.arange(len(shared))] -= 1
                 into_narrow[shared] += wrong.T @ net.ends
-                self._step(6, wrong @ its)
-            back = (error.T @ net.out.T + into_narrow @ net.narrow.T) * (1 - hidden**2)
+                self._step(6, wrong @ shares[shared])
+            into_narrow *= share
+            back = error.T @ net.out.T
+            back *= share
+            back += into_narrow @ net.narrow.T
             self._step(5, hidden.T @ into_narrow)
+            self._step(3, (error @ hidden).T * share)
+            self._step(4, error.sum(1) * share)
+            hidden *= hidden
+            back *= np.subtract(1, hidden, out=hidden)
             into_x = back @ net.into.T
-            self._step(3, hidden.T @ error.T)
-            self._step(4, error.sum(1))
             self._step(1, x.T @ back)
             self._step(2, back.sum(0))
             self._step_embed(tokens, places, into_x)
@@ -346,10 +413,14 @@ class Trainer:
         met = met[order]
         starts = np.flatnonzero(np.diff(met, prepend=-1))
         rows = met[starts]
-        sums = np.add.reduceat(np.concatenate(parts)[order], starts, axis=0)
+        sums = np.add.reduceat(np.take(np.concatenate(parts), order, axis=0, mode="clip"), starts, axis=0)
         sums[rows == len(self.net.embed) - 1] = 0  # the pad stays
-        self.squares[0][rows] += sums**2
-        self.net.embed[rows] -= RATE * sums / np.sqrt(self.squares[0][rows])
+        squares = np.take(self.squares[0], rows, axis=0, mode="clip")
+        squares += sums * sums
+        self.squares[0][rows] = squares
+        sums /= np.sqrt(squares, out=squares)
+        sums *= RATE
+        self.net.embed[rows] = np.take(self.net.embed, rows, axis=0, mode="clip") - sums
         self.touched[rows] = True
 
     def _step(self, k: int, gradient: np.ndarray, rows: slice = slice(None)) -> None:

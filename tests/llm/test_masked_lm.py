@@ -206,3 +206,37 @@ def test_tokens_within_a_class_are_told_by_their_neighbours(spark, monkeypatch):
     # The right word beats the other one of its class by more than the counts say.
     gains = [score[f"{a} {a}"] - score[f"{a} {b}"] - float(model.vocabulary.log_share[token[a]] - model.vocabulary.log_share[token[b]]) for a, b in pairs]
     assert np.mean(gains) > 0.5
+
+
+def test_softmaxes_of_any_size_agree_with_plain_ones():
+    rng = np.random.default_rng(5)
+    for shift in (0.0, 60.0, 200.0, -60.0, -200.0):
+        logits = (rng.normal(0, 3, (7, 11)) + shift).astype(np.float32)
+        logits[:, 3] -= shift  # columns of their own size
+        whole = logits.astype(float)
+        plain = whole - whole.max(0) - np.log(np.exp(whole - whole.max(0)).sum(0))
+        assert np.allclose(masked_lm._softmax(logits.copy()), np.exp(plain), atol=1e-5)
+        wanted = rng.integers(0, 7, 11)
+        assert np.allclose(masked_lm._told(logits, wanted), plain[wanted, np.arange(11)], atol=1e-4)
+
+
+def test_hyperbolic_tangents_agree_with_plain_ones():
+    x = np.array([-200, -50, -3, -1e-3, 0, 1e-3, 0.5, 3, 20, 50, 200], np.float32)
+    assert np.allclose(masked_lm._tanh(x.copy()), np.tanh(x.astype(float)), atol=1e-6)
+    assert masked_lm._tanh(np.array([masked_lm.SATURATED], np.float32))[0] == 1
+
+
+def test_tokens_are_found_by_their_hashes_also_where_beginnings_are_shared():
+    rng = np.random.default_rng(6)
+    known = np.unique(np.concatenate([
+        rng.integers(0, 1 << 63, 300).astype(np.uint64) * np.uint64(2), np.arange(5, 12, dtype=np.uint64),
+        np.uint64((1 << 64) - 1) - np.arange(4, dtype=np.uint64),
+    ]))
+    number = rng.permutation(len(known))
+    empty = np.zeros(0)
+    vocabulary = masked_lm.Vocabulary(known, number, *[empty] * 7)
+    words = np.concatenate([known, known ^ np.uint64(1), rng.integers(0, 1 << 63, 500).astype(np.uint64)])
+    numbers = dict(zip(known.tolist(), number.tolist(), strict=True))
+    assert vocabulary.own_tokens(words).tolist() == [numbers.get(w, -1) for w in words.tolist()]
+    none = masked_lm.Vocabulary(known[:0], number[:0], *[empty] * 7)
+    assert none.own_tokens(words[:3]).tolist() == [-1, -1, -1]
