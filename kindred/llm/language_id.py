@@ -147,7 +147,7 @@ def identify_language(docs: DataFrame, model: Model, text: str = "text", keep: l
     A text without a letter, a null or empty one included, is ``und`` with score 0 and rejected; so
     is every text where no language was learnt. Of centroids at the same distance the first language
     by name wins. Rows are judged one by one, an empty table stays empty, and columns with the new
-    names are replaced.
+    names are replaced. A very long text is judged whole, by itself: its memory grows with its length.
     """
     def compute(column):
         lettered = pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False).to_numpy(zero_copy_only=False)

@@ -253,7 +253,8 @@ def judge_quality(docs: DataFrame, model: Model, text: str = "text", keep: list[
 
     ``kept`` is false where a base rule fails or the score reaches the model's limit. A null or empty
     text has no words, so it fails the base rules. Rows are judged one by one: repeated rows get the
-    same verdict, an empty table stays empty, and columns with the new names are replaced.
+    same verdict, an empty table stays empty, and columns with the new names are replaced. A very long
+    text is measured whole, by itself: its memory grows with its length.
     """
     def compute(column):
         counts, shares = measure(column)

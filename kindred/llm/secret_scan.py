@@ -409,7 +409,8 @@ def find_secrets(
     Matches of one rule are leftmost, longest and never overlap; a match that is too short is dropped
     but still uses up its characters. Matches of different rules may overlap. A null or empty text has
     an empty array; every row is scanned by itself, so repeated rows give repeated results and an
-    empty table an empty one. A column named ``secrets`` is replaced.
+    empty table an empty one. A column named ``secrets`` is replaced. A very long text, or a long run
+    of the characters of a rule, is scanned whole in time that grows with its length.
     """
     def compute(column):
         ready = scanner(rules)

@@ -127,7 +127,8 @@ def count_tokens(
     """``docs`` with ``n_words`` and ``n_tokens``: words and greedy longest-match pieces of the text.
 
     A null or empty text has zero of both. Every row is counted by itself: repeated rows repeat, an
-    empty table stays empty, and columns with the new names are replaced.
+    empty table stays empty, and columns with the new names are replaced. A very long text is counted
+    whole, by itself: its memory grows with its length.
     """
     def compute(column):
         ready = automaton(pieces, mark.encode())
