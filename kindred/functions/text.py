@@ -20,7 +20,7 @@ def normalise_user(c: Column | str) -> Column:
 
 def plain_user(c: Column | str) -> Column:
     """Letters and digits only, to match one user name across domains."""
-    return F.trim(F.regexp_replace(F.lower(_col(c)), "[^a-zA-Z0-9]", ""))
+    return F.regexp_replace(F.lower(_col(c)), "[^a-z0-9]", "")
 
 
 def null_if(c: Column | str, *sentinels: str) -> Column:
