@@ -102,3 +102,17 @@ def test_ties_go_to_the_smallest_word(spark):
 def test_without_misspelling(spark):
     docs = spark.createDataFrame([(1, "letters Letters LETTERS short")], "doc_id long, text string")
     assert [tuple(r) for r in word_counts(docs).collect()] == [("letters", 3)]
+
+
+@pytest.mark.parametrize("every", [None, 31])
+def test_awkward_tables(spark, every):
+    rows = [
+        (1, None), (2, ""), (2, " \n\t"), (3, "Vocabulary vocabulery ÉCOLÉS×÷ " * 20_000), (4, "vocabulary words"), (4, "vocabulary words"),
+        (None, "vocabulary Vocabularys"), (None, "vocabularys"), (5, "x" * 50_000 + " " + "x" * 50_000 + "y"), (6, "x" * 50_000),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "'x' AS word", "7 AS n", "'y' AS l", "'z' AS Run", "map('a', 1) AS `a map`"
+    )
+    counts = plain_counts(rows, every or 1 << 40)
+    assert groups(group_variants(word_counts(docs, misspell_every=every))) == plain_groups(counts)
+    assert group_variants(word_counts(docs.limit(0), misspell_every=every)).collect() == []

@@ -84,3 +84,16 @@ def test_long_urls_take_linear_time():
     short = [t.replace("y" * 400_000, "y" * 40) for t in texts]
     many = ready.matches(short * 8)
     assert (many[: len(short)] == found).all()
+
+
+def test_awkward_tables(spark):
+    long = "http://WWW.example.com/en/" + "a/" * 100_000
+    urls = [None, "", long, long, "http://a.net/es/1", "http://a.net/es/1", "https://ads.x.org" + "/9" * 5_000, "://", "x"]
+    pages = spark.createDataFrame([(i // 2, u) for i, u in enumerate(urls)], "page_id long, url string").selectExpr(
+        "*", "'x' AS Host", "'x' AS path", "1 AS rule", "'x' AS verdict", "'x' AS glob", "map('a', 1) AS `a map`"
+    )
+    out = judge_urls(pages, URL_RULES, BLOCKED_URLS)
+    assert sorted(out.columns) == sorted(["page_id", "url", "a map", "host", "path", "rule", "glob", "verdict"])
+    got = sorted(((r["url"] or "", r["page_id"]), (r["host"], r["path"], r["rule"], r["verdict"])) for r in out.collect())
+    assert got == sorted(((u or "", i // 2), plain(u)) for i, u in enumerate(urls))
+    assert judge_urls(pages.limit(0), URL_RULES, BLOCKED_URLS).collect() == []
