@@ -20,6 +20,7 @@ from kindred.plans import anime, movie, videogame
 from kindred.plans.catalogue import build_catalogue
 from kindred.session import scratch_path
 from kindred.sinks.buckets import read_bucketed, upsert_bucketed as upsert_into_buckets
+from kindred.sinks.documents import write_documents
 from kindred.sinks.zones import publish, write_zone
 from kindred.sources import (
     catalogue_content, collection_ratings, consolidate_documents, keyed_entries, keyed_list_entries,
@@ -865,9 +866,9 @@ def zone_variants(spark, sf):
 # --- files of other systems ----------------------------------------------------------------------
 
 def files_by(spark, name: str, docs: DataFrame, key: str = "key") -> str:
-    """One text file per key, in a folder named by it; Spark encodes odd characters in the path."""
+    """One text file per key, in a folder named by it, where odd characters are encoded."""
     path = scratch_path(spark, name)
-    docs.repartition(key).write.partitionBy(key).text(path)
+    write_documents(docs, path, key)
     return path
 
 

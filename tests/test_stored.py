@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kindred.operators import incremental, sample
 from kindred.operators.titles import find_contents
 from kindred.sinks.buckets import read_bucketed, upsert_bucketed
+from kindred.sinks.documents import write_documents
 from kindred.sources.rejects import read_anime_lists_checked, read_collections_checked, read_json_checked, read_xml_checked
 from kindred.streaming import ingest
 from test_sources import COLLECTION, put
@@ -234,3 +235,22 @@ def test_titles(spark):
         (11, "4", "anime", "The Ring two"), (12, "8", None, "a ring")]
     assert find_contents(content, texts).filter("n = 3").count() == 1
     assert find_contents(content.limit(0), texts).count() == 0 == find_contents(content, texts.limit(0)).count()
+
+
+def test_a_file_per_key(spark, tmp_path):
+    """The folders and lines of Spark's writer, also for keys that paths encode, and no checksum file beside each."""
+    keys = ["a", "nr +%1", "Brand#12", "x=y/z[{]}'\"*:?\\^", "ä€", "tab\t", "", None]
+    docs = spark.createDataFrame([(k, f"text {i}\r\nmore ü") for i, k in enumerate(keys)] + [("b", None)], "key string, doc string")
+    mine, theirs = f"file://{tmp_path}/mine", f"file://{tmp_path}/theirs"
+    write_documents(docs, mine)
+    docs.repartition("key").write.partitionBy("key").text(theirs)
+    folders = [sorted(p.name for p in (tmp_path / side).iterdir() if "=" in p.name) for side in ("mine", "theirs")]
+    assert folders[0] == folders[1] and len(folders[0]) == len(keys)
+    got, wanted = (rows(spark.read.text(p), "key", "value") for p in (mine, theirs))
+    assert got == wanted
+    assert [p.name for p in (tmp_path / "mine" / "key=a").iterdir()] == ["part-0.txt"]
+
+
+def test_no_documents(spark, tmp_path):
+    write_documents(spark.createDataFrame([], "key bigint, doc string"), f"{tmp_path}/none")
+    assert spark.read.schema("value string").text(f"{tmp_path}/none").count() == 0
