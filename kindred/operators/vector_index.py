@@ -24,6 +24,8 @@ SAMPLE_ROWS = 20_000
 ROWS_PER_CENTROID = 16  # of the sample, at least
 CALIBRATION_ORIGINS = 200
 _ROUNDS = 10
+# Cosines to centroids that a task has in memory at a time.
+_NUMBERS_AT_ONCE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -64,26 +66,43 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], centroids: np.ndarray, probes: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """The rows, a few at a time, with the numbers of the ``probes`` nearest centroids of each, nearest first."""
+    step = max(1, _NUMBERS_AT_ONCE // len(centroids))
+    for batch in batches:
+        for at in range(0, len(batch), step):
+            rows = batch.slice(at, step)
+            sim = _vectors(rows.column("embedding")) @ centroids.T
+            np.negative(sim, out=sim)
+            near = sim.argmin(axis=1)[:, None] if probes == 1 else np.argsort(sim, axis=1, kind="stable")[:, :probes]
+            yield rows, near.astype(np.int32)
+
+
+def _columns(df: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+
+
 def _lists(df: DataFrame, centroids: np.ndarray, probes: int) -> DataFrame:
     """``df`` with ``lists``, the numbers of the ``probes`` nearest centroids of its embedding, nearest first."""
     shared = df.sparkSession.sparkContext.broadcast(centroids)  # SAMPLE_ROWS / ROWS_PER_CENTROID vectors at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sim = _vectors(batch.column("embedding")) @ shared.value.T
-            near = np.argsort(-sim, axis=1, kind="stable")[:, :probes].astype(np.int32)
+        for rows, near in _slices(batches, shared.value, probes):
             offsets = np.arange(len(near) + 1, dtype=np.int32) * near.shape[1]
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(near.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "lists"])
+            yield pa.RecordBatch.from_arrays([*rows.columns, lists], names=[*rows.schema.names, "lists"])
 
-    return df.mapInArrow(run, f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in df.schema)}, lists array<int>")
+    return df.mapInArrow(run, f"{_columns(df)}, lists array<int>")
 
 
 def _calibrate(sample: pd.DataFrame, centroids: np.ndarray, k: int, target: float) -> tuple[int, float]:
     """The fewest lists that give ``target`` of the ``k`` nearest of each kind, within the sample."""
     asked = sample.head(CALIBRATION_ORIGINS).rename(columns={"content_id": "origin_id", "type": "origin_type"})
     place = {key: i for i, key in enumerate(zip(sample["content_id"], sample["type"]))}
-    exact = Held(sample).best(asked, k)
+    tables = list(Held(pa.Table.from_pandas(sample, preserve_index=False)).best(pa.Table.from_pandas(asked, preserve_index=False), k))
+    if not tables:
+        return len(centroids), 1.0
+    exact = pa.concat_tables(tables).to_pandas()
     vectors = np.stack(sample["embedding"].to_numpy()).astype(np.float64)
     own = (vectors @ centroids.T).argmax(axis=1)
     order = np.argsort(-(np.stack(asked["embedding"].to_numpy()).astype(np.float64) @ centroids.T), axis=1, kind="stable")
