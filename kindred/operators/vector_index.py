@@ -18,14 +18,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kindred.operators.nearest import HELD_ROWS, Held, meet_in_cells
 from kindred.operators.recommend import best_matches, findable, vectors_of
 from kindred.schema import KINDS
+from kindred.session import shuffle_partitions
 from kindred.sinks.zones import write_zone
 
 SAMPLE_ROWS = 20_000
 ROWS_PER_CENTROID = 16  # of the sample, at least
 CALIBRATION_ORIGINS = 200
 _ROUNDS = 10
-# Cosines to centroids that a task has in memory at a time.
+# Cosines to centroids, and rows to be sent on, that a task has in memory at a time; rows that make a cell worth a task.
 _NUMBERS_AT_ONCE = 1 << 20
+_ROWS_AT_ONCE = 4096
+_LEAST_CELL = 16_384
 
 
 @dataclass(frozen=True)
@@ -95,6 +98,50 @@ def _lists(df: DataFrame, centroids: np.ndarray, probes: int) -> DataFrame:
     return df.mapInArrow(run, f"{_columns(df)}, lists array<int>")
 
 
+def _laid_out(sizes: tuple[int, ...], cell_rows: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Of each list its first cell and its number of cells, and the number of all cells. Lists share a cell as long as
+    it has at most ``cell_rows``; a larger list has cells of its own."""
+    start, chunks, cell, filled = [], [], 0, 0
+    for n in sizes:
+        many = max(1, -(-n // cell_rows))
+        if filled and filled + n > cell_rows:
+            cell, filled = cell + 1, 0
+        start.append(cell)
+        chunks.append(many)
+        if many > 1:
+            cell, filled = cell + many, 0
+        else:
+            filled += n
+    return np.array(start, np.int32), np.array(chunks, np.int32), int(max(a + b for a, b in zip(start, chunks)))
+
+
+def _to_cells(df: DataFrame, centroids: np.ndarray, probes: int, start: np.ndarray, chunks: np.ndarray) -> DataFrame:
+    """A row of ``df`` per ``cell`` that has one of its ``probes`` nearest lists, with its ``lists`` in that cell."""
+    shared = df.sparkSession.sparkContext.broadcast((centroids, start, chunks))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        middles, first, many = shared.value
+        for rows, near in _slices(batches, middles, probes):
+            lists, owner = near.ravel(), np.repeat(np.arange(len(near)), near.shape[1])
+            times = many[lists]
+            lists, owner = np.repeat(lists, times), np.repeat(owner, times)
+            turn = np.arange(len(lists)) - np.repeat(np.cumsum(times) - times, times)
+            cell = (first[lists] + turn).astype(np.int32)
+            order = np.lexsort((lists, cell, owner))
+            lists, owner, cell = lists[order], owner[order], cell[order]
+            begins = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (cell[1:] != cell[:-1])])
+            ends = pa.array(np.r_[begins, len(lists)].astype(np.int32))
+            its = pa.ListArray.from_arrays(ends, pa.array(lists))
+            for at in range(0, len(begins), _ROWS_AT_ONCE):
+                some = slice(at, at + _ROWS_AT_ONCE)
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.take(pa.array(owner[begins[some]])).columns, pa.array(cell[begins[some]]), its[some]],
+                    names=[*rows.schema.names, "cell", "lists"],
+                )
+
+    return df.mapInArrow(run, f"{_columns(df)}, cell int, lists array<int>")
+
+
 def _calibrate(sample: pd.DataFrame, centroids: np.ndarray, k: int, target: float) -> tuple[int, float]:
     """The fewest lists that give ``target`` of the ``k`` nearest of each kind, within the sample."""
     asked = sample.head(CALIBRATION_ORIGINS).rename(columns={"content_id": "origin_id", "type": "origin_type"})
@@ -169,8 +216,9 @@ def search_index(
     """The rows of ``similar_content``, found in the ``probes`` nearest lists of each origin: exactly those with
     as many probes as there are lists, otherwise some neighbours may be missed and others stand for them.
 
-    Origins go to the lists they look through, whose rows are dealt into cells of at most about ``held_rows``, so
-    a list that holds a third of all vectors is many cells. Only lists that are looked through are read.
+    Lists are laid out in cells of at most about ``held_rows``, several lists in one, and a list that holds a third of
+    all vectors in many. An origin goes once to each cell with a list that it looks through, so that what is moved
+    grows with origins times cells, not lists. Only lists that are looked through are read.
     """
     spark: SparkSession = nodes.sparkSession
     asked = vectors_of(nodes, origins).withColumn("embedding", F.col("embedding").cast("array<double>"))
@@ -179,21 +227,17 @@ def search_index(
     if not index.sizes:
         return best_matches(meet_in_cells(stored.withColumn("cell", F.lit(0)), asked.withColumn("cell", F.lit(0)), 1, k), k)
     probes = min(probes or index.probes, len(index.sizes))
-    chunks = [max(1, -(-n // held_rows)) for n in index.sizes]
-    starts = np.concatenate([[0], np.cumsum(chunks)]).tolist()
+    share = -(-sum(index.sizes) // shuffle_partitions(spark))
+    start, chunks, cells = _laid_out(index.sizes, min(held_rows, max(_LEAST_CELL, share)))
     plan = spark.createDataFrame(
-        [(i, starts[i], chunks[i]) for i in range(len(chunks))], "list int, start int, chunks int"
-    )
-    near = _lists(asked, index.centroids, probes).select(
-        "origin_id", "origin_type", "embedding", F.explode("lists").alias("list")
-    )
-    wanted = sorted(r["list"] for r in near.select("list").distinct().collect())  # no more than there are lists
-    passing = near.join(F.broadcast(plan), "list").withColumn(
-        "cell", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("chunks") - 1))
+        [(i, int(start[i]), int(chunks[i])) for i in range(len(chunks))], "list int, start int, chunks int"
     )
+    if probes < len(index.sizes):
+        near = _lists(asked, index.centroids, probes).select(F.explode("lists").alias("list"))
+        stored = stored.filter(F.col("list").isin(sorted(r["list"] for r in near.distinct().collect())))  # no more than there are lists
     chunk = F.pmod(F.xxhash64("content_id", "type", "title"), F.col("chunks")).cast("int")
-    held = stored.filter(F.col("list").isin(wanted)).join(F.broadcast(plan), "list").withColumn("cell", F.col("start") + chunk)
-    return best_matches(meet_in_cells(held, passing, starts[-1], k), k)
+    held = stored.join(F.broadcast(plan), "list").withColumn("cell", F.col("start") + chunk)
+    return best_matches(meet_in_cells(held, _to_cells(asked, index.centroids, probes, start, chunks), cells, k), k)
 
 
 def recall_of(found: DataFrame, exact: DataFrame) -> DataFrame:
